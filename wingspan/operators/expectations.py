@@ -65,6 +65,15 @@ def violation_counts(df: DataFrame, exps: list[Expectation]) -> DataFrame:
         f"stack({len(exps)}, {stack}) AS (rule, action, violations)", "total_rows")
 
 
+def quarantine(df: DataFrame, exps: list[Expectation], keep: list[str]) -> DataFrame:
+    """Rows that break at least one rule, with the failed rule names (comma list)."""
+    failed = F.concat_ws(",", *[F.when(~e.holds(), F.lit(e.name)) for e in exps])
+    bad = exps[0].holds()
+    for e in exps[1:]:
+        bad = bad & e.holds()
+    return df.filter(~bad).select(*keep, failed.alias("failed_rules"))
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """DQ8 real uniqueness: keys that occur more than once, with their counts."""
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
