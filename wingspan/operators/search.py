@@ -10,60 +10,121 @@ partial group limit before the shuffle (WindowGroupLimit).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wingspan.operators.text import tokens
+from wingspan.session import bounded_broadcast, materialize as materialize_table
 
 BM25_K1 = 1.2
 BM25_B = 0.75
 RRF_K = 60
 HYBRID_WINDOW = 50
+# A query set's term table is broadcast to the postings when it has at
+# most this many rows; a larger batch of queries is shuffle-joined.
+MAX_BROADCAST_QUERY_TERMS = 2_000_000
+
 
+def term_index(chunks: DataFrame, key: str = "chunk_id", text: str = "search_text",
+               cluster_key: str | None = None) -> DataFrame:
+    """(key, term, tf) postings.
 
-def term_index(chunks: DataFrame, key: str = "chunk_id", text: str = "search_text") -> DataFrame:
-    """(key, term, tf) postings."""
-    return (chunks.select(key, F.explode(tokens(F.col(text))).alias("term"))
-            .groupBy(key, "term").agg(F.count(F.lit(1)).cast("bigint").alias("tf")))
+    ``cluster_key`` names a column the key depends on (a chunk's document
+    id).  Grouping by it as well yields the same groups, and when the
+    chunks are already hash-partitioned by it Spark needs no shuffle for
+    the term counts.
+    """
+    keys = ([cluster_key] if cluster_key else []) + [key]
+    out = (chunks.select(*keys, F.explode(tokens(F.col(text))).alias("term"))
+           .filter(F.length("term") > 0)
+           .groupBy(*keys, "term").agg(F.count(F.lit(1)).cast("bigint").alias("tf")))
+    return out.drop(cluster_key) if cluster_key else out
 
 
 def query_terms(queries: DataFrame, qkey: str = "query_id", text: str = "query_text") -> DataFrame:
     return (queries.select(qkey, F.explode(tokens(F.col(text))).alias("term"))
+            .filter(F.length("term") > 0)
             .groupBy(qkey, "term").agg(F.count(F.lit(1)).cast("bigint").alias("qtf")))
 
 
-def bm25_scores(chunks: DataFrame, queries: DataFrame, key: str = "chunk_id",
+@dataclass
+class SearchIndex:
+    """Keyword + vector index over chunks, built once (TX7, TX9, TX13).
+
+    Tables (written as parquet into the shared checkpoint dir, so the
+    tokenisation runs once and retried tasks re-read files):
+
+    * ``postings`` (key, term, tf, bm25_tf, w): per posting the BM25 term
+      weight ``tf (k1+1) / (tf + k1 (1 - b + b dl/avgdl))`` and the TF-IDF
+      weight, so a query only multiplies by the term's idf and sums;
+    * ``lengths`` (key, dl, norm); ``doc_freq`` (term, df, idf_bm25, idf_tfidf).
+
+    ``key`` should be numeric (cheap to hash and sort at query time).
+    """
+
+    key: str
+    postings: DataFrame
+    lengths: DataFrame
+    doc_freq: DataFrame
+    n_docs: int
+    avgdl: float
+
+    @classmethod
+    def build(cls, chunks: DataFrame, key: str = "chunk_key", text: str = "search_text",
+              materialize: bool = True, cluster_key: str | None = "doc_id") -> "SearchIndex":
+        keep = (lambda df, n: materialize_table(df, n)) if materialize else (lambda df, n: df)
+        if cluster_key not in chunks.columns:
+            cluster_key = None
+        post = keep(term_index(chunks, key, text, cluster_key), "postings_tf")
+        dl = post.groupBy(key).agg(F.sum("tf").alias("dl"))
+        stats = dl.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
+        n_docs, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
+        df_t = keep(post.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumns({
+            "idf_bm25": F.log((F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1.0),
+            "idf_tfidf": F.log((1.0 + F.lit(n_docs)) / (1.0 + F.col("df"))) + 1.0}), "doc_freq")
+        tfn = F.col("tf") * (BM25_K1 + 1) / (
+            F.col("tf") + BM25_K1 * (1 - BM25_B + BM25_B * F.col("dl") / F.lit(avgdl)))
+        full = (post.join(df_t.select("term", "idf_tfidf"), "term").join(dl, key)
+                .select(key, "term", "tf", tfn.alias("bm25_tf"),
+                        (F.col("tf") * F.col("idf_tfidf")).alias("w"), "dl"))
+        full = keep(full, "postings")
+        lengths = keep(full.groupBy(key).agg(F.first("dl").alias("dl"),
+                                             F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")),
+                       "lengths")
+        return cls(key, full.drop("dl"), lengths, df_t, n_docs, avgdl)
+
+    def bm25(self, queries: DataFrame, qkey: str = "query_id") -> DataFrame:
+        """BM25 of every chunk sharing a term with each query: (query, key, score)."""
+        qt = query_terms(queries, qkey).select(qkey, "term").join(
+            self.doc_freq.select("term", "idf_bm25"), "term")
+        qt = bounded_broadcast(qt, MAX_BROADCAST_QUERY_TERMS)
+        hits = qt.join(self.postings.select(self.key, "term", "bm25_tf"), "term")
+        return hits.groupBy(qkey, self.key).agg(
+            F.sum(F.col("idf_bm25") * F.col("bm25_tf")).alias("score"))
+
+    def cosine(self, queries: DataFrame, qkey: str = "query_id") -> DataFrame:
+        """TF-IDF cosine (sparse dot product by a term join): (query, key, score)."""
+        key = self.key
+        q = query_terms(queries, qkey).join(self.doc_freq.select("term", "idf_tfidf"), "term") \
+            .withColumn("qw", F.col("qtf") * F.col("idf_tfidf"))
+        qnorm = q.groupBy(qkey).agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qnorm"))
+        qb = bounded_broadcast(q.select(qkey, "term", "qw"), MAX_BROADCAST_QUERY_TERMS)
+        dot = (qb.join(self.postings.select(key, "term", "w"), "term")
+               .groupBy(qkey, key).agg(F.sum(F.col("qw") * F.col("w")).alias("dot")))
+        return (dot.join(self.lengths.select(key, "norm"), key).join(qnorm, qkey)
+                .select(qkey, key, (F.col("dot") / (F.col("norm") * F.col("qnorm"))).alias("score")))
+
+
+def bm25_scores(chunks: DataFrame, queries: DataFrame, key: str = "chunk_key",
                 qkey: str = "query_id") -> DataFrame:
-    """BM25 of every chunk sharing a term with each query: (query, chunk, score)."""
-    post = term_index(chunks, key)
-    dl = post.groupBy(key).agg(F.sum("tf").alias("dl"))
-    n_docs = dl.select(F.count(F.lit(1))).scalar()
-    avgdl = dl.select(F.avg("dl")).scalar()
-    df_t = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log((n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1.0)
-    qt = query_terms(queries, qkey).select(qkey, "term").join(df_t, "term")
-    qt = qt.withColumn("idf", idf)
-    hits = qt.join(post, "term").join(dl, key)
-    tfn = F.col("tf") * (BM25_K1 + 1) / (
-        F.col("tf") + BM25_K1 * (1 - BM25_B + BM25_B * F.col("dl") / avgdl))
-    return hits.groupBy(qkey, key).agg(F.sum(F.col("idf") * tfn).alias("score"))
-
-
-def tfidf_cosine(chunks: DataFrame, queries: DataFrame, key: str = "chunk_id",
+    return SearchIndex.build(chunks, key).bm25(queries, qkey)
+
+
+def tfidf_cosine(chunks: DataFrame, queries: DataFrame, key: str = "chunk_key",
                  qkey: str = "query_id") -> DataFrame:
-    """TX7 + TX8: cosine of TF-IDF vectors (sparse dot product by a term join)."""
-    post = term_index(chunks, key)
-    n_docs = post.select(F.countDistinct(key)).scalar()
-    df_t = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0
-    w = post.join(df_t, "term").withColumn("w", F.col("tf") * idf)
-    norm = w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    q = query_terms(queries, qkey).join(df_t, "term").withColumn("qw", F.col("qtf") * idf)
-    qnorm = q.groupBy(qkey).agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qnorm"))
-    dot = (q.select(qkey, "term", "qw").join(w.select(key, "term", "w"), "term")
-           .groupBy(qkey, key).agg(F.sum(F.col("qw") * F.col("w")).alias("dot")))
-    return (dot.join(norm, key).join(qnorm, qkey)
-            .select(qkey, key, (F.col("dot") / (F.col("norm") * F.col("qnorm"))).alias("score")))
+    return SearchIndex.build(chunks, key).cosine(queries, qkey)
 
 
 def top_k(scores: DataFrame, k: int, qkey: str = "query_id", order=None,
@@ -115,14 +176,15 @@ def search(chunks: DataFrame, query_text: str, k: int = 8, filters: dict | None
     for c, v in (filters or {}).items():
         chunks = chunks.filter(F.col(c) == F.lit(v))
     q = spark.createDataFrame([(0, query_text)], "query_id int, query_text string")
-    tie = [F.col("chunk_id")]
+    tie = [F.col("chunk_key")]
+    idx = SearchIndex.build(chunks)
     if mode == "KEYWORD":
-        out = top_k(bm25_scores(chunks, q), k, order=[F.col("score").desc(), *tie])
+        out = top_k(idx.bm25(q), k, order=[F.col("score").desc(), *tie])
     elif mode == "ANN":
-        out = top_k(tfidf_cosine(chunks, q), k, order=[F.col("score").desc(), *tie])
+        out = top_k(idx.cosine(q), k, order=[F.col("score").desc(), *tie])
     else:
-        out = hybrid(bm25_scores(chunks, q), tfidf_cosine(chunks, q), k, "chunk_id")
-    return out.join(chunks, "chunk_id").orderBy("rank")
+        out = hybrid(idx.bm25(q), idx.cosine(q), k, "chunk_key")
+    return out.join(chunks, "chunk_key").orderBy("rank")
 
 
 def label_centroid_topk(vectors: DataFrame, k: int, key: str = "vec_id", vec: str = "embedding",

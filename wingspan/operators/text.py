@@ -51,8 +51,10 @@ def section_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                         F.substring_index(F.col(text_col), "\n", 1).alias("doc_title"),
                         F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "chunk"))
     parts = parts.filter(F.length(F.trim("chunk")) > 0)
-    return parts.withColumn("chunk_id", F.concat_ws("|", F.col(id_col).cast("string"),
-                                                    F.col("pos").cast("string")))
+    return parts.withColumns({
+        "chunk_id": F.concat_ws("|", F.col(id_col).cast("string"), F.col("pos").cast("string")),
+        # numeric key for joins / aggregation: doc id and position packed (pos < 2^20)
+        "chunk_key": F.col(id_col).cast("bigint") * F.lit(1 << 20) + F.col("pos")})
 
 
 def chunk_fields(chunks: DataFrame) -> DataFrame:
@@ -61,7 +63,7 @@ def chunk_fields(chunks: DataFrame) -> DataFrame:
     n_words = F.when(F.length(c) == 0, F.lit(0)).otherwise(
         F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit(""))) + 1)
     return chunks.select(
-        "chunk_id", "doc_id", "pos", "lang", "source", "doc_title",
+        "chunk_id", "chunk_key", "doc_id", "pos", "lang", "source", "doc_title",
         F.regexp_extract(c, r"^[^.!?]*[.!?]?", 0).alias("first_sentence"),
         n_words.cast("bigint").alias("n_words"),
         F.length(c).cast("bigint").alias("n_chars"),
@@ -69,5 +71,5 @@ def chunk_fields(chunks: DataFrame) -> DataFrame:
 
 
 def tokens(text: Column) -> Column:
-    """Lower-cased letter/digit runs (array)."""
-    return F.filter(F.split(F.lower(text), TOKEN_SPLIT), lambda t: F.length(t) > 0)
+    """Lower-cased letter/digit runs (array, may hold empty strings at the ends)."""
+    return F.split(F.lower(text), TOKEN_SPLIT)

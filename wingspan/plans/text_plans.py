@@ -13,14 +13,18 @@ from pyspark.sql import functions as F
 from wingspan.operators import search as S
 from wingspan.operators import text as T
 from wingspan.plans.registry import query
-from wingspan.sources.driver import read_table
+from wingspan.sources.driver import read_table, spread
 
 G = "text"
 K = 8
 
 
+def documents(spark, d):
+    return spread(read_table(spark, d, "documents"), "doc_id")
+
+
 def chunks(spark, d):
-    return T.chunk_fields(T.section_chunks(read_table(spark, d, "documents")))
+    return T.chunk_fields(T.section_chunks(documents(spark, d)))
 
 
 def bench_queries(spark, d):
@@ -44,7 +48,7 @@ SELECT page_id, url, {_CLEAN.format(x="regexp_extract(html, '(?is)<title[^>]*>(.
 FROM (SELECT *, {_PAGE_TEXT} AS t FROM pages)""")
 def page_text(spark, d):
     """TX1: HTML pages parsed to text with title and parse flag."""
-    return T.page_text(read_table(spark, d, "pages"))
+    return T.page_text(spread(read_table(spark, d, "pages"), "page_id"))
 
 
 CHUNK_CTE_T = """WITH ch0 AS (SELECT doc_id, lang, source, split_part(text, chr(10), 1) AS doc_title,
@@ -52,7 +56,7 @@ CHUNK_CTE_T = """WITH ch0 AS (SELECT doc_id, lang, source, split_part(text, chr(
     unnest(string_split(text, chr(10))) AS chunk FROM documents)
 , ch AS (SELECT *, concat_ws('|', CAST(doc_id AS VARCHAR), CAST(pos AS VARCHAR)) AS chunk_id,
     {CLEAN_CHUNK} AS c FROM ch0 WHERE length(trim(chunk)) > 0)
-, chunks AS (SELECT chunk_id, doc_id, pos, lang, source, doc_title,
+, chunks AS (SELECT chunk_id, doc_id * 1048576 + pos AS chunk_key, doc_id, pos, lang, source, doc_title,
     regexp_extract(c, '^[^.!?]*[.!?]?', 0) AS first_sentence,
     CAST(CASE WHEN length(c) = 0 THEN 0 ELSE length(c) - length(replace(c, ' ', '')) + 1 END AS BIGINT)
       AS n_words, CAST(length(c) AS BIGINT) AS n_chars,
@@ -66,7 +70,7 @@ CHUNK_CTE = CHUNK_CTE_T.replace("{CLEAN_CHUNK}", _CLEAN.format(x="chunk")).repla
 SELECT chunk_id, doc_id, pos, doc_title FROM chunks""")
 def section_chunks(spark, d):
     """TX2 + TX3: paragraphs of whole documents, header field on every chunk."""
-    return T.section_chunks(read_table(spark, d, "documents")).select(
+    return T.section_chunks(documents(spark, d)).select(
         "chunk_id", "doc_id", "pos", "doc_title")
 
 
@@ -90,74 +94,82 @@ def chunk_counts(spark, d):
 
 _TOK = r"[^\p{L}\p{N}]+"
 INDEX_CTE_T = """
-, post AS (SELECT chunk_id, term, count(*) AS tf FROM (SELECT chunk_id,
+, post AS (SELECT chunk_key, term, count(*) AS tf FROM (SELECT chunk_key,
     unnest(regexp_split_to_array(lower(search_text), '{_TOK}')) AS term FROM chunks)
-    WHERE length(term) > 0 GROUP BY chunk_id, term)
+    WHERE length(term) > 0 GROUP BY chunk_key, term)
 , dft AS (SELECT term, count(*) AS df FROM post GROUP BY term)
 , qt0 AS (SELECT query_id, term, count(*) AS qtf FROM (SELECT item_id AS query_id,
     unnest(regexp_split_to_array(lower(text), '{_TOK}')) AS term FROM benchmark)
     WHERE length(term) > 0 GROUP BY query_id, term)
-, dl AS (SELECT chunk_id, sum(tf) AS dl FROM post GROUP BY chunk_id)
+, dl AS (SELECT chunk_key, sum(tf) AS dl FROM post GROUP BY chunk_key)
 , bst AS (SELECT count(*) AS n_docs, avg(dl) AS avgdl FROM dl)
-, bm AS (SELECT q.query_id, p.chunk_id, sum(ln((bst.n_docs - dft.df + 0.5) / (dft.df + 0.5) + 1.0)
+, bm AS (SELECT q.query_id, p.chunk_key, sum(ln((bst.n_docs - dft.df + 0.5) / (dft.df + 0.5) + 1.0)
     * p.tf * 2.2 / (p.tf + 1.2 * (1 - 0.75 + 0.75 * dl.dl / bst.avgdl))) AS score
   FROM qt0 q JOIN dft ON dft.term = q.term JOIN post p ON p.term = q.term
-  JOIN dl ON dl.chunk_id = p.chunk_id, bst GROUP BY q.query_id, p.chunk_id)
-, nd AS (SELECT count(DISTINCT chunk_id) AS n FROM post)
-, w AS (SELECT p.chunk_id, p.term, p.tf * (ln((1.0 + nd.n) / (1.0 + dft.df)) + 1.0) AS w
+  JOIN dl ON dl.chunk_key = p.chunk_key, bst GROUP BY q.query_id, p.chunk_key)
+, nd AS (SELECT count(DISTINCT chunk_key) AS n FROM post)
+, w AS (SELECT p.chunk_key, p.term, p.tf * (ln((1.0 + nd.n) / (1.0 + dft.df)) + 1.0) AS w
   FROM post p JOIN dft ON dft.term = p.term, nd)
-, wn AS (SELECT chunk_id, sqrt(sum(w * w)) AS norm FROM w GROUP BY chunk_id)
+, wn AS (SELECT chunk_key, sqrt(sum(w * w)) AS norm FROM w GROUP BY chunk_key)
 , qw AS (SELECT q.query_id, q.term, q.qtf * (ln((1.0 + nd.n) / (1.0 + dft.df)) + 1.0) AS qw
   FROM qt0 q JOIN dft ON dft.term = q.term, nd)
 , qn AS (SELECT query_id, sqrt(sum(qw * qw)) AS qnorm FROM qw GROUP BY query_id)
-, vs AS (SELECT qw.query_id, w.chunk_id, sum(qw.qw * w.w) / (max(wn.norm) * max(qn.qnorm)) AS score
-  FROM qw JOIN w ON w.term = qw.term JOIN wn ON wn.chunk_id = w.chunk_id
-  JOIN qn ON qn.query_id = qw.query_id GROUP BY qw.query_id, w.chunk_id)
+, vs AS (SELECT qw.query_id, w.chunk_key, sum(qw.qw * w.w) / (max(wn.norm) * max(qn.qnorm)) AS score
+  FROM qw JOIN w ON w.term = qw.term JOIN wn ON wn.chunk_key = w.chunk_key
+  JOIN qn ON qn.query_id = qw.query_id GROUP BY qw.query_id, w.chunk_key)
 """.replace("{_TOK}", _TOK)
 INDEX_CTE = CHUNK_CTE + INDEX_CTE_T
 
 
-def _rank_sql(src, k, key="chunk_id"):
-    return f"""SELECT query_id, {key}, round(score, 6) AS score, rank FROM (SELECT *, row_number() OVER
-  (PARTITION BY query_id ORDER BY round(score, 9) DESC, {key}) AS rank FROM {src}) WHERE rank <= {k}"""
+def _rank_sql(src, k, key="chunk_key"):
+    return f"""SELECT query_id, {key}, concat_ws('|', CAST({key} // 1048576 AS VARCHAR),
+    CAST({key} % 1048576 AS VARCHAR)) AS chunk_id, round(score, 6) AS score, rank
+  FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, {key})
+        AS rank FROM {src}) WHERE rank <= {k}"""
+
+
+def _with_chunk_id(df):
+    key = F.col("chunk_key")
+    return df.withColumn("chunk_id", F.concat_ws("|", F.shiftright(key, 20).cast("string"),
+                                                 key.bitwiseAND(F.lit((1 << 20) - 1)).cast("string")))
 
 
 def _ranked(scores, k, window=None):
-    order = [F.round("score", 9).desc(), F.col("chunk_id")]
-    return S.top_k(scores, k, "query_id", order)
+    order = [F.round("score", 9).desc(), F.col("chunk_key")]
+    return _with_chunk_id(S.top_k(scores, k, "query_id", order))
 
 
 @query("bm25_topk", group=G, oracle=INDEX_CTE + _rank_sql("bm", K))
 def bm25_topk(spark, d):
     """TX9: exact BM25 top-8 chunks for every benchmark query."""
-    return _ranked(S.bm25_scores(chunks(spark, d), bench_queries(spark, d)), K)
+    return _ranked(S.SearchIndex.build(chunks(spark, d)).bm25(bench_queries(spark, d)), K)
 
 
 @query("vector_topk", group=G, oracle=INDEX_CTE + _rank_sql("vs", K))
 def vector_topk(spark, d):
     """TX7 + TX8: exact TF-IDF cosine top-8 chunks for every benchmark query."""
-    return _ranked(S.tfidf_cosine(chunks(spark, d), bench_queries(spark, d)), K)
+    return _ranked(S.SearchIndex.build(chunks(spark, d)).cosine(bench_queries(spark, d)), K)
 
 
 @query("hybrid_topk", group=G, oracle=INDEX_CTE + f"""
-, a AS (SELECT query_id, chunk_id, rank AS r_kw FROM ({_rank_sql('bm', S.HYBRID_WINDOW)}))
-, b AS (SELECT query_id, chunk_id, rank AS r_vec FROM ({_rank_sql('vs', S.HYBRID_WINDOW)}))
-, f AS (SELECT coalesce(a.query_id, b.query_id) AS query_id, coalesce(a.chunk_id, b.chunk_id) AS chunk_id,
+, a AS (SELECT query_id, chunk_key, rank AS r_kw FROM ({_rank_sql('bm', S.HYBRID_WINDOW)}))
+, b AS (SELECT query_id, chunk_key, rank AS r_vec FROM ({_rank_sql('vs', S.HYBRID_WINDOW)}))
+, f AS (SELECT coalesce(a.query_id, b.query_id) AS query_id, coalesce(a.chunk_key, b.chunk_key) AS chunk_key,
     coalesce(1.0 / ({S.RRF_K} + r_kw), 0.0) + coalesce(1.0 / ({S.RRF_K} + r_vec), 0.0) AS score
-  FROM a FULL JOIN b ON a.query_id = b.query_id AND a.chunk_id = b.chunk_id)
+  FROM a FULL JOIN b ON a.query_id = b.query_id AND a.chunk_key = b.chunk_key)
 {_rank_sql('f', K)}""")
 def hybrid_topk(spark, d):
     """TX10: reciprocal-rank fusion of keyword and vector rankings, top-8."""
-    c, q = chunks(spark, d), bench_queries(spark, d)
-    tie = [F.col("chunk_id")]
+    idx, q = S.SearchIndex.build(chunks(spark, d)), bench_queries(spark, d)
+    tie = [F.col("chunk_key")]
     order = [F.round("score", 9).desc(), *tie]
-    a = S.top_k(S.bm25_scores(c, q), S.HYBRID_WINDOW, "query_id", order, "r_kw")
-    b = S.top_k(S.tfidf_cosine(c, q), S.HYBRID_WINDOW, "query_id", order, "r_vec")
-    f = (a.select("query_id", "chunk_id", "r_kw").join(b.select("query_id", "chunk_id", "r_vec"),
-                                                       ["query_id", "chunk_id"], "full")
+    a = S.top_k(idx.bm25(q), S.HYBRID_WINDOW, "query_id", order, "r_kw")
+    b = S.top_k(idx.cosine(q), S.HYBRID_WINDOW, "query_id", order, "r_vec")
+    f = (a.select("query_id", "chunk_key", "r_kw").join(b.select("query_id", "chunk_key", "r_vec"),
+                                                        ["query_id", "chunk_key"], "full")
          .withColumn("score", F.coalesce(1.0 / (S.RRF_K + F.col("r_kw")), F.lit(0.0))
                      + F.coalesce(1.0 / (S.RRF_K + F.col("r_vec")), F.lit(0.0))))
-    return S.top_k(f.select("query_id", "chunk_id", "score"), K, "query_id", order)
+    return _with_chunk_id(S.top_k(f.select("query_id", "chunk_key", "score"), K, "query_id", order))
 
 
 @query("filtered_search", group=G, oracle=CHUNK_CTE_T.replace(
@@ -166,7 +178,7 @@ def hybrid_topk(spark, d):
 def filtered_search(spark, d):
     """FLT8 + TX9: metadata filter (lang = en) applied before keyword scoring."""
     c = chunks(spark, d).filter(F.col("lang") == "en")
-    return _ranked(S.bm25_scores(c, bench_queries(spark, d)), K)
+    return _ranked(S.SearchIndex.build(c).bm25(bench_queries(spark, d)), K)
 
 
 @query("label_centroid_topk", group=G, oracle=f"""
@@ -213,7 +225,7 @@ UNION ALL SELECT chunk_id, 'deleted' FROM o WHERE chunk_id NOT IN (SELECT chunk_
 UNION ALL SELECT n.chunk_id, 'updated' FROM n JOIN o ON o.chunk_id = n.chunk_id WHERE n.h <> o.h""")
 def changed_chunks(spark, d):
     """SNK12 / TX13: re-chunking diff (line chunks -> sentence chunks) by content hash."""
-    docs = read_table(spark, d, "documents")
+    docs = documents(spark, d)
     old = T.section_chunks(docs)
     new = T.section_chunks(docs.withColumn("text", F.regexp_replace("text", r"\. ", "\n")))
     return S.changed_rows(old, new, "chunk_id", "chunk")

@@ -13,13 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Settings every wingspan job relies on.  AQE re-plans joins and coalesces
 # shuffle partitions from runtime statistics; the broadcast threshold is the
-# size check Spark applies before it broadcasts a join side.
+# size check Spark applies before it broadcasts a join side (kept at the
+# 10 MB default: file-size estimates of compressed parquet understate the
+# in-memory size of a table several times).
 JOB_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -78,3 +80,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint dir (never localCheckpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a parquet table in the shared checkpoint dir and read it back.
+
+    Used for intermediate tables read several times (a search index, a
+    feature table): later jobs and retried tasks read the files instead of
+    recomputing the lineage.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
+
+    Above the bound the frame is returned unhinted and Spark plans a
+    shuffle join; the check is one count over an input that is small by
+    construction (a query set, a lookup), not over the big side.
+    """
+    n = df.count()
+    from pyspark.sql import functions as F
+    return F.broadcast(df) if n <= max_rows else df
