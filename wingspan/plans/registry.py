@@ -31,6 +31,7 @@ PLAN_MODULES = (
     "wingspan.plans.replay_plans",
     "wingspan.plans.stream_plans",
     "wingspan.plans.model_plans",
+    "wingspan.plans.upkeep_plans",
 )
 
 
