@@ -262,3 +262,18 @@ def test_isolation_forest_flags_planted_outlier(spark):
     assert bool(out.loc[out.id == 999, "is_outlier"].iloc[0])
     assert 0.05 <= out.is_outlier.mean() <= 0.15
     assert out.anomaly_score.between(0, 1).all()
+
+
+def test_group_lag_and_row_number_match_windows_with_hot_group(spark):
+    from pyspark.sql import Window
+    from wingspan.operators.ordering import group_lag, group_row_number
+    rng = np.random.default_rng(5)
+    rows = [(0 if i < 400 else int(rng.integers(1, 30)), int(rng.integers(0, 1000)), i) for i in range(900)]
+    df = spark.createDataFrame(rows, "g long, d long, id long").repartition(5)
+    order = [F.col("d"), F.col("id")]
+    w = Window.partitionBy("g").orderBy("d", "id")
+    exp = df.withColumn("prev_d", F.lag("d").over(w)).withColumn("rn", F.row_number().over(w))
+    exp = {r.id: (r.prev_d, r.rn) for r in exp.collect()}
+    lag = {r.id: r.prev_d for r in group_lag(df, ["g"], order, ["d"], parts=4).collect()}
+    rn = {r.id: r.rn for r in group_row_number(df, ["g"], order, "rn", parts=4).collect()}
+    assert {k: (lag[k], rn[k]) for k in exp} == exp

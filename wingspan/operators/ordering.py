@@ -5,6 +5,12 @@ task.  Here the rows are range-partitioned on the order key, numbered (or
 summed) inside each range, and shifted by the totals of all earlier
 ranges.  Only the per-range totals (one row per shuffle partition, a
 size bounded by configuration) are broadcast back.
+
+The range id (``spark_partition_id``) is only stable within one
+execution of the range exchange, so the ranged rows are written once to
+the shared checkpoint folder and both the numbering and the range totals
+read that copy; numbered results are written too, so several consumers
+(e.g. the two sides of a lag self-join) see the same numbers.
 """
 
 from __future__ import annotations
@@ -12,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wingspan.session import materialize
+
 
 def _parts(df: DataFrame, parts: int | None) -> int:
     if parts:
@@ -20,7 +28,8 @@ def _parts(df: DataFrame, parts: int | None) -> int:
 
 
 def _ranged(df: DataFrame, order: list[Column], parts: int | None) -> DataFrame:
-    return df.repartitionByRange(_parts(df, parts), *order).withColumn("_pid", F.spark_partition_id())
+    ranged = df.repartitionByRange(_parts(df, parts), *order).withColumn("_pid", F.spark_partition_id())
+    return materialize(ranged, "ranged")
 
 
 def _offsets(ranged: DataFrame, sums: dict[str, Column]) -> DataFrame:
@@ -41,9 +50,10 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "row_num",
     r = _ranged(df, order, parts)
     local = r.withColumn("_lrn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
     offs = _offsets(r, {"n": F.lit(1)})
-    return (local.join(F.broadcast(offs), "_pid")
-            .withColumn(name, (F.col("_o_n") + F.col("_lrn")).cast("bigint"))
-            .drop("_pid", "_lrn", "_o_n"))
+    out = (local.join(F.broadcast(offs), "_pid")
+           .withColumn(name, (F.col("_o_n") + F.col("_lrn")).cast("bigint"))
+           .drop("_pid", "_lrn", "_o_n"))
+    return materialize(out, "numbered")
 
 
 def global_cumsum(df: DataFrame, order: list[Column], cols: dict[str, str | Column],
@@ -62,4 +72,42 @@ def global_cumsum(df: DataFrame, order: list[Column], cols: dict[str, str | Colu
     offs = _offsets(r, cexpr)
     out = local.join(F.broadcast(offs), "_pid")
     out = out.withColumns({f"cum_{n}": F.col(f"_o_{n}") + F.col(f"_l_{n}") for n in cexpr})
-    return out.drop("_pid", *[f"_l_{n}" for n in cexpr], *[f"_o_{n}" for n in cexpr])
+    return materialize(out.drop("_pid", *[f"_l_{n}" for n in cexpr], *[f"_o_{n}" for n in cexpr]),
+                       "cumsum")
+
+
+def group_row_number(df: DataFrame, group: list[str], order: list[Column], name: str = "row_num",
+                     parts: int | None = None) -> DataFrame:
+    """``row_number() OVER (PARTITION BY group ORDER BY order)`` without a per-group task.
+
+    Rows are numbered globally by (group, order) and rebased on the first
+    number of their group; a group holding a third of the data is spread
+    over many ranges instead of one window partition.
+    """
+    g = [F.col(c) for c in group]
+    n = global_row_number(df, g + order, "_grn", parts)
+    first = n.groupBy(*group).agg(F.min("_grn").alias("_gfirst"))
+    return (n.join(first, group).withColumn(name, F.col("_grn") - F.col("_gfirst") + 1)
+            .drop("_grn", "_gfirst"))
+
+
+def group_lag(df: DataFrame, group: list[str], order: list[Column], cols: list[str],
+              prefix: str = "prev_", parts: int | None = None) -> DataFrame:
+    """``lag(col) OVER (PARTITION BY group ORDER BY order)`` for each of ``cols``.
+
+    Every row gets a unique global number; the previous row is found by an
+    equi-join on ``number - 1`` (unique keys, so the join is balanced) and
+    kept only when it belongs to the same group.
+    """
+    g = [F.col(c) for c in group]
+    n = global_row_number(df, g + order, "_grn", parts)
+    prev = n.select((F.col("_grn") + 1).alias("_grn"),
+                    *[F.col(c).alias(f"_pg_{c}") for c in group],
+                    *[F.col(c).alias(f"_pv_{c}") for c in cols])
+    j = n.join(prev, "_grn", "left")
+    same = None
+    for c in group:
+        cond = F.col(c).eqNullSafe(F.col(f"_pg_{c}"))
+        same = cond if same is None else same & cond
+    out = j.withColumns({f"{prefix}{c}": F.when(same, F.col(f"_pv_{c}")) for c in cols})
+    return out.drop("_grn", *[f"_pg_{c}" for c in group], *[f"_pv_{c}" for c in cols])

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wingspan.operators.ordering import global_row_number
+from wingspan.operators.ordering import global_row_number, group_row_number
 
 # Signature injected by the replay (RP2).
 INJECT_PHASE = "CRUISE"
@@ -37,8 +37,9 @@ def clone_records(telemetry: DataFrame, mapping: DataFrame) -> DataFrame:
 
 def retime(records: DataFrame, flights: DataFrame) -> DataFrame:
     """RP3 / WN5 / SF10: move each flight to its departure time, keep offsets (microseconds)."""
-    first = F.min("event_ts").over(Window.partitionBy("flight_id"))
-    r = records.withColumn("_off", F.timestamp_diff("MICROSECOND", first, F.col("event_ts")))
+    firsts = records.groupBy("flight_id").agg(F.min("event_ts").alias("_first"))
+    r = records.join(firsts, "flight_id").withColumn(
+        "_off", F.timestamp_diff("MICROSECOND", F.col("_first"), F.col("event_ts"))).drop("_first")
     r = r.join(flights.select("flight_id", "departure_time"), "flight_id", "left")
     new_ts = F.timestamp_add("MICROSECOND", F.col("_off"), F.col("departure_time"))
     return r.withColumn("event_ts", new_ts).withColumn("event_date", F.to_date("event_ts")) \
@@ -52,11 +53,10 @@ def inject_window(telemetry: DataFrame, targets: DataFrame) -> DataFrame:
     Positions count records of the phase in sequence order (ties broken by
     the sensor values so the choice is deterministic).
     """
-    w = Window.partitionBy("flight_id", "flight_phase").orderBy(
-        "record_sequence", "event_ts", "egt_eng1", "egt_eng2", "vibration_n1_eng1",
-        "vibration_n1_eng2")
+    order = [F.col(c) for c in ("record_sequence", "event_ts", "egt_eng1", "egt_eng2",
+                                "vibration_n1_eng1", "vibration_n1_eng2")]
     t = telemetry.join(targets.select("flight_id").withColumn("_target", F.lit(True)), "flight_id", "left")
-    t = t.withColumn("_idx", F.row_number().over(w))
+    t = group_row_number(t, ["flight_id", "flight_phase"], order, "_idx")
     hit = (F.coalesce(F.col("_target"), F.lit(False)) & (F.col("flight_phase") == INJECT_PHASE)
            & F.col("_idx").between(INJECT_START, INJECT_START + INJECT_LEN))
     return t.withColumns({
