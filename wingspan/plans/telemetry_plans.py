@@ -77,8 +77,8 @@ SELECT flight_id, anomaly_type, min(event_ts) AS event_start_timestamp,
   CAST(date_diff('second', min(event_ts), max(event_ts)) AS DOUBLE) AS event_duration_seconds
 FROM enriched WHERE anomaly_type IS NOT NULL GROUP BY flight_id, anomaly_type""")
 def event_bounds(spark, d):
-    """AG3."""
-    return tm.event_bounds(C.enriched_telemetry(spark, d))
+    """AG3 (bounds depend on the records only: no enrichment joins needed)."""
+    return tm.event_bounds(C.telemetry(spark, d))
 
 
 @query("peak_events", group=G, oracle=C.TEL_PRE + """
@@ -97,8 +97,9 @@ SELECT pk.flight_id, pk.airline, pk.tail_number, pk.aircraft_type, pk.anomaly_ty
 FROM pk JOIN b ON b.flight_id = pk.flight_id AND b.anomaly_type = pk.anomaly_type
 WHERE pk.rn = 1""")
 def peak_events(spark, d):
-    """WN1 + AG3 + JN5 (gold anomaly events) in one aggregate."""
-    return tm.anomaly_events(C.enriched_telemetry(spark, d))
+    """WN1 + AG3 + JN5 (gold anomaly events): one aggregate, attributes joined after."""
+    return tm.anomaly_events_from_parts(C.telemetry(spark, d), C.flights(spark, d),
+                                        C.registry(spark, d))
 
 
 @query("route_on_time", group=G, oracle=C.TEL_PRE + """
