@@ -5,6 +5,7 @@ from __future__ import annotations
 from wingspan.operators import installed_base as ib
 from wingspan.plans import common as C
 from wingspan.plans.registry import query
+from wingspan.sources.bindings import AS_OF_DATE
 
 G = "installed_base"
 
@@ -56,7 +57,10 @@ FROM snap s LEFT JOIN comp c ON c.component_id = s.component_id
 LEFT JOIN hist h ON h.component_id = s.component_id""")
 def component_health(spark, d):
     """Gold component scorecard (JN8 + AG8)."""
-    return ib.component_health(C.snapshot(spark, d), C.components(spark, d), C.records(spark, d))
+    recs, comps = C.records(spark, d), C.components(spark, d)
+    stats = ib.service_stats_with_as_of(recs, AS_OF_DATE)   # one pass, used twice
+    snap = ib.bronze(ib.health_snapshot(comps, recs, AS_OF_DATE, stats), ib.SNAPSHOT_RULES)
+    return ib.component_health(snap, comps, recs, stats)
 
 
 @query("maintenance_compliance", group=G, oracle=C.IB_PRE + """
