@@ -96,3 +96,18 @@ def table_diff(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def same_schema(left: DataFrame, right: DataFrame) -> bool:
     return [(f.name, f.dataType) for f in left.schema] == [(f.name, f.dataType) for f in right.schema]
+
+
+def assert_complete_mapping(values: DataFrame, mapping: DataFrame, key: str) -> None:
+    """DQ10 / JN19: every value has a mapping (left anti join must be empty)."""
+    missing = values.select(key).distinct().join(mapping.select(key), key, "left_anti")
+    sample = [r[key] for r in missing.limit(20).collect()]
+    if sample:
+        raise ValueError(f"no mapping for {key} values: {sample}")
+
+
+def require_columns(df: DataFrame, cols: list[str]) -> None:
+    """DQ11: fail when required columns are missing."""
+    missing = [c for c in cols if c not in df.columns]
+    if missing:
+        raise ValueError(f"missing required columns: {missing}")

@@ -143,3 +143,19 @@ def table_diff(spark, d):
     b = bound(spark, d, "telemetry").filter(F.col("anomaly_type").isNotNull()) \
         .select("flight_id").distinct()
     return X.table_diff(a, b)
+
+
+@query("event_props", group=G, oracle="""
+SELECT event_type, CAST(count(*) AS BIGINT) AS events,
+  CAST(count(json_extract(props, '$.k')) AS BIGINT) AS with_k,
+  round(avg(CAST(json_extract(props, '$.k') AS INTEGER)), 6) AS avg_k,
+  CAST(max(CAST(json_extract(props, '$.k') AS INTEGER)) AS INTEGER) AS max_k
+FROM events GROUP BY event_type""")
+def event_props(spark, d):
+    """SF21 / SF22: semi-structured props parsed to VARIANT, path access, typed extract."""
+    ev = read_table(spark, d, "events").withColumn("v", F.try_parse_json("props"))
+    k = F.try_variant_get("v", "$.k", "int")
+    return ev.groupBy("event_type").agg(
+        F.count(F.lit(1)).cast("bigint").alias("events"),
+        F.count(k).cast("bigint").alias("with_k"),
+        F.avg(k).alias("avg_k"), F.max(k).alias("max_k"))

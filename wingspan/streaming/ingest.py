@@ -119,3 +119,37 @@ def read_sink(spark: SparkSession, sink: str | list[str], like: DataFrame | None
         df = r.parquet(p)
         out = df if out is None else out.unionByName(df)
     return out
+
+
+def append_batch(df: DataFrame, source_dir: str, partition_by: list[str] | None = None) -> None:
+    """ST6 / SNK8: append one live batch of files to a stream's source folder."""
+    w = df.write.mode("append")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(source_dir)
+
+
+def sync_changed(stream: DataFrame, index_path: str, key: str, checkpoint: str,
+                 content: str = "chunk") -> StreamingQuery:
+    """ST7 / TX13: triggered index sync - each micro-batch upserts its rows by key.
+
+    ``foreachBatch`` merges the batch into the index table (rows of the
+    batch replace rows with the same key) and rewrites it; a re-run after a
+    failure replays the batch idempotently because the merge is by key.
+    """
+    def merge(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.withColumn("content_hash", F.sha2(F.col(content), 256))
+        try:
+            current = spark.read.parquet(index_path)
+            merged = current.join(batch.select(key), key, "left_anti").unionByName(batch)
+        except Exception:  # first batch: no index yet
+            merged = batch
+        tmp = f"{index_path.rstrip('/')}_e{epoch}"
+        merged.write.mode("overwrite").parquet(tmp)
+        spark.read.parquet(tmp).write.mode("overwrite").parquet(index_path)
+
+    q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
