@@ -65,8 +65,11 @@ def top_decile_capture(df: DataFrame, key: str, score: str = "score", label: str
                        share: float = 0.10) -> DataFrame:
     """ML14: share of positives among the top ceil(share x n) rows, and the lift."""
     r = ranked(df, key, score)
-    n = df.select(F.count(F.lit(1))).scalar()
-    k = F.ceil(n.cast("decimal(38,0)") * F.lit(share).cast("decimal(10,4)"))
+    # one number to the driver (a scalar subquery over a non-deterministic
+    # model output cannot feed an aggregate); k = ceil(share x n) exactly
+    n = df.count()
+    from decimal import ROUND_CEILING, Decimal
+    k = F.lit(int((Decimal(n) * Decimal(str(share))).to_integral_value(ROUND_CEILING)))
     out = r.agg(F.sum(F.when(F.col("rank_desc") <= k, F.col(label)).otherwise(0)).alias("caught"),
                 F.sum(F.col(label)).alias("positives"))
     cap = F.col("caught") / F.greatest(F.col("positives"), F.lit(1))

@@ -253,3 +253,23 @@ def log_run(spark: SparkSession, path: str, params: dict, metrics: dict) -> None
     rec = run_record(params, metrics)
     df = spark.createDataFrame([rec], "run_id string, params map<string,string>, metrics map<string,double>")
     df.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(path)
+
+
+def compare_models(scored: dict[str, DataFrame], key: str = "component_id", label: str = "y",
+                   score: str = "forecast_probability") -> DataFrame:
+    """ML12-ML14 + ML21: exact metrics per candidate; ``best`` marks the highest capture."""
+    from wingspan.operators import evaluation as ev
+    rows = None
+    for name, df in scored.items():
+        s = df.select(key, label, F.col(score).alias("score"))
+        auc = ev.roc_auc(s).select("roc_auc")
+        ap = ev.average_precision(s)
+        cap = ev.top_decile_capture(s, key).select("top_decile_capture", "lift_vs_random")
+        row = auc.select(F.lit(name).alias("model"), "roc_auc",
+                         ap.select("average_precision").scalar().alias("pr_auc"),
+                         cap.select("top_decile_capture").scalar().alias("top_decile_capture"),
+                         cap.select("lift_vs_random").scalar().alias("lift_vs_random"))
+        rows = row if rows is None else rows.unionByName(row)
+    best = Window.partitionBy()  # one row per candidate model
+    return rows.withColumn("best", F.col("top_decile_capture") ==
+                           F.max("top_decile_capture").over(best))

@@ -91,3 +91,34 @@ def asset_priority(spark, d):
                     F.col("anomaly_rate").alias("ml_anomaly_probability"), "health_risk_score",
                     "days_until_next_maintenance", prio.alias("maintenance_priority_score"),
                     scoring.priority_tier(prio).alias("risk_category"))
+
+
+@query("model_selection", group=G)
+def model_selection(spark, d):
+    """ML12-ML14 + ML20 + ML21 + ML25: out-of-fold logistic vs rule baseline, best by capture.
+
+    The run's parameters and metrics are appended to a ``model_runs`` table
+    in the shared checkpoint folder.  (The GBT candidate is
+    ``forecast_gbt_oof``; add it to ``cands`` to compare all three.)
+    """
+    from wingspan.operators.features import rule_baseline_score
+    from wingspan.session import scratch_path
+    p = pit(spark, d)
+    lr = M.oof_scores(p, "logreg")
+    rule = rule_baseline_score(p).withColumnRenamed("score", "forecast_probability")
+    cands = {"logreg": lr, "rule_baseline": rule.select("component_id", "y", "forecast_probability")}
+    out = M.compare_models(cands)
+    best = out.filter("best").orderBy("model").first()
+    M.log_run(spark, scratch_path(spark, "model_runs"), {"model": best.model, "cv": "stratified 5-fold"},
+              {"roc_auc": best.roc_auc or 0.0, "pr_auc": best.pr_auc or 0.0,
+               "top_decile_capture": best.top_decile_capture or 0.0})
+    return out
+
+
+@query("forest_feature_importance", group=G)
+def forest_feature_importance(spark, d):
+    """ML19: ranked feature importances of the anomaly-type forest."""
+    rows = C.telemetry(spark, d).filter(F.col("anomaly_type").isNotNull())
+    _, ranked = M.anomaly_type_forest(rows, FOREST_FEATURES)
+    return spark.createDataFrame([(i + 1, f, float(v)) for i, (f, v) in enumerate(ranked)],
+                                 "rank int, feature string, importance double")
