@@ -13,7 +13,7 @@ import uuid
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -66,6 +66,21 @@ def _classifier(kind: str, n_train_weight: float):
     raise ValueError(kind)
 
 
+def _without_summaries(model: PipelineModel, name: str = "model") -> PipelineModel:
+    """The fitted pipeline saved to the shared folder and loaded back.
+
+    A training summary references the SparkSession; once an
+    ``Observation`` has been used in the session it no longer serialises,
+    so scoring closures must not carry it.  A loaded model has no summary
+    (and the saved copy is the persisted model, ML25).
+    """
+    from wingspan.session import scratch_path
+    from pyspark.sql import SparkSession
+    path = scratch_path(SparkSession.getActiveSession(), name)
+    model.write().overwrite().save(path)
+    return PipelineModel.load(path)
+
+
 def with_balanced_weights(df: DataFrame, label: str = "y") -> DataFrame:
     w = class_weights(df, label).select(label, "weight")
     return df.join(F.broadcast(w), label)  # one row per class
@@ -86,7 +101,7 @@ def oof_scores(pit: DataFrame, kind: str = "logreg", key: str = "component_id",
         train = base.filter(F.col("fold") != f)
         test = base.filter(F.col("fold") == f)
         n_w = train.select(F.sum("weight")).first()[0]
-        model = Pipeline(stages=_feature_stages() + _classifier(kind, n_w)).fit(train)
+        model = _without_summaries(Pipeline(stages=_feature_stages() + _classifier(kind, n_w)).fit(train))
         pred = model.transform(test).select(
             key, label, "fold", vector_to_array("probability")[1].alias("forecast_probability"))
         out = pred if out is None else out.unionByName(pred)
@@ -112,7 +127,7 @@ def anomaly_type_forest(rows: DataFrame, features: list[str], label: str = "anom
     stages = [StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc"),
               VectorAssembler(inputCols=features, outputCol="features"),
               RandomForestClassifier(featuresCol="features", labelCol="label", **FOREST_PARAMS)]
-    model = Pipeline(stages=stages).fit(d.filter(~F.col("is_test")))
+    model = _without_summaries(Pipeline(stages=stages).fit(d.filter(~F.col("is_test"))))
     pred = model.transform(d.filter(F.col("is_test")))
     labels = model.stages[0].labels
     to_name = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("prediction").cast("int") + 1)
