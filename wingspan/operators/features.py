@@ -120,7 +120,7 @@ def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5) -> DataFra
     # number all rows by (class, hash, key) with the distributed numbering,
     # then rebase each class on its first number (one row per class)
     numbered = global_row_number(df.withColumn("_h", h), [F.col(label), F.col("_h"), F.col(key)],
-                                 name="_grn")
+                                 name="_grn", reuse=True)
     first = numbered.groupBy(label).agg(F.min("_grn").alias("_first"))
     return (numbered.join(F.broadcast(first), label)
             .withColumn("fold", ((F.col("_grn") - F.col("_first")) % k).cast("int"))

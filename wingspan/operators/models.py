@@ -120,7 +120,8 @@ def anomaly_type_forest(rows: DataFrame, features: list[str], label: str = "anom
     from wingspan.operators.ordering import global_row_number
     h = rows.withColumn("_h", F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in key_cols])))
     # classes are few and one may hold most rows: number globally, rebase per class
-    n = global_row_number(h, [F.col(label), F.col("_h"), *[F.col(c) for c in key_cols]], "_grn")
+    n = global_row_number(h, [F.col(label), F.col("_h"), *[F.col(c) for c in key_cols]], "_grn",
+                          reuse=True)
     g = n.groupBy(label).agg(F.min("_grn").alias("_first"), F.count(F.lit(1)).alias("_n"))
     d = n.join(F.broadcast(g), label).withColumn(
         "is_test", F.col("_grn") - F.col("_first") + 1 <= F.ceil(F.col("_n") * test_share))

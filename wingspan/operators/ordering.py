@@ -41,11 +41,12 @@ def _offsets(ranged: DataFrame, sums: dict[str, Column]) -> DataFrame:
 
 
 def global_row_number(df: DataFrame, order: list[Column], name: str = "row_num",
-                      parts: int | None = None) -> DataFrame:
+                      parts: int | None = None, reuse: bool = False) -> DataFrame:
     """``row_number() OVER (ORDER BY order)`` computed range by range.
 
     ``order`` must be a total order (add an id as the last key) for the
-    numbering to be deterministic.
+    numbering to be deterministic.  ``reuse=True`` writes the numbered rows
+    once, for callers that read the numbers in several places.
     """
     r = _ranged(df, order, parts)
     local = r.withColumn("_lrn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
@@ -53,7 +54,7 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "row_num",
     out = (local.join(F.broadcast(offs), "_pid")
            .withColumn(name, (F.col("_o_n") + F.col("_lrn")).cast("bigint"))
            .drop("_pid", "_lrn", "_o_n"))
-    return materialize(out, "numbered")
+    return materialize(out, "numbered") if reuse else out
 
 
 def global_cumsum(df: DataFrame, order: list[Column], cols: dict[str, str | Column],
@@ -85,7 +86,7 @@ def group_row_number(df: DataFrame, group: list[str], order: list[Column], name:
     over many ranges instead of one window partition.
     """
     g = [F.col(c) for c in group]
-    n = global_row_number(df, g + order, "_grn", parts)
+    n = global_row_number(df, g + order, "_grn", parts, reuse=True)
     first = n.groupBy(*group).agg(F.min("_grn").alias("_gfirst"))
     return (n.join(first, group).withColumn(name, F.col("_grn") - F.col("_gfirst") + 1)
             .drop("_grn", "_gfirst"))
@@ -100,7 +101,7 @@ def group_lag(df: DataFrame, group: list[str], order: list[Column], cols: list[s
     kept only when it belongs to the same group.
     """
     g = [F.col(c) for c in group]
-    n = global_row_number(df, g + order, "_grn", parts)
+    n = global_row_number(df, g + order, "_grn", parts, reuse=True)
     prev = n.select((F.col("_grn") + 1).alias("_grn"),
                     *[F.col(c).alias(f"_pg_{c}") for c in group],
                     *[F.col(c).alias(f"_pv_{c}") for c in cols])

@@ -87,7 +87,7 @@ def quota_sample(df: DataFrame, group: str, key: str, rate: float = QUOTA_RATE)
     and rebases each group on its first number: no window holds a group.
     """
     h = df.withColumn("_h", F.md5(F.col(key).cast("string")))
-    n = global_row_number(h, [F.col(group), F.col("_h"), F.col(key)], "_grn")
+    n = global_row_number(h, [F.col(group), F.col("_h"), F.col(key)], "_grn", reuse=True)
     g = n.groupBy(group).agg(F.min("_grn").alias("_first"), F.count(F.lit(1)).alias("_n"))
     j = n.join(g, group)
     quota = F.bround(F.col("_n") * F.lit(rate), 0)

@@ -69,6 +69,26 @@ def secure(df: DataFrame, ents: DataFrame, airlines: DataFrame, caller: str, gro
     return out.select(*df.columns)
 
 
+def caller_grants(ents: DataFrame, airlines: DataFrame,
+                  callers: list[tuple[str, list[str]]]) -> DataFrame:
+    """(caller, airline, _see) for a list of callers, as one relational plan.
+
+    Each caller's principals (the user and its groups) are joined to the
+    entitlements; ``*`` grants are expanded by an equi-join with the
+    airline dimension; money visibility is ``max(can_see)`` per caller.
+    The result is bounded by callers x airlines (dimension sizes).
+    """
+    spark = ents.sparkSession
+    rows = [(c, c, "USER") for c, _ in callers] + [(c, g, "GROUP") for c, gs in callers for g in gs]
+    who = spark.createDataFrame(rows, "caller string, principal string, principal_type string")
+    mine = who.join(ents, ["principal", "principal_type"])
+    direct = mine.filter(F.col("airline") != "*").select("caller", "airline")
+    star = mine.filter(F.col("airline") == "*").select("caller").distinct().withColumn("_k", F.lit("*"))
+    every = star.join(airlines.select("airline").withColumn("_k", F.lit("*")), "_k").select("caller", "airline")
+    see = mine.groupBy("caller").agg((F.max(F.col("can_see_financials").cast("int")) > 0).alias("_see"))
+    return direct.unionByName(every).distinct().join(see, "caller")
+
+
 def secure_many(df: DataFrame, ents: DataFrame, airlines: DataFrame,
                 callers: list[tuple[str, list[str]]], airline_col: str = "airline",
                 masked: tuple[str, ...] = ()) -> DataFrame:
@@ -77,13 +97,7 @@ def secure_many(df: DataFrame, ents: DataFrame, airlines: DataFrame,
     A small (caller, airline, can_see) table - callers x permitted airlines
     - is built first; the data is joined to it once on ``airline``.
     """
-    grants = None
-    for caller, groups in callers:
-        g = (allowed_airlines(ents, airlines, caller, groups)
-             .withColumn("caller", F.lit(caller))
-             .withColumn("_see", can_see_financials(ents, caller, groups)))
-        grants = g if grants is None else grants.unionByName(g)
-    grants = grants.withColumnRenamed("airline", airline_col)
+    grants = caller_grants(ents, airlines, callers).withColumnRenamed("airline", airline_col)
     out = df.join(grants, airline_col, "inner")
     if masked:
         out = out.withColumns({c: F.when(F.col("_see"), F.col(c)) for c in masked})
