@@ -9,6 +9,7 @@ does not decide a hash comparison.
 from __future__ import annotations
 
 import importlib
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,12 +36,56 @@ PLAN_MODULES = (
 )
 
 
-def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Round every floating column to ``places`` decimals."""
+SCALE = 1e6
+
+
+def round6(c):
+    """Half-up rounding to 6 places as floor(x * 1e6 + 0.5) / 1e6.
+
+    Written with IEEE multiply / add / divide only, so Spark and DuckDB
+    give identical bits (their built-in ``round`` disagree on exact binary
+    ties such as 2.4859375).  NaN and infinities pass through unchanged.
+    """
+    x = c.cast("double")
+    finite = ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
+    return F.when(finite, F.floor(x * SCALE + 0.5) / SCALE).otherwise(x)
+
+
+def rewrite_round6(sql: str) -> str:
+    """Rewrite every ``round(<expr>, 6)`` of an oracle into the same formula."""
+    out, i = [], 0
+    pat = re.compile(r"\bround\(", re.IGNORECASE)
+    while True:
+        m = pat.search(sql, i)
+        if not m:
+            out.append(sql[i:])
+            return "".join(out)
+        start = m.end()
+        depth, j, last_comma = 1, start, None
+        while depth:
+            ch = sql[j]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                last_comma = j
+            j += 1
+        inner = sql[start:j - 1]
+        if last_comma is not None and sql[last_comma + 1:j - 1].strip() == "6":
+            expr = rewrite_round6(sql[start:last_comma])
+            out.append(sql[i:m.start()] + f"(floor(({expr}) * 1e6 + 0.5) / 1e6)")
+        else:
+            out.append(sql[i:m.start()] + "round(" + rewrite_round6(inner) + ")")
+        i = j
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    """Round every floating column to 6 places (see :func:`round6`)."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append(F.round(F.col(f"`{f.name}`").cast("double"), places).alias(f.name))
+            cols.append(round6(F.col(f"`{f.name}`")).alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)
@@ -58,7 +103,7 @@ def query(name: str, oracle: str | None = None, group: str = "misc", round_outpu
             raise ValueError(f"duplicate query {name}")
         _QUERIES[name] = run
         if oracle is not None:
-            _ORACLES[name] = oracle.strip()
+            _ORACLES[name] = rewrite_round6(oracle.strip())
         _GROUPS[name] = group
         return run
     return deco
