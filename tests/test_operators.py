@@ -142,7 +142,7 @@ def test_installed_base_rules(spark):
     comp = spark.createDataFrame([(1, "HYD", "d", "P", 90, 1000, 500, "FLIGHT_CRITICAL"),
                                   (2, "FUEL", "d", "P", 0, 1000, 700, "ESSENTIAL")],
                                  "component_id long, component_type string, description string, "
-                                 "parker_division string, maintenance_interval_days long, max_cycles long, "
+                                 "division string, maintenance_interval_days long, max_cycles long, "
                                  "unit_cost_usd long, criticality string")
     ac = spark.createDataFrame([(10, "AL01", "A320", 1990, 11, 100)],
                                "tail_number long, airline string, aircraft_type string, "

@@ -64,7 +64,7 @@ class MetricView:
 # The three published metric views (names, dimensions, measures).
 COMPONENT_HEALTH_METRICS = MetricView(
     "component_health_metrics",
-    ("airline", "component_type", "criticality", "failure_risk_category", "parker_division",
+    ("airline", "component_type", "criticality", "failure_risk_category", "division",
      "aircraft_type"),
     (Measure("total_components", "COUNT(1)", "Total Components"),
      Measure("avg_health_index", "AVG(health_index)", "Avg Health Index"),
@@ -103,7 +103,7 @@ FORECAST_METRICS = MetricView(
 ANOMALY_METRICS = MetricView(
     "maintenance_anomaly_metrics",
     ("airline", "component_type", "anomaly_type", "anomaly_severity", "flight_delay_risk",
-     "mro_shop", "criticality", "parker_division"),
+     "mro_shop", "criticality", "division"),
     (Measure("total_anomalies", "COUNT(1)", "Total Anomalies"),
      Measure("critical_anomalies", "COUNT(1) FILTER (WHERE anomaly_severity = 'CRITICAL')",
              "Critical Anomalies"),

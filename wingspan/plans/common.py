@@ -101,7 +101,7 @@ al AS (SELECT * FROM airlines WHERE airline IS NOT NULL),
 em AS (SELECT m.record_id, m.component_id, m.tail_number, m.maintenance_date, m.maintenance_type,
   m.mro_shop, m.cycles_at_service, m.days_since_last_service, m.is_overdue, m.compliance_status,
   m.anomaly_flag, m.anomaly_type, m.anomaly_severity, m.warranty_claim_risk, m.flight_delay_risk,
-  m.days_undetected, c.component_type, c.description, c.parker_division,
+  m.days_undetected, c.component_type, c.description, c.division,
   c.maintenance_interval_days, c.max_cycles, c.unit_cost_usd, c.criticality,
   a.airline, a.aircraft_type, a.manufacture_year, a.age_years, a.total_flight_hours,
   CAST(greatest(m.days_since_last_service - c.maintenance_interval_days, 0) AS BIGINT) AS overdue_days,

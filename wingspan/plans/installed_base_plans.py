@@ -14,7 +14,7 @@ G = "installed_base"
 SELECT record_id, component_id, tail_number, maintenance_date, maintenance_type, mro_shop,
   cycles_at_service, days_since_last_service, is_overdue, compliance_status, anomaly_flag,
   anomaly_type, anomaly_severity, warranty_claim_risk, flight_delay_risk, days_undetected,
-  component_type, description, parker_division, maintenance_interval_days, max_cycles,
+  component_type, description, division, maintenance_interval_days, max_cycles,
   unit_cost_usd, criticality, airline, aircraft_type, manufacture_year, age_years,
   total_flight_hours, overdue_days, round(compliance_score, 6) AS compliance_score,
   anomaly_risk_flag, record_warranty_exposure_usd
@@ -44,7 +44,7 @@ def health_snapshot(spark, d):
     max(maintenance_date) AS last_service_date
   FROM em GROUP BY component_id)
 SELECT s.component_id, s.component_type, s.tail_number, s.airline, s.aircraft_type,
-  c.description, c.parker_division, c.criticality, c.unit_cost_usd,
+  c.description, c.division, c.criticality, c.unit_cost_usd,
   round(s.health_index, 6) AS health_index, s.cycles_since_install, s.days_since_last_service,
   s.days_until_next_service, s.days_to_predicted_failure,
   round(s.maintenance_compliance_rate, 6) AS maintenance_compliance_rate, s.failure_risk_category,

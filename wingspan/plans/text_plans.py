@@ -42,12 +42,15 @@ def corpus_index(spark, d, lang: str | None = None) -> S.SearchIndex:
     st = os.stat(path) if os.path.exists(path) else None
     sig = (id(spark), os.path.realpath(path), st.st_size if st else None,
            st.st_mtime if st else None, lang)
-    if sig not in _INDEX_CACHE:
+    hit = _INDEX_CACHE.get(sig)
+    if hit is not None and hit.postings.sparkSession is not spark:
+        hit = None  # a new session reusing the id of a stopped one
+    if hit is None:
         c = chunks(spark, d)
         if lang is not None:
             c = c.filter(F.col("lang") == lang)
-        _INDEX_CACHE[sig] = S.SearchIndex.build(c)
-    return _INDEX_CACHE[sig]
+        hit = _INDEX_CACHE[sig] = S.SearchIndex.build(c)
+    return hit
 
 
 def bench_queries(spark, d):

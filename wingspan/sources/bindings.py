@@ -108,7 +108,7 @@ FROM {{supplier}}""", ("supplier",)),
 SELECT p.p_partkey AS component_id,
        p.p_type AS component_type,
        p.p_name AS description,
-       p.p_brand AS parker_division,
+       p.p_brand AS division,
        s.s_suppkey AS tail_number,
        {_AIRLINE.format(k='s.s_nationkey')} AS airline,
        CASE s.s_suppkey % 3 WHEN 0 THEN 'A320' WHEN 1 THEN 'B737' ELSE 'E175' END AS aircraft_type,
