@@ -7,7 +7,7 @@ builder below is only for tests, benches and local runs.
 from __future__ import annotations
 
 import os
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +31,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     """Local session for tests and benches (UI off, UTC, AQE on)."""
     master = master or os.environ.get("WINGSPAN_MASTER", "local[*]")
     b = (SparkSession.builder.master(master).appName(app_name)
+         .config("spark.driver.host", "127.0.0.1")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -44,36 +45,41 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def apply_job_conf(spark: SparkSession) -> None:
-    """Apply the runtime SQL settings wingspan needs to an existing session."""
+    """Set the SQL settings wingspan needs; a value the caller has set stays."""
+    explicit = spark.conf.getAll
     for k, v in JOB_CONF.items():
-        try:
+        if k not in explicit:
             spark.conf.set(k, v)
-        except Exception:  # static conf on a shared cluster session: leave it
-            pass
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's ``spark.checkpoint.dir``; set a scratch one only if unset.
+    """The shared folder for checkpoints and intermediate tables.
 
-    On a cluster the setting names a shared folder and is always respected.
-    A machine-local folder is chosen only when the session has none (tests).
+    ``spark.checkpoint.dir`` of the session names it on a cluster and is
+    always respected.  Where it is unset a folder in the session's
+    warehouse is taken (also storage that all executors see); nothing is
+    ever put in a machine-local temporary folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = spark.sparkContext.getCheckpointDir() if hasattr(
-            spark.sparkContext, "getCheckpointDir") else None
-    if not current:
-        current = tempfile.mkdtemp(prefix="wingspan-ckpt-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+        if not warehouse:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        current = f"{warehouse.rstrip('/')}/_wingspan_scratch"
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint dir for intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base) if base.startswith("/") \
-        else f"{base.rstrip('/')}/{name}-{os.getpid()}-{os.urandom(4).hex()}"
+    """A fresh sub-folder of the shared folder, removed when the session's JVM ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:16]}"
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(hpath)
+    fs.deleteOnExit(hpath)
+    return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
