@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wingspan.llm import simhash_pigeonring
+from wingspan.llm import host_rules, pii_boosting, quality_bayes, simhash_pigeonring
 from wingspan.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +27,61 @@ def register(name: str, oracle: str | None = None):
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document: doc_id, fingerprint, component_id."""
     return simhash_pigeonring.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op3_quality_bayes")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hierarchical quality score of every document, over all labels."""
+    out = quality_bayes.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "_quality.*")
+
+
+@register("op8_pii_boosting")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts and digest of the base spans, all spans."""
+    found = pii_boosting.find_pii(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("_base", _of_kind(k))).cast("long").alias(f"n_{kind}")
+              for k, kind in enumerate(pii_boosting.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii_boosting.listing(F.col("_base")), 256).alias("base_sha256"),
+                        pii_boosting.listing(F.col("_spans")).alias("spans"))
+
+
+def _of_kind(k: int):
+    return lambda span: span.k == k
+
+
+OP9_SQL = """
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, source, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws FROM d),
+lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines
+  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
+pos AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 4], ' ') AS g FROM pos),
+twice AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
+  FROM twice, (SELECT unnest(range(0, 5)) AS k) GROUP BY doc_id),
+c AS (SELECT w.doc_id, w.source, len(ws) AS n_words,
+    length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM w LEFT JOIN dup ON dup.doc_id = w.doc_id LEFT JOIN rep ON rep.doc_id = w.doc_id),
+f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM c),
+h AS (SELECT source, count(*)::DOUBLE AS n, sum(base_failed::INT)::DOUBLE AS x FROM f GROUP BY source),
+m AS (SELECT sum(x) / sum(n) AS p, sum(x * x / n) / sum(n) AS s2, count(*) / sum(n) AS kn FROM h),
+k AS (SELECT p, least(greatest(p * (1 - p) / greatest(s2 - p * p - p * (1 - p) * kn, 1e-12) - 1, 1.0), 1e6)
+  AS strength FROM m),
+v AS (SELECT source, (x + p * strength) / (n + strength) < 0.5 AS passed FROM h, k)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+  n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+  NOT base_failed AND passed AS kept
+FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source
+"""
+
+
+@register("op9_host_rules", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts of every document with the verdict of its host (source)."""
+    out = host_rules.apply_rules(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept")
