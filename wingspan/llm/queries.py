@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wingspan.llm import host_rules, pii_boosting, quality_bayes, simhash_pigeonring
+from wingspan.llm import drr_packing, host_rules, pii_boosting, quality_bayes, simhash_pigeonring
 from wingspan.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = host_rules.apply_rules(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept")
+
+
+@register("op1_drr_packing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 tokens, with a digest of their ids."""
+    pieces = drr_packing.pack(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
