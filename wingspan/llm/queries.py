@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wingspan.llm import drr_packing, host_rules, pii_boosting, quality_bayes, simhash_pigeonring
+from wingspan.llm import drr_packing, host_rules, ipf_mixing, pii_boosting, quality_bayes, simhash_pigeonring
 from wingspan.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,51 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = drr_packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset")
+
+
+def _op2_sql() -> str:
+    """The same raking as a chain of CTEs, one per step."""
+    counts = [f"len(regexp_extract_all(t, '(^|[^A-Za-z])[{x}{x.upper()}][A-Za-z][A-Za-z][A-Za-z]')) AS c{i}"
+              for i, x in enumerate(ipf_mixing.TOPIC_LETTERS)]
+    names = [f"c{i}" for i in range(len(counts))]
+    pick = " ".join(f"WHEN {c} = most THEN 't{i}'" for i, c in enumerate(names))
+    axes = ("source", "lang", "topic")
+    sql = f"""
+WITH d AS (SELECT doc_id, source, lang, coalesce(text, '') AS t FROM documents),
+n AS (SELECT doc_id, source, lang, len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')) AS tokens,
+  {', '.join(counts)} FROM d),
+g AS (SELECT *, greatest({', '.join(names)}) AS most FROM n),
+m AS (SELECT doc_id, source, lang, tokens, CASE WHEN most = 0 THEN 'none' {pick} END AS topic FROM g),
+cells AS MATERIALIZED (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM m GROUP BY ALL)"""
+    for a in axes:
+        sql += f""",
+goal_{a} AS MATERIALIZED (SELECT {a}, pow(sum(tokens), {ipf_mixing.TEMPER}) /
+  sum(pow(sum(tokens), {ipf_mixing.TEMPER})) OVER () AS target, 1.0::DOUBLE AS f FROM cells GROUP BY {a})"""
+    last = {a: f"goal_{a}" for a in axes}
+    for k in range(ipf_mixing.SWEEPS):
+        for a in axes:
+            x, y = (b for b in axes if b != a)
+            sql += f""",
+f{k}_{a} AS MATERIALIZED (SELECT g.{a}, target, CASE WHEN s > 0 THEN target / s ELSE 1.0 END AS f
+  FROM goal_{a} g JOIN (SELECT c.{a}, sum(c.tokens * p.f * q.f) AS s FROM cells c
+    JOIN {last[x]} p ON c.{x} IS NOT DISTINCT FROM p.{x} JOIN {last[y]} q ON c.{y} IS NOT DISTINCT FROM q.{y}
+    GROUP BY c.{a}) z ON g.{a} IS NOT DISTINCT FROM z.{a})"""
+            last[a] = f"f{k}_{a}"
+    joins = " ".join(f"JOIN {last[a]} {a[0]} ON c.{a} IS NOT DISTINCT FROM {a[0]}.{a}" for a in axes)
+    return sql + f""",
+w AS MATERIALIZED (SELECT c.*, s.f * l.f * t.f AS w FROM cells c {joins}),
+p AS (SELECT source, lang, topic, least(w / (SELECT max(w) FROM w WHERE tokens > 0), 1.0) AS p FROM w)
+SELECT doc_id, m.source, m.lang, m.topic, tokens::BIGINT AS tokens,
+  floor(p * 1e6 + 0.5) / 1e6 AS probability,
+  ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0 < p AS kept
+FROM m JOIN p ON m.source IS NOT DISTINCT FROM p.source AND m.lang IS NOT DISTINCT FROM p.lang
+  AND m.topic = p.topic
+"""
+
+
+@register("op2_ipf_mixing", _op2_sql())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raked sampling probability of every document and whether it is drawn."""
+    out = ipf_mixing.mixing_probabilities(table(spark, sf_dir, "documents"), tolerance=0.0)
+    return out.select("doc_id", "_mix.source", "_mix.lang", "_mix.topic", "_mix.tokens",
+                      (F.floor(F.col("_mix.probability") * 1e6 + 0.5) / 1e6).alias("probability"), "_mix.kept")
