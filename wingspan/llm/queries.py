@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wingspan.llm import drr_packing, host_rules, ipf_mixing, pii_boosting, quality_bayes, simhash_pigeonring
+from wingspan.llm import drr_packing, host_rules, ipf_mixing, pii_boosting, quality_bayes, simhash_pigeonring, toxicity_ftrl, voronoi_knn
 from wingspan.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,31 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ipf_mixing.mixing_probabilities(table(spark, sf_dir, "documents"), tolerance=0.0)
     return out.select("doc_id", "_mix.source", "_mix.lang", "_mix.topic", "_mix.tokens",
                       (F.floor(F.col("_mix.probability") * 1e6 + 0.5) / 1e6).alias("probability"), "_mix.kept")
+
+
+@register("op5_toxicity_ftrl")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; rows whose crc32(doc_id) mod 4 is 2 are never learned from."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    weights = toxicity_ftrl.fit(docs, labels, ~held)
+    scored = toxicity_ftrl.score_documents(docs, weights)
+    return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+OP6_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@register("op6_voronoi_knn", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best other vectors of every vector whose id is divisible by 20."""
+    found = voronoi_knn.top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
