@@ -9,6 +9,7 @@ def slow(rows, top=20):
     ok = [(i, np.floor(64 * np.array(v, float)).astype(object)) for i, v in rows
           if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
     dim = max((len(v) for _, v in ok), default=0)
+    ok = list({i: v for i, v in sorted(ok, key=lambda x: (x[0], list(x[1])))}.items())
     ok = [(i, [int(x) for x in v] + [0] * (dim - len(v))) for i, v in ok]
     out = set()
     for i, q in ok:

@@ -22,9 +22,9 @@ cell with a third of all vectors is many groups and many blocks.  The bounds
 hold exactly; a small relative slack covers rounding.
 
 Vectors that are null, empty or hold null or non-finite components take no
-part.  Shorter vectors are padded with zeros.  Rows of one id count once, by
-their best score; a query never meets its own id.  Scores are 64-bit
-integers.
+part.  Shorter vectors are padded with zeros.  Rows of one id count once: the
+largest vector in array order stands for the id.  A query never meets its
+own id.  Scores are 64-bit integers.
 """
 
 from __future__ import annotations
@@ -56,6 +56,13 @@ def integer_vectors(df: DataFrame, id_col: str, vec_col: str, scale: int = SCALE
     return df.filter(F.col(id_col).isNotNull() & (F.size(x) > 0) & ~bad).select(F.col(id_col).alias("id"), v.alias("v"))
 
 
+def one_per_id(vectors: DataFrame) -> DataFrame:
+    """One row per id; only ids alone are shuffled unless some repeat."""
+    twice = stored(vectors.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id"), "knn-repeats")
+    merged = vectors.join(twice, "id", "left_semi").groupBy("id").agg(F.max("v").alias("v"))
+    return vectors.join(twice, "id", "left_anti").unionByName(merged)
+
+
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     out = np.zeros((len(column), dim))
     lengths = np.diff(column.offsets.to_numpy())
@@ -162,8 +169,8 @@ def top_inner_products(df: DataFrame, is_query: Column, id_col: str = "vec_id",
 
     ``is_query`` is a condition over the rows of ``df``.
     """
-    vectors = stored(integer_vectors(df, id_col, vec_col, scale), "knn-vectors")
-    asked = stored(integer_vectors(df.filter(is_query), id_col, vec_col, scale), "knn-queries")
+    vectors = stored(one_per_id(integer_vectors(df, id_col, vec_col, scale)), "knn-vectors")
+    asked = stored(one_per_id(integer_vectors(df.filter(is_query), id_col, vec_col, scale)), "knn-queries")
     out_schema = "query_id long, rank int, id long, score long"
     spark = df.sparkSession
     shape = vectors.agg(F.max(F.size("v")).alias("dim"), F.count("*").alias("n")).first()
@@ -216,7 +223,6 @@ def top_inner_products(df: DataFrame, is_query: Column, id_col: str = "vec_id",
 
     partial = (placed.groupBy("grp", "chunk").cogroup(sent.groupBy("grp", "chunk"))
                .applyInArrow(local, "query_id long, id long, score long"))
-    once = partial.groupBy("query_id", "id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id")))
-    return once.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= top).select(
+    return partial.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= top).select(
         "query_id", "rank", "id", "score")
