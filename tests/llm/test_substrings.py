@@ -5,7 +5,9 @@ import re
 import numpy as np
 import pytest
 
+from wingspan.llm import induced_sorting as I
 from wingspan.llm import passages as P
+from wingspan.llm import suffix_array_dedup as D
 from wingspan.llm import suffix_automaton as A
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -87,3 +89,50 @@ def test_runs_cover_each_window_once():
         want = [int(np.argmin(order[i:i + width])) + i for i in range(n - width + 1)]
         got = [a for a, c in zip(at.tolist(), count.tolist()) for _ in range(c)]
         assert got == want and (np.cumsum(count) - count == first).all()
+
+
+def test_suffix_array_and_common_prefixes():
+    rnd = random.Random(4)
+    for text in [b"", b"a", b"aaaaaaaaaa", b"banana", b"mississippi" * 7, bytes(rnd.choice(b"ab") for _ in range(3000)),
+                 bytes(rnd.choice(b"abcdefgh") for _ in range(700)) * 4, bytes(range(1, 255)), b"abracadabra" * 300]:
+        s = np.append(np.frombuffer(text, np.uint8).astype(np.int64) + 1, 0)
+        want = sorted(range(len(s)), key=lambda i: text[i:] if i < len(text) else b"")
+        sa = I.suffix_array(s)
+        assert sa.tolist() == want
+        lcp = I.permuted_lcp(text + b"\x00", sa, np.array([0]), len(s) + 8)
+        for x, y in zip(want, want[1:]):
+            n = 0
+            while max(x, y) + n < len(text) and text[x + n] == text[y + n]:
+                n += 1
+            assert lcp[y] == n
+
+
+def slow_bytes(rows, window):
+    data = [(t or "").encode() for _, t in rows]
+    seen = {}
+    for b in data:
+        for i in range(len(b) - window + 1):
+            seen[b[i:i + window]] = seen.get(b[i:i + window], 0) + 1
+    out = []
+    for b in data:
+        cut = np.zeros(len(b), bool)
+        for i in range(len(b) - window + 1):
+            if seen[b[i:i + window]] > 1:
+                cut[i:i + window] = True
+        runs = int(np.count_nonzero(np.diff(cut.astype(np.int8), prepend=0) == 1))
+        kept = np.frombuffer(b, np.uint8)[~cut].tobytes()
+        out.append((len(b), int(cut.sum()), runs, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("window,limit", [(400, 10000), (60, 10000), (60, 1)])
+def test_byte_dedup_against_brute_force(spark, window, limit):
+    rows = corpus(window)
+    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n int").repartition(5)
+    got = D.dedup_bytes(df, window=window, gram=32 if window == 400 else 16, array_contents=limit).collect()
+    seen = sorted((r.doc_id is None, r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans,
+                   hashlib.sha256(r.kept).hexdigest()) for r in got)
+    want = sorted((i is None, i or 0, *x) for (i, _), x in zip(rows, slow_bytes(rows, window)))
+    assert seen == want
+    assert sum(x[3] for x in want) > 1000
+    assert D.dedup_bytes(df.limit(0)).count() == 0

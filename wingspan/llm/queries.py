@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wingspan.llm import drr_packing, host_rules, ipf_mixing, pii_boosting, quality_bayes, simhash_pigeonring, toxicity_ftrl, voronoi_knn
+from wingspan.llm import (drr_packing, host_rules, ipf_mixing, pii_boosting, quality_bayes, simhash_pigeonring,
+                          suffix_array_dedup, suffix_automaton, toxicity_ftrl, voronoi_knn)
 from wingspan.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +170,34 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best other vectors of every vector whose id is divisible by 20."""
     found = voronoi_knn.top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+OP7_SQL = """
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\\\x20\\\\x09-\\\\x0D]+') AS ws FROM documents),
+p AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13),
+win AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 12], ' ')) AS g FROM p),
+own AS (SELECT g, min(doc_id) AS first FROM win GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM win JOIN own USING (g), (SELECT unnest(range(0, 13)) AS k)
+  WHERE first < doc_id),
+u AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS word FROM w),
+k AS (SELECT u.doc_id, string_agg(word, ' ' ORDER BY u.i) AS kept FROM u ANTI JOIN gone
+  ON gone.doc_id = u.doc_id AND gone.i = u.i GROUP BY u.doc_id),
+r AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(r.n, 0)::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k ON k.doc_id = w.doc_id LEFT JOIN r ON r.doc_id = w.doc_id
+"""
+
+
+@register("op7_suffix_automaton", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of every document when windows of 13 words that an earlier document holds are removed."""
+    out = suffix_automaton.dedup_words(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op10_suffix_array")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left of every document when strings of 400 bytes that occur twice are removed."""
+    out = suffix_array_dedup.dedup_bytes(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -36,8 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wingspan.llm.common import stored
-from wingspan.llm.passages import (MIX, Passages, anchored_runs, candidate_passages, distinct_contents, packed_texts,
-                                   scramble, unpacked, with_key)
+from wingspan.llm.passages import (MIX, Passages, anchored_runs, candidate_passages, covered, distinct_contents,
+                                   packed_texts, scramble, unpacked, with_key)
 
 WINDOW_WORDS = 13
 GRAM_WORDS = 3
@@ -227,15 +227,6 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return keyed, spans.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 
-def covered(n: int, spans) -> np.ndarray:
-    """Which of n units lie in the (start, end) ranges of an Arrow list of structs (or None)."""
-    edge = np.zeros(n + 1, np.int64)
-    if spans is not None and len(spans):
-        np.add.at(edge, spans.field(0).to_numpy(), 1)
-        np.add.at(edge, spans.field(1).to_numpy(), -1)
-    return np.cumsum(edge[:-1]) > 0
-
-
 def dedup_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
     """(id_col, n_words, n_removed, kept) of every row: kept is the remaining words joined by one space (bytes)."""
     keyed, spans = removed_spans(docs, id_col, text_col, **params)
