@@ -173,7 +173,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP7_SQL = """
-WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\\\x20\\\\x09-\\\\x0D]+') AS ws FROM documents),
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
 p AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13),
 win AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 12], ' ')) AS g FROM p),
 own AS (SELECT g, min(doc_id) AS first FROM win GROUP BY g),
