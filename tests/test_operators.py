@@ -167,14 +167,14 @@ def test_secure_never_leaks(spark):
     data = spark.createDataFrame([(1, "AL01", 10.0), (2, "AL02", 20.0), (3, "AL01", 30.0)],
                                  "id long, airline string, money double")
     ents = sec.entitlements(spark, airlines)
-    owner = sec.secure(data, ents, airlines, "platform_owner", [], masked=("money",)).collect()
+    owner = sec.secure(data, ents, "platform_owner", [], masked=("money",)).collect()
     assert len(owner) == 3 and all(r.money is not None for r in owner)
-    staff = sec.secure(data, ents, airlines, "x", ["field_service"], masked=("money",)).collect()
+    staff = sec.secure(data, ents, "x", ["field_service"], masked=("money",)).collect()
     assert len(staff) == 3 and all(r.money is None for r in staff)
-    op = sec.secure(data, ents, airlines, "x", ["operator_al01"]).collect()
+    op = sec.secure(data, ents, "x", ["operator_al01"]).collect()
     assert {r.airline for r in op} == {"AL01"} and len(op) == 2
-    assert sec.secure(data, ents, airlines, "stranger", []).count() == 0
-    many = sec.secure_many(data, ents, airlines, [("x", ["operator_al02"]), ("stranger", [])]).collect()
+    assert sec.secure(data, ents, "stranger", []).count() == 0
+    many = sec.secure_many(data, ents, [("x", ["operator_al02"]), ("stranger", [])]).collect()
     assert [(r.caller, r.airline) for r in many] == [("x", "AL02")]
 
 
@@ -205,9 +205,9 @@ def test_chunks_and_bm25_against_brute_force(spark):
     assert sorted(r.chunk_id for r in ch.collect()) == ["1|0", "1|1", "1|3", "2|0", "2|1"]
     idx = S.SearchIndex.build(ch, materialize=False)
     q = spark.createDataFrame([(0, "oil pump")], "query_id int, query_text string")
-    got = {r.chunk_key: r.score for r in idx.bm25(q).collect()}
+    got = {tuple(r.chunk_key): r.score for r in idx.bm25(q).collect()}
     # brute force BM25 over the same tokens
-    texts = {r.chunk_key: r.search_text.lower() for r in ch.collect()}
+    texts = {tuple(r.chunk_key): r.search_text.lower() for r in ch.collect()}
     import re
     toks = {k: [t for t in re.split(r"[^\w]+|_", v) if t] for k, v in texts.items()}
     n, avgdl = len(toks), sum(len(v) for v in toks.values()) / len(toks)

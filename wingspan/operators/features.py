@@ -89,11 +89,8 @@ def one_hot_long(df: DataFrame, key: str, cats: list[str]) -> DataFrame:
     on the driver: absent indicators are the zeros.  A null category gives
     no indicator (all zeros), as ``get_dummies`` does.
     """
-    parts = [df.select(F.col(key), F.concat(F.lit(f"{c}="), F.col(c)).alias("feature"))
-             for c in cats]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    names = F.array(*[F.concat(F.lit(f"{c}="), F.col(c)) for c in cats])
+    out = df.select(F.col(key), F.explode(names).alias("feature"))
     return out.filter(F.col("feature").isNotNull()).withColumn("value", F.lit(1.0))
 
 
@@ -115,14 +112,14 @@ def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5) -> DataFra
     Classes are few and one may hold most rows, so no window is
     partitioned by class: see :func:`global_row_number`.
     """
-    from wingspan.operators.ordering import global_row_number
+    from wingspan.operators.ordering import global_row_number, join_null_safe
     h = F.md5(F.col(key).cast("string"))
     # number all rows by (class, hash, key) with the distributed numbering,
     # then rebase each class on its first number (one row per class)
     numbered = global_row_number(df.withColumn("_h", h), [F.col(label), F.col("_h"), F.col(key)],
                                  name="_grn", reuse=True)
     first = numbered.groupBy(label).agg(F.min("_grn").alias("_first"))
-    return (numbered.join(F.broadcast(first), label)
+    return (join_null_safe(numbered, first, [label])
             .withColumn("fold", ((F.col("_grn") - F.col("_first")) % k).cast("int"))
             .select(key, label, "fold"))
 
@@ -132,15 +129,11 @@ def impute_scale_long(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
 
     Long output (key, feature, z); a zero std gives z = 0.
     """
-    # column statistics enter as scalar subqueries: computed once, no join
-    parts = []
+    stats = df.agg(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(c) for c in cols])
+    stat = stats.select(F.struct(*cols)).scalar()
+    scaled = []
     for c in cols:
-        m = df.select(F.avg(c)).scalar()
-        s = df.select(F.stddev_pop(c)).scalar()
-        filled = F.coalesce(F.col(c).cast("double"), m)
-        z = F.coalesce(F.try_divide(filled - m, s), F.lit(0.0))
-        parts.append(df.select(key, F.lit(c).alias("feature"), z.alias("z")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        m, s = stat.getField(c).getField("m"), stat.getField(c).getField("s")
+        z = F.coalesce(F.try_divide(F.coalesce(F.col(c).cast("double"), m) - m, s), F.lit(0.0))
+        scaled.append(F.struct(F.lit(c).alias("feature"), z.alias("z")))
+    return df.select(key, F.explode(F.array(*scaled)).alias("v")).select(key, "v.feature", "v.z")

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from wingspan.operators.features import (CATEGORICAL_FEATURES, NUMERIC_FEATURES, class_weights,
                                          stratified_folds)
+from wingspan.operators.ordering import join_null_safe
 
 # Hyper-parameters of the reference's models.
 LOGREG_C = 0.3
@@ -83,7 +84,7 @@ def _without_summaries(model: PipelineModel, name: str = "model") -> PipelineMod
 
 def with_balanced_weights(df: DataFrame, label: str = "y") -> DataFrame:
     w = class_weights(df, label).select(label, "weight")
-    return df.join(F.broadcast(w), label)  # one row per class
+    return join_null_safe(df, w, [label])
 
 
 def oof_scores(pit: DataFrame, kind: str = "logreg", key: str = "component_id",
@@ -123,7 +124,7 @@ def anomaly_type_forest(rows: DataFrame, features: list[str], label: str = "anom
     n = global_row_number(h, [F.col(label), F.col("_h"), *[F.col(c) for c in key_cols]], "_grn",
                           reuse=True)
     g = n.groupBy(label).agg(F.min("_grn").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    d = n.join(F.broadcast(g), label).withColumn(
+    d = join_null_safe(n, g, [label]).withColumn(
         "is_test", F.col("_grn") - F.col("_first") + 1 <= F.ceil(F.col("_n") * test_share))
     stages = [StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc"),
               VectorAssembler(inputCols=features, outputCol="features"),
@@ -189,6 +190,15 @@ def _path_length(tree, x: np.ndarray) -> np.ndarray:
     return depth + np.array([_c(s) for s in size[node]])
 
 
+def draw_threshold(n_rows: int, per_tree: int) -> int:
+    """Largest 63-bit hash at which a row joins a tree: 3 x per_tree rows in expectation.
+
+    Integer arithmetic over the whole hash range, so it stays above 0 for
+    any table that fits 63 bits of rows.
+    """
+    return min((1 << 63) - 1, ((1 << 63) * 3 * per_tree) // max(n_rows, 1))
+
+
 def isolation_forest(sample: DataFrame, features: list[str], key_cols: list[str],
                      trees: int = ISO_TREES, per_tree: int = ISO_SAMPLE, seed: int = 42) -> DataFrame:
     """ML11: isolation forest built and scored as Spark jobs.
@@ -210,13 +220,12 @@ def isolation_forest(sample: DataFrame, features: list[str], key_cols: list[str]
     # yields ~3x the tree size in expectation; the 256 smallest hashes of a
     # tree then form its sample.  Rows emit only the trees they are drawn
     # for (no rows x trees product).
-    frac = min(1.0, 3.0 * per_tree / max(n_rows, 1))
-    thr = int(frac * 1_000_000)
+    thr = draw_threshold(n_rows, per_tree)
 
     def h(t):
-        return F.pmod(F.xxhash64(F.col("_rk"), t, F.lit(seed)), F.lit(1_000_000))
+        return F.shiftrightunsigned(F.xxhash64(F.col("_rk"), t, F.lit(seed)), 1)
 
-    drawn = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: h(t) < thr)
+    drawn = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: h(t) <= F.lit(thr))
     pick = (sample.select(*key_cols, *features).withColumn("_rk", row_key)
             .withColumn("tree", F.explode(drawn))
             .withColumn("_h", F.xxhash64(F.col("_rk"), F.col("tree"), F.lit(seed + 1))))
@@ -236,6 +245,8 @@ def isolation_forest(sample: DataFrame, features: list[str], key_cols: list[str]
     forest = pick.groupBy("tree").applyInPandas(
         grow, "tree long, feat array<int>, thr array<double>, left array<int>, right array<int>, "
               "size array<int>").orderBy("tree").collect()
+    if n_rows and not forest:
+        raise RuntimeError("no tree has drawn a row")
     model = [(r["feat"], r["thr"], r["left"], r["right"], r["size"]) for r in forest]
     bc = spark.sparkContext.broadcast(model)
     cn = _c(per_tree)

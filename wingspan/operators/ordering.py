@@ -21,6 +21,16 @@ from pyspark.sql import functions as F
 from wingspan.session import materialize
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where a null key matches a null key; the keys of ``left`` stay."""
+    r = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def _parts(df: DataFrame, parts: int | None) -> int:
     if parts:
         return parts
@@ -88,7 +98,7 @@ def group_row_number(df: DataFrame, group: list[str], order: list[Column], name:
     g = [F.col(c) for c in group]
     n = global_row_number(df, g + order, "_grn", parts, reuse=True)
     first = n.groupBy(*group).agg(F.min("_grn").alias("_gfirst"))
-    return (n.join(first, group).withColumn(name, F.col("_grn") - F.col("_gfirst") + 1)
+    return (join_null_safe(n, first, group).withColumn(name, F.col("_grn") - F.col("_gfirst") + 1)
             .drop("_grn", "_gfirst"))
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wingspan.operators.ordering import global_row_number, group_row_number
+from wingspan.operators.ordering import global_row_number, group_row_number, join_null_safe
 
 # Signature injected by the replay (RP2).
 INJECT_PHASE = "CRUISE"
@@ -89,7 +89,7 @@ def quota_sample(df: DataFrame, group: str, key: str, rate: float = QUOTA_RATE)
     h = df.withColumn("_h", F.md5(F.col(key).cast("string")))
     n = global_row_number(h, [F.col(group), F.col("_h"), F.col(key)], "_grn", reuse=True)
     g = n.groupBy(group).agg(F.min("_grn").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    j = n.join(g, group)
+    j = join_null_safe(n, g, [group])
     quota = F.bround(F.col("_n") * F.lit(rate), 0)
     return j.filter(F.col("_grn") - F.col("_first") + 1 <= quota).drop("_h", "_grn", "_first", "_n")
 

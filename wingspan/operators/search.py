@@ -16,15 +16,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wingspan.operators.text import tokens
-from wingspan.session import bounded_broadcast, materialize as materialize_table
+from wingspan.session import materialize as materialize_table
 
 BM25_K1 = 1.2
 BM25_B = 0.75
 RRF_K = 60
-HYBRID_WINDOW = 50
-# A query set's term table is broadcast to the postings when it has at
-# most this many rows; a larger batch of queries is shuffle-joined.
-MAX_BROADCAST_QUERY_TERMS = 2_000_000
+HYBRID_WINDOW = 50  # least number of hits each retriever hands to the fusion
 
 
 def term_index(chunks: DataFrame, key: str = "chunk_id", text: str = "search_text",
@@ -61,7 +58,7 @@ class SearchIndex:
       weight, so a query only multiplies by the term's idf and sums;
     * ``lengths`` (key, dl, norm); ``doc_freq`` (term, df, idf_bm25, idf_tfidf).
 
-    ``key`` should be numeric (cheap to hash and sort at query time).
+    ``key`` is any orderable column, such as the (doc_id, pos) pair of a chunk.
     """
 
     key: str
@@ -99,7 +96,6 @@ class SearchIndex:
         """BM25 of every chunk sharing a term with each query: (query, key, score)."""
         qt = query_terms(queries, qkey).select(qkey, "term").join(
             self.doc_freq.select("term", "idf_bm25"), "term")
-        qt = bounded_broadcast(qt, MAX_BROADCAST_QUERY_TERMS)
         hits = qt.join(self.postings.select(self.key, "term", "bm25_tf"), "term")
         return hits.groupBy(qkey, self.key).agg(
             F.sum(F.col("idf_bm25") * F.col("bm25_tf")).alias("score"))
@@ -110,8 +106,7 @@ class SearchIndex:
         q = query_terms(queries, qkey).join(self.doc_freq.select("term", "idf_tfidf"), "term") \
             .withColumn("qw", F.col("qtf") * F.col("idf_tfidf"))
         qnorm = q.groupBy(qkey).agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qnorm"))
-        qb = bounded_broadcast(q.select(qkey, "term", "qw"), MAX_BROADCAST_QUERY_TERMS)
-        dot = (qb.join(self.postings.select(key, "term", "w"), "term")
+        dot = (q.select(qkey, "term", "qw").join(self.postings.select(key, "term", "w"), "term")
                .groupBy(qkey, key).agg(F.sum(F.col("qw") * F.col("w")).alias("dot")))
         return (dot.join(self.lengths.select(key, "norm"), key).join(qnorm, qkey)
                 .select(qkey, key, (F.col("dot") / (F.col("norm") * F.col("qnorm"))).alias("score")))
@@ -136,9 +131,14 @@ def top_k(scores: DataFrame, k: int, qkey: str = "query_id", order=None,
 
 
 def hybrid(bm25: DataFrame, vec: DataFrame, k: int, key: str, qkey: str = "query_id",
-           tie: list | None = None, window: int = HYBRID_WINDOW) -> DataFrame:
-    """TX10: reciprocal-rank fusion of the top-``window`` of each retriever."""
+           tie: list | None = None, window: int | None = None) -> DataFrame:
+    """TX10: reciprocal-rank fusion of the top-``window`` of each retriever.
+
+    ``window`` defaults to the larger of ``HYBRID_WINDOW`` and 2 x ``k``, so
+    the fused list is never shorter than the hits allow.
+    """
     tie = tie or [F.col(key)]
+    window = window or max(HYBRID_WINDOW, 2 * k)
     a = top_k(bm25, window, qkey, [F.col("score").desc(), *tie], "r_kw").select(qkey, key, "r_kw")
     b = top_k(vec, window, qkey, [F.col("score").desc(), *tie], "r_vec").select(qkey, key, "r_vec")
     f = a.join(b, [qkey, key], "full").withColumn(
@@ -148,25 +148,21 @@ def hybrid(bm25: DataFrame, vec: DataFrame, k: int, key: str, qkey: str = "query
 
 
 def facets(chunks: DataFrame, cols: list[str]) -> DataFrame:
-    """TX11 / UN6: distinct non-empty values per facet with chunk counts."""
-    parts = [chunks.filter(F.col(c).isNotNull() & (F.col(c) != ""))
-             .groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).cast("bigint").alias("n_chunks"))
-             .withColumn("facet", F.lit(c)) for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("facet", "value", "n_chunks")
+    """TX11 / UN6: distinct non-empty values per facet with chunk counts, in one pass."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("facet"), F.col(c).cast("string").alias("value")) for c in cols])
+    return (chunks.select(F.explode(pairs).alias("f")).select("f.facet", "f.value")
+            .filter(F.col("value").isNotNull() & (F.col("value") != ""))
+            .groupBy("facet", "value").agg(F.count(F.lit(1)).cast("bigint").alias("n_chunks")))
 
 
 def changed_rows(old: DataFrame, new: DataFrame, key: str, content: str) -> DataFrame:
-    """SNK12 / TX13: inserted, deleted and updated keys by content hash (anti joins)."""
-    o = old.select(key, F.sha2(F.col(content), 256).alias("h"))
-    n = new.select(key, F.sha2(F.col(content), 256).alias("h"))
-    ins = n.join(o.select(key), key, "left_anti").select(key, F.lit("inserted").alias("change"))
-    dele = o.join(n.select(key), key, "left_anti").select(key, F.lit("deleted").alias("change"))
-    upd = (n.join(o.withColumnRenamed("h", "h_old"), key, "inner")
-           .filter(F.col("h") != F.col("h_old")).select(key, F.lit("updated").alias("change")))
-    return ins.unionByName(dele).unionByName(upd)
+    """SNK12 / TX13: inserted, deleted and updated keys by content hash (one full outer join)."""
+    o = old.select(key, F.sha2(F.col(content), 256).alias("h_old"), F.lit(True).alias("in_old"))
+    n = new.select(key, F.sha2(F.col(content), 256).alias("h_new"), F.lit(True).alias("in_new"))
+    change = (F.when(F.col("in_old").isNull(), "inserted").when(F.col("in_new").isNull(), "deleted")
+              .when(~F.col("h_old").eqNullSafe(F.col("h_new")), "updated"))
+    return (o.join(n, key, "full").withColumn("change", change).filter(F.col("change").isNotNull())
+            .select(key, "change"))
 
 
 def search(chunks: DataFrame, query_text: str, k: int = 8, filters: dict | None = None,
@@ -188,18 +184,20 @@ def search(chunks: DataFrame, query_text: str, k: int = 8, filters: dict | None
 
 
 def label_centroid_topk(vectors: DataFrame, k: int, key: str = "vec_id", vec: str = "embedding",
-                        group: str = "label") -> DataFrame:
+                        group: str = "label", score_places: int = 9) -> DataFrame:
     """Exact cosine top-k of each group's vectors to the group centroid.
 
-    Dimensions are exploded and joined on (group, position): every vector
-    meets only its own centroid, so the work is linear in the data.
+    The centroid of a group is one array row; vectors meet it as arrays
+    (dot products in place, nothing exploded but for the component means).
+    Rank by the score rounded to ``score_places``, then the key.
     """
-    e = vectors.select(key, group, F.posexplode(vec).alias("pos", "x"))
-    cen = e.groupBy(group, "pos").agg(F.avg("x").alias("c"))
-    cn = cen.groupBy(group).agg(F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("cnorm"))
-    j = e.join(cen, [group, "pos"])
-    s = j.groupBy(key, group).agg(F.sum(F.col("x") * F.col("c")).alias("dot"),
-                                  F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("vnorm"))
-    s = s.join(cn, group).withColumn("score", F.try_divide(F.col("dot"),
-                                                          F.col("vnorm") * F.col("cnorm")))
-    return top_k(s.select(key, group, "score"), k, group, [F.col("score").desc(), F.col(key)])
+    means = (vectors.select(group, F.posexplode(vec).alias("pos", "x")).groupBy(group, "pos")
+             .agg(F.avg("x").alias("c")).groupBy(group)
+             .agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "c"))), lambda p: p.c).alias("centroid")))
+
+    def dot(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    j = vectors.select(key, group, vec).join(means, group)
+    v, c = F.col(vec), F.col("centroid")
+    s = j.select(key, group, F.try_divide(dot(v, c), F.sqrt(dot(v, v)) * F.sqrt(dot(c, c))).alias("score"))
+    return top_k(s, k, group, [F.round("score", score_places).desc(), F.col(key)])

@@ -4,12 +4,12 @@ Open-source Spark has no catalog row filters, so ``secure()`` wraps a
 DataFrame for a caller:
 
 * the caller's entitlement rows are resolved first (user, or any group);
-* a ``*`` entitlement is expanded to every airline, so the filter is an
-  equi semi-join on ``airline`` (hash join), not a nested loop over
-  ``(e.airline = '*' OR e.airline = airline)``;
+* a ``*`` entitlement lets every row through, whatever its airline (null
+  and unlisted ones too); the other grants are an equi-join on ``airline``
+  (hash join), not a nested loop over ``(e.airline = '*' OR e.airline = airline)``;
 * masked columns become NULL unless an entitlement grants financials.
 
-The SQL functions of the reference (UD1, UD2) are also provided as
+The row filter and the column mask (UD1, UD2) are also provided as
 ``CREATE TEMPORARY FUNCTION`` text for callers that prefer SQL.
 """
 
@@ -39,17 +39,15 @@ def entitlements(spark: SparkSession, airlines: DataFrame) -> DataFrame:
 
 def caller_entitlements(ents: DataFrame, caller: str, groups: list[str]) -> DataFrame:
     user = (F.col("principal_type") == "USER") & (F.col("principal") == F.lit(caller))
-    grp = (F.col("principal_type") == "GROUP") & F.col("principal").isin(list(groups) or [""])
-    return ents.filter(user | grp)
+    if not groups:
+        return ents.filter(user)
+    return ents.filter(user | ((F.col("principal_type") == "GROUP") & F.col("principal").isin(list(groups))))
 
 
-def allowed_airlines(ents: DataFrame, airlines: DataFrame, caller: str, groups: list[str]) -> DataFrame:
-    """Airlines the caller may see, with ``*`` expanded (JN17 pre-resolved)."""
+def sees_every_row(ents: DataFrame, caller: str, groups: list[str]) -> Column:
+    """Whether the caller holds a ``*`` grant, as a scalar subquery."""
     mine = caller_entitlements(ents, caller, groups)
-    has_star = mine.select(F.count_if(F.col("airline") == "*") > 0).scalar()
-    direct = mine.filter(F.col("airline") != "*").select("airline")
-    every = airlines.select("airline").filter(has_star)
-    return direct.unionByName(every).distinct()
+    return mine.select(F.count_if(F.col("airline") == "*") > 0).scalar()
 
 
 def can_see_financials(ents: DataFrame, caller: str, groups: list[str]) -> Column:
@@ -58,47 +56,50 @@ def can_see_financials(ents: DataFrame, caller: str, groups: list[str]) -> Colum
     return mine.select(F.count_if(F.col("can_see_financials")) > 0).scalar()
 
 
-def secure(df: DataFrame, ents: DataFrame, airlines: DataFrame, caller: str, groups: list[str],
+def secure(df: DataFrame, ents: DataFrame, caller: str, groups: list[str],
            airline_col: str = "airline", masked: tuple[str, ...] = ()) -> DataFrame:
     """SE1 + SE2: rows of permitted airlines only, financial columns masked."""
-    allowed = allowed_airlines(ents, airlines, caller, groups).withColumnRenamed("airline", airline_col)
-    out = df.join(allowed, airline_col, "left_semi")
+    direct = (caller_entitlements(ents, caller, groups).filter(F.col("airline") != "*")
+              .select(F.col("airline").alias("_granted")).distinct())
+    out = df.join(direct, F.col(airline_col) == F.col("_granted"), "left").filter(
+        sees_every_row(ents, caller, groups) | F.col("_granted").isNotNull())
     if masked:
         see = can_see_financials(ents, caller, groups)
         out = out.withColumns({c: F.when(see, F.col(c)) for c in masked})
     return out.select(*df.columns)
 
 
-def caller_grants(ents: DataFrame, airlines: DataFrame,
-                  callers: list[tuple[str, list[str]]]) -> DataFrame:
-    """(caller, airline, _see) for a list of callers, as one relational plan.
+def caller_grants(ents: DataFrame, callers: list[tuple[str, list[str]]]) -> DataFrame:
+    """(caller, airlines, every, _see): the grants of each caller, one row each.
 
     Each caller's principals (the user and its groups) are joined to the
-    entitlements; ``*`` grants are expanded by an equi-join with the
-    airline dimension; money visibility is ``max(can_see)`` per caller.
-    The result is bounded by callers x airlines (dimension sizes).
+    entitlements; ``every`` marks a ``*`` grant, money visibility is
+    ``max(can_see)`` per caller.
     """
     spark = ents.sparkSession
     rows = [(c, c, "USER") for c, _ in callers] + [(c, g, "GROUP") for c, gs in callers for g in gs]
-    who = spark.createDataFrame(rows, "caller string, principal string, principal_type string")
+    who = spark.createDataFrame(rows, "caller string, principal string, principal_type string").distinct()
     mine = who.join(ents, ["principal", "principal_type"])
-    direct = mine.filter(F.col("airline") != "*").select("caller", "airline")
-    star = mine.filter(F.col("airline") == "*").select("caller").distinct().withColumn("_k", F.lit("*"))
-    every = star.join(airlines.select("airline").withColumn("_k", F.lit("*")), "_k").select("caller", "airline")
-    see = mine.groupBy("caller").agg((F.max(F.col("can_see_financials").cast("int")) > 0).alias("_see"))
-    return direct.unionByName(every).distinct().join(see, "caller")
+    return mine.groupBy("caller").agg(
+        F.collect_set(F.when(F.col("airline") != "*", F.col("airline"))).alias("airlines"),
+        F.bool_or(F.col("airline") == "*").alias("every"),
+        F.bool_or(F.coalesce("can_see_financials", F.lit(False))).alias("_see"))
 
 
-def secure_many(df: DataFrame, ents: DataFrame, airlines: DataFrame,
-                callers: list[tuple[str, list[str]]], airline_col: str = "airline",
-                masked: tuple[str, ...] = ()) -> DataFrame:
+def secure_many(df: DataFrame, ents: DataFrame, callers: list[tuple[str, list[str]]],
+                airline_col: str = "airline", masked: tuple[str, ...] = ()) -> DataFrame:
     """SE1 + SE2 for several callers in one pass over ``df``.
 
-    A small (caller, airline, can_see) table - callers x permitted airlines
-    - is built first; the data is joined to it once on ``airline``.
+    Callers with a ``*`` grant see every row: the rows carry the (small,
+    caller-given) list of them and explode it.  The others are joined on
+    the airlines they are granted.
     """
-    grants = caller_grants(ents, airlines, callers).withColumnRenamed("airline", airline_col)
-    out = df.join(grants, airline_col, "inner")
+    grants = caller_grants(ents, callers)
+    star = (grants.filter("every").agg(F.collect_list(F.struct("caller", "_see"))).scalar())
+    rows = df.withColumn("_c", F.explode(star)).select("_c.caller", "_c._see", *df.columns)
+    direct = grants.filter("NOT every").select("caller", "_see", F.explode("airlines").alias("_granted"))
+    some = df.join(direct, F.col(airline_col) == F.col("_granted")).select("caller", "_see", *df.columns)
+    out = rows.unionByName(some)
     if masked:
         out = out.withColumns({c: F.when(F.col("_see"), F.col(c)) for c in masked})
     return out.select("caller", *df.columns)
@@ -131,6 +132,14 @@ CREATE OR REPLACE TEMPORARY FUNCTION airline_row_filter(airline STRING, caller S
   caller_groups ARRAY<STRING>)
 RETURNS BOOLEAN
 RETURN EXISTS (SELECT 1 FROM operator_entitlements e
-  WHERE (e.airline = '*' OR e.airline = airline)
+  WHERE (e.airline = '*' OR e.airline = airline_row_filter.airline)
     AND ((e.principal_type = 'USER' AND e.principal = caller)
       OR (e.principal_type = 'GROUP' AND array_contains(caller_groups, e.principal))))"""
+
+COLUMN_MASK_SQL = """
+CREATE OR REPLACE TEMPORARY FUNCTION financial_mask(amount DOUBLE, caller STRING, caller_groups ARRAY<STRING>)
+RETURNS DOUBLE
+RETURN CASE WHEN EXISTS (SELECT 1 FROM operator_entitlements e WHERE e.can_see_financials
+    AND ((e.principal_type = 'USER' AND e.principal = caller)
+      OR (e.principal_type = 'GROUP' AND array_contains(caller_groups, e.principal))))
+  THEN amount END"""

@@ -53,8 +53,8 @@ def section_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     parts = parts.filter(F.length(F.trim("chunk")) > 0)
     return parts.withColumns({
         "chunk_id": F.concat_ws("|", F.col(id_col).cast("string"), F.col("pos").cast("string")),
-        # numeric key for joins / aggregation: doc id and position packed (pos < 2^20)
-        "chunk_key": F.col(id_col).cast("bigint") * F.lit(1 << 20) + F.col("pos")})
+        # key for joins / aggregation: the pair itself, so no id or position is too large
+        "chunk_key": F.struct(F.col(id_col).cast("bigint").alias("doc_id"), F.col("pos"))})
 
 
 def chunk_fields(chunks: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ def _callers_sql():
 def _by_caller(spark, d, df, masked=()):
     al = C.airlines(spark, d)
     ents = sec.entitlements(spark, al)
-    return sec.secure_many(df, ents, al, CALLERS, masked=masked)
+    return sec.secure_many(df, ents, CALLERS, masked=masked)
 
 
 @query("row_filtered", group=G, oracle=PIT_PRE + f", {_ENTS_SQL}, {_callers_sql()}" + """

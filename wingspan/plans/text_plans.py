@@ -13,14 +13,15 @@ from pyspark.sql import functions as F
 from wingspan.operators import search as S
 from wingspan.operators import text as T
 from wingspan.plans.registry import query
-from wingspan.sources.driver import read_table, spread
+from wingspan.session import file_listing
+from wingspan.sources.driver import read_table, table_path
 
 G = "text"
 K = 8
 
 
 def documents(spark, d):
-    return spread(read_table(spark, d, "documents"), "doc_id")
+    return read_table(spark, d, "documents")
 
 
 def chunks(spark, d):
@@ -34,14 +35,10 @@ def corpus_index(spark, d, lang: str | None = None) -> S.SearchIndex:
     """The search index of a corpus, built once per session (TX13).
 
     Like the reference's synced index table, queries read a prebuilt
-    index; it is rebuilt when the document files change (size / mtime).
+    index; it is rebuilt when the listing of the document files (path,
+    length, modification time on any file system) changes.
     """
-    import os
-    from wingspan.sources.driver import table_path
-    path = table_path(d, "documents")
-    st = os.stat(path) if os.path.exists(path) else None
-    sig = (id(spark), os.path.realpath(path), st.st_size if st else None,
-           st.st_mtime if st else None, lang)
+    sig = (id(spark), tuple(file_listing(spark, table_path(d, "documents"))), lang)
     hit = _INDEX_CACHE.get(sig)
     if hit is not None and hit.postings.sparkSession is not spark:
         hit = None  # a new session reusing the id of a stopped one
@@ -74,7 +71,7 @@ SELECT page_id, url, {_CLEAN.format(x="regexp_extract(html, '(?is)<title[^>]*>(.
 FROM (SELECT *, {_PAGE_TEXT} AS t FROM pages)""")
 def page_text(spark, d):
     """TX1: HTML pages parsed to text with title and parse flag."""
-    return T.page_text(spread(read_table(spark, d, "pages"), "page_id"))
+    return T.page_text(read_table(spark, d, "pages"))
 
 
 CHUNK_CTE_T = """WITH ch0 AS (SELECT doc_id, lang, source, split_part(text, chr(10), 1) AS doc_title,
@@ -82,7 +79,7 @@ CHUNK_CTE_T = """WITH ch0 AS (SELECT doc_id, lang, source, split_part(text, chr(
     unnest(string_split(text, chr(10))) AS chunk FROM documents)
 , ch AS (SELECT *, concat_ws('|', CAST(doc_id AS VARCHAR), CAST(pos AS VARCHAR)) AS chunk_id,
     {CLEAN_CHUNK} AS c FROM ch0 WHERE length(trim(chunk)) > 0)
-, chunks AS (SELECT chunk_id, doc_id * 1048576 + pos AS chunk_key, doc_id, pos, lang, source, doc_title,
+, chunks AS (SELECT chunk_id, doc_id::HUGEINT * 2147483648 + pos AS chunk_key, doc_id, pos, lang, source, doc_title,
     regexp_extract(c, '^[^.!?]*[.!?]?', 0) AS first_sentence,
     CAST(CASE WHEN length(c) = 0 THEN 0 ELSE length(c) - length(replace(c, ' ', '')) + 1 END AS BIGINT)
       AS n_words, CAST(length(c) AS BIGINT) AS n_chars,
@@ -148,16 +145,16 @@ INDEX_CTE = CHUNK_CTE + INDEX_CTE_T
 
 
 def _rank_sql(src, k, key="chunk_key"):
-    return f"""SELECT query_id, {key}, concat_ws('|', CAST({key} // 1048576 AS VARCHAR),
-    CAST({key} % 1048576 AS VARCHAR)) AS chunk_id, round(score, 6) AS score, rank
+    return f"""SELECT query_id, {key}, concat_ws('|', CAST({key} // 2147483648 AS VARCHAR),
+    CAST({key} % 2147483648 AS VARCHAR)) AS chunk_id, round(score, 6) AS score, rank
   FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, {key})
         AS rank FROM {src}) WHERE rank <= {k}"""
 
 
 def _with_chunk_id(df):
     key = F.col("chunk_key")
-    return df.withColumn("chunk_id", F.concat_ws("|", F.shiftright(key, 20).cast("string"),
-                                                 key.bitwiseAND(F.lit((1 << 20) - 1)).cast("string")))
+    return df.withColumn("chunk_id", F.concat_ws("|", key.getField("doc_id").cast("string"),
+                                                 key.getField("pos").cast("string")))
 
 
 def _ranked(scores, k, window=None):
@@ -220,9 +217,7 @@ def label_centroid_topk(spark, d):
     """TX8 on the embeddings table: exact cosine top-8 to each label centroid."""
     v = read_table(spark, d, "embeddings").withColumn(
         "embedding", F.transform("embedding", lambda x: x.cast("double")))
-    out = S.label_centroid_topk(v, K)
-    w_order = [F.round("score", 9).desc(), F.col("vec_id")]
-    return S.top_k(out.drop("rank"), K, "label", w_order)
+    return S.label_centroid_topk(v, K)
 
 
 @query("facets", group=G, oracle=CHUNK_CTE + """

@@ -82,6 +82,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def file_listing(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, length, modification time) of every file under ``path``; empty if there is none."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return []
+    out, files = [], fs.listFiles(hpath, True)
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(out)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(hpath) and fs.getFileStatus(hpath).isDirectory()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint dir (never localCheckpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -99,15 +118,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
-
-    Above the bound the frame is returned unhinted and Spark plans a
-    shuffle join; the check is one count over an input that is small by
-    construction (a query set, a lookup), not over the big side.
-    """
-    n = df.count()
-    from pyspark.sql import functions as F
-    return F.broadcast(df) if n <= max_rows else df

@@ -27,18 +27,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def read_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     return {n: read_table(spark, sf_dir, n) for n in names}
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread an under-partitioned input before CPU-heavy per-row work.
-
-    A scan yields one task per file split; a single-file table (or one
-    row group) would run text parsing in one task.  The rows are spread
-    only when the scan has fewer partitions than the session parallelism,
-    so a large many-file input is left as it is (no extra shuffle).
-    """
-    spark = df.sparkSession
-    target = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)

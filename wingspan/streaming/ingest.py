@@ -20,16 +20,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wingspan.operators import telemetry as tm
-from wingspan.session import scratch_path
+from wingspan.session import file_listing, is_folder, scratch_path
 from wingspan.sources.bindings import BINDINGS
-from wingspan.sources.driver import read_table
+from wingspan.sources.driver import read_table, table_path
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int = 1000) -> DataFrame:
     """SRC1: a driver table as an unbounded file stream (schema taken from the batch file)."""
     schema = read_table(spark, sf_dir, name).schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-            .option("maxFilesPerTrigger", max_files).parquet(sf_dir))
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    path = table_path(sf_dir, name)
+    if is_folder(spark, path):  # a table of part files
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 def bound_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -130,20 +133,25 @@ def append_batch(df: DataFrame, source_dir: str, partition_by: list[str] | None
 
 
 def sync_changed(stream: DataFrame, index_path: str, key: str, checkpoint: str,
-                 content: str = "chunk") -> StreamingQuery:
+                 content: str = "chunk", version: str | None = None) -> StreamingQuery:
     """ST7 / TX13: triggered index sync - each micro-batch upserts its rows by key.
 
     ``foreachBatch`` merges the batch into the index table (rows of the
     batch replace rows with the same key) and rewrites it; a re-run after a
-    failure replays the batch idempotently because the merge is by key.
+    failure replays the batch idempotently because the merge is by key.  Of
+    several rows of one key in a batch the one with the largest ``version``
+    column stays (without one: the largest content hash).  An index that
+    cannot be read is an error, never a new index.
     """
     def merge(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         batch = batch.withColumn("content_hash", F.sha2(F.col(content), 256))
-        try:
+        newest = F.struct(*([version] if version else []), "content_hash")
+        batch = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), newest).alias("_r")).select("_r.*")
+        if file_listing(spark, index_path):
             current = spark.read.parquet(index_path)
             merged = current.join(batch.select(key), key, "left_anti").unionByName(batch)
-        except Exception:  # first batch: no index yet
+        else:
             merged = batch
         tmp = f"{index_path.rstrip('/')}_e{epoch}"
         merged.write.mode("overwrite").parquet(tmp)
