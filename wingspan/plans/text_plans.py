@@ -144,8 +144,13 @@ INDEX_CTE_T = """
 INDEX_CTE = CHUNK_CTE + INDEX_CTE_T
 
 
+def _ranks_sql(src, k, key="chunk_key"):
+    return f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id
+    ORDER BY round(score, 9) DESC, {key}) AS rank FROM {src}) WHERE rank <= {k}"""
+
+
 def _rank_sql(src, k, key="chunk_key"):
-    return f"""SELECT query_id, {key}, concat_ws('|', CAST({key} // 2147483648 AS VARCHAR),
+    return f"""SELECT query_id, concat_ws('|', CAST({key} // 2147483648 AS VARCHAR),
     CAST({key} % 2147483648 AS VARCHAR)) AS chunk_id, round(score, 6) AS score, rank
   FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, {key})
         AS rank FROM {src}) WHERE rank <= {k}"""
@@ -154,7 +159,7 @@ def _rank_sql(src, k, key="chunk_key"):
 def _with_chunk_id(df):
     key = F.col("chunk_key")
     return df.withColumn("chunk_id", F.concat_ws("|", key.getField("doc_id").cast("string"),
-                                                 key.getField("pos").cast("string")))
+                                                 key.getField("pos").cast("string"))).drop("chunk_key")
 
 
 def _ranked(scores, k, window=None):
@@ -175,8 +180,8 @@ def vector_topk(spark, d):
 
 
 @query("hybrid_topk", group=G, oracle=INDEX_CTE + f"""
-, a AS (SELECT query_id, chunk_key, rank AS r_kw FROM ({_rank_sql('bm', S.HYBRID_WINDOW)}))
-, b AS (SELECT query_id, chunk_key, rank AS r_vec FROM ({_rank_sql('vs', S.HYBRID_WINDOW)}))
+, a AS (SELECT query_id, chunk_key, rank AS r_kw FROM ({_ranks_sql('bm', S.HYBRID_WINDOW)}))
+, b AS (SELECT query_id, chunk_key, rank AS r_vec FROM ({_ranks_sql('vs', S.HYBRID_WINDOW)}))
 , f AS (SELECT coalesce(a.query_id, b.query_id) AS query_id, coalesce(a.chunk_key, b.chunk_key) AS chunk_key,
     coalesce(1.0 / ({S.RRF_K} + r_kw), 0.0) + coalesce(1.0 / ({S.RRF_K} + r_vec), 0.0) AS score
   FROM a FULL JOIN b ON a.query_id = b.query_id AND a.chunk_key = b.chunk_key)
