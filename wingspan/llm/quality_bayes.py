@@ -46,30 +46,33 @@ BINS = {
 }
 
 
-def form_features(text: str) -> dict[str, Column]:
-    """Form features of a whole text, all as built-in expressions."""
+def form_counts(text: str) -> Column:
+    """Struct of the raw counts behind the features of a whole text, each pattern run once."""
     t = F.coalesce(F.col(text), F.lit(""))
-    words = n_words(text)
-    per_word = lambda c: F.when(words > 0, c / words).otherwise(0.0)
     count = lambda p: F.regexp_count(t, F.lit(p))
-    return {
-        "words": words,
-        "repeats": per_word(count(r"(?<!\S)(\S++)(?=\s\1(?!\S))")),
-        "symbols": per_word(count(r"[#*$%&<>]++")),
-        "pipes": per_word(count(r"(?<!\S)\|(?!\S)")),
-        "shouts": per_word(count(r"!!++")),
-        "capitals": count(r"\p{Lu}") / F.greatest(F.length(t), F.lit(1)),
-    }
+    return F.struct(
+        n_words(text).alias("words"), count(r"(?<!\S)(\S++)(?=\s\1(?!\S))").alias("repeats"),
+        count(r"[#*$%&<>]++").alias("symbols"), count(r"(?<!\S)\|(?!\S)").alias("pipes"),
+        count(r"!!++").alias("shouts"), count(r"\p{Lu}").alias("capitals"), F.length(t).alias("chars"))
 
 
 def bins(text: str) -> Column:
-    """Array of one bin number per feature, in the order of ``BINS``."""
+    """Array of one bin number per feature, in the order of ``BINS``.
+
+    The counts pass through a one-element array, so the conditions below
+    refer to values and not to the patterns again.
+    """
     def binned(c: Column, edges: list[float]) -> Column:
         b = F.lit(len(edges))
         for i in reversed(range(len(edges))):
             b = F.when(c <= edges[i], i).otherwise(b)
         return b
-    return F.array(*[binned(c, BINS[n]) for n, c in form_features(text).items()])
+
+    def all_bins(raw: Column) -> Column:
+        over = {"words": F.lit(1), "capitals": F.greatest(raw.chars, F.lit(1))}
+        return F.array(*[binned(raw[n] / over.get(n, F.greatest(raw.words, F.lit(1))), edges)
+                         for n, edges in BINS.items()])
+    return F.element_at(F.transform(F.array(form_counts(text)), all_bins), 1)
 
 
 def fit_evidence(features: DataFrame, labels: DataFrame, id_col: str = "doc_id",
@@ -98,13 +101,15 @@ def fit_evidence(features: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     return out
 
 
-def evidence(weights: dict[tuple[int, int], float]) -> Column:
-    """Sum of the fitted log ratios of a row's ``_bins``."""
-    out = F.lit(0.0)
-    for f, edges in enumerate(BINS.values()):
-        table = F.array(*[F.lit(weights[f, b]) for b in range(len(edges) + 1)])
-        out = out + F.get(table, F.col("_bins")[f])
-    return out
+def evidence(weights: dict[tuple[int, int], float], bin_numbers: Column) -> Column:
+    """Sum of the fitted log ratios of an array of bin numbers."""
+    def total(b: Column) -> Column:
+        out = F.lit(0.0)
+        for f, edges in enumerate(BINS.values()):
+            table = F.array(*[F.lit(weights[f, i]) for i in range(len(edges) + 1)])
+            out = out + F.get(table, b[f])
+        return out
+    return F.element_at(F.transform(F.array(bin_numbers), total), 1)
 
 
 def logit(p: Column) -> Column:
@@ -158,8 +163,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     compact = stored(docs.select(F.col(id_col), F.col(host).alias("_h0"), F.col(path).alias("_p0"),
                                  bins(text_col).alias("_bins")), "quality-bins")
     weights = fit_evidence(compact.select(id_col, "_bins"), labels, id_col, label_col)
-    groups = posteriors(compact.withColumn("_evidence", evidence(weights)), "_h0", "_p0")
-    out = docs.withColumn("_bins", bins(text_col)).withColumn("_evidence", evidence(weights)).join(
+    groups = posteriors(compact.withColumn("_evidence", evidence(weights, F.col("_bins"))), "_h0", "_p0")
+    out = docs.withColumn("_evidence", evidence(weights, bins(text_col))).join(
         groups, F.col(host).eqNullSafe(F.col("_host")) & F.col(path).eqNullSafe(F.col("_path")), "left")
     score = 1 / (1 + F.exp(-(F.col("_evidence") + logit(F.col("path_posterior")))))
     made = F.struct(F.col("_evidence").alias("evidence"), "host_posterior", "path_posterior",
