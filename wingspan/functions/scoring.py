@@ -113,3 +113,39 @@ def recommended_action(decile: Column) -> Column:
     return (F.when(decile == 10, F.lit("PROACTIVE_FIELD_SERVICE_VISIT"))
             .when(decile >= 8, F.lit("FLAG_AT_NEXT_SCHEDULED_CHECK"))
             .otherwise(F.lit("ROUTINE_MONITORING")))
+
+
+# Probability offsets by operator of the rule-only priority (SC12).
+CARRIER_RISK_BOOST = {
+    "SkyWest Global": 0.25,
+    "Atlas Pacific": 0.20,
+    "Continental Wings": 0.10,
+    "Horizon Express": 0.05,
+    "Falcon Jet Airways": 0.03,
+    "TransOcean Air": 0.0,
+    "Meridian Airlines": 0.0,
+    "Northern Star Airways": -0.05,
+    "Aurora Airlines": -0.10,
+    "Summit Aviation": -0.15,
+}
+
+
+def rule_anomaly_probability(rate: Column, airline: Column, boosts: dict[str, float] | None = None) -> Column:
+    """SC12: three times the anomaly rate plus the operator's offset, clipped to 0-1 (no noise term)."""
+    table = F.create_map(*[F.lit(x) for kv in (boosts or CARRIER_RISK_BOOST).items() for x in kv])
+    boost = F.coalesce(F.try_element_at(table, airline), F.lit(0.0))
+    return clip(F.coalesce(rate, F.lit(0.0)) * 3.0 + boost, 0.0, 1.0)
+
+
+def rule_priority(prob: Column, health_risk: Column, days_until: Column) -> Column:
+    """SC12: 40 p + 0.5 health + up to 20 for a service due within 180 days; 0 and null count as 8 and 180."""
+    health = F.when(health_risk != 0, health_risk).otherwise(F.lit(8.0))
+    days = F.when(days_until != 0, days_until).otherwise(F.lit(180))
+    urgency = F.greatest(F.lit(0.0), (F.lit(180) - days) / 180.0) * 20
+    return F.least(F.lit(100.0), prob * 40 + health * 0.5 + urgency)
+
+
+def rule_priority_tier(score: Column) -> Column:
+    """SC12: above 75 CRITICAL, above 50 HIGH, above 25 MEDIUM."""
+    return (F.when(score > 75, F.lit("CRITICAL")).when(score > 50, F.lit("HIGH"))
+            .when(score > 25, F.lit("MEDIUM")).otherwise(F.lit("LOW")))

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -35,8 +35,12 @@ def rules(mapping: dict[str, str], action: str) -> list[Expectation]:
 
 
 def apply_expectations(df: DataFrame, exps: list[Expectation],
-                       observation: Observation | None = None) -> DataFrame:
-    """Attach violation metrics, then drop / fail as the rules say."""
+                       observation: Observation | str | None = None) -> DataFrame:
+    """Attach violation metrics, then drop / fail as the rules say.
+
+    ``observation`` is an Observation for a batch or a name for a stream
+    (its counts are then in the query's progress).
+    """
     if not exps:
         return df
     if observation is not None:
@@ -80,6 +84,14 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
             .filter(F.col("n_rows") > 1))
 
 
+def assert_unique(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """DQ8: the rows of ``df``; reading a key that occurs twice stops the job with the rule's name."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    checked = df.withColumn("_n", n).filter(F.assert_true(
+        F.col("_n") == 1, F.lit(f"expectation {name} failed: duplicate {', '.join(keys)}")).isNull())
+    return checked.drop("_n")
+
+
 def unmatched_after_left_join(joined: DataFrame, right_key: str) -> Column:
     """DQ13: rows whose right side found no match (right key NULL after a left join)."""
     return F.col(right_key).isNull()

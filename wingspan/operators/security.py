@@ -117,6 +117,24 @@ def export_guard(table_name: str, secured_tables: set[str]) -> None:
         raise PermissionError(f"{table_name} has a row filter or column mask; refusing to export")
 
 
+# The filters and masks put on shared tables.
+SECURED = [
+    ("forecast_table", "row_filter", "airline", "airline_row_filter"),
+    ("forecast_table", "column_mask", "expected_warranty_exposure_usd", "financial_mask"),
+    ("customer_operations", "row_filter", "airline", "airline_row_filter"),
+]
+
+
+def security_inventory(ents: DataFrame) -> DataFrame:
+    """SE4: filters and masks in force, all principals, and those that see every airline (or its money)."""
+    rows = ents.sparkSession.createDataFrame(SECURED, "table_name string, kind string, column_name string, function string")
+    star = F.col("airline") == "*"
+    n = ents.agg(F.count(F.lit(1)).cast("bigint").alias("principals"), F.count_if(star).cast("bigint").alias("every"),
+                 F.count_if(star & F.col("can_see_financials")).cast("bigint").alias("money"))
+    every = F.when(F.col("kind") == "column_mask", n.select("money").scalar()).otherwise(n.select("every").scalar())
+    return rows.select("*", n.select("principals").scalar().alias("principals"), every.alias("every_airline"))
+
+
 def lineage_report(edges: DataFrame, target_like: str, pattern: str) -> DataFrame:
     """SE5 (AG19 + FLT7): source -> target pairs with the last time seen."""
     return (edges.filter(F.col("target_table").like(target_like)

@@ -42,7 +42,7 @@ def anomaly_type_forest(spark, d):
 @query("isolation_scores", group=G)
 def isolation_scores(spark, d):
     """ML11 + FLT10: isolation forest on a deterministic 10% sample of the telemetry."""
-    t = C.telemetry(spark, d)
+    t = C.telemetry(spark, d).na.drop(subset=ISO_FEATURES)  # FLT9
     sample = t.filter(F.pmod(F.xxhash64("flight_id", "record_sequence", "event_ts"), F.lit(10)) == 0)
     return M.isolation_forest(sample, ISO_FEATURES, ["flight_id", "record_sequence", "event_ts"])
 

@@ -33,6 +33,7 @@ PLAN_MODULES = (
     "wingspan.plans.stream_plans",
     "wingspan.plans.model_plans",
     "wingspan.plans.upkeep_plans",
+    "wingspan.plans.completion_plans",
 )
 
 
@@ -88,7 +89,7 @@ def rounded(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append(round6(F.col(f"`{f.name}`")).alias(f.name))
+            cols.append(round6(F.col(f"`{f.name}`")).alias(f.name, metadata=f.metadata))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)
@@ -112,9 +113,20 @@ def query(name: str, oracle: str | None = None, group: str = "misc", round_outpu
     return deco
 
 
+_LOADING = False
+
+
 def _load() -> None:
-    for m in PLAN_MODULES:
-        importlib.import_module(m)
+    """Import the plan modules in order; a module may use the entries of those before it."""
+    global _LOADING
+    if _LOADING:
+        return
+    _LOADING = True
+    try:
+        for m in PLAN_MODULES:
+            importlib.import_module(m)
+    finally:
+        _LOADING = False
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -9,8 +9,8 @@ Bronze and silver telemetry are streaming queries over files:
 * ``trigger(availableNow=True)`` processes what is there and stops, the
   batch equivalent of a pipeline refresh (ST5); a long-running job uses a
   processing-time trigger instead;
-* quality counts of each micro-batch come from ``observe`` and are read
-  from ``query.lastProgress['observedMetrics']`` (no second scan).
+* the warn-rule counts of each micro-batch come from ``observe`` and are
+  read from the query's progress (:func:`observed_enrichment`, no second scan).
 """
 
 from __future__ import annotations
@@ -111,6 +111,20 @@ def enrich_stream(spark: SparkSession, sf_dir: str, flights: DataFrame, registry
     return sink
 
 
+def observed_enrichment(spark: SparkSession, sf_dir: str, flights: DataFrame, registry: DataFrame) -> dict:
+    """DQ6 on a stream: the enrichment rules' violation counts over all micro-batches of a drained stream."""
+    name = "stream_warnings"
+    tel = tm.bronze_telemetry(bound_stream(spark, sf_dir, "telemetry"))
+    enriched = tm.enrich_telemetry(tel, flights, registry, name)
+    q = run_to_sink(enriched, scratch_path(spark, "warned"), scratch_path(spark, "ckpt-warned"), name)
+    out: dict = {}
+    for p in q.recentProgress:
+        row = p["observedMetrics"].get(name)
+        for k, v in (row.asDict() if row is not None else {}).items():
+            out[k] = out.get(k, 0) + int(v)
+    return out
+
+
 def read_sink(spark: SparkSession, sink: str | list[str], like: DataFrame | None = None) -> DataFrame:
     """ST4: the streamed table (one folder per flow) read back in batch."""
     paths = [sink] if isinstance(sink, str) else list(sink)
