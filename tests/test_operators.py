@@ -58,7 +58,7 @@ def test_peak_tie_break_and_oil_at_peak(spark):
             (1, 1, TS, "CLIMB", "EGT", "HIGH", "A", 7, "X", 30.0, 60.0, 900.0, 2.0),
             (1, 3, TS + dt.timedelta(seconds=20), "CRUISE", "EGT", "HIGH", "A", 7, "X", 10.0, 10.0, 800.0, 3.0)]
     for perm in ([0, 1, 2], [2, 1, 0], [1, 0, 2]):
-        out = tm.anomaly_events(_enriched_rows(spark, [rows[i] for i in perm])).collect()
+        out = tm.peak_events(_enriched_rows(spark, [rows[i] for i in perm])).collect()
         assert len(out) == 1
         r = out[0]
         assert r.flight_phase_at_peak == "CLIMB" and r.min_oil_pressure_during_event == 30.0

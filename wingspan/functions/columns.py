@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -48,3 +48,13 @@ def qcut_decile(rank: str | Column, n: str | Column, buckets: int = 10) -> Colum
     r, cnt = col_or(rank), col_or(n)
     raw = F.ceil((r - 1) * F.lit(buckets) / (cnt - 1))
     return F.when(cnt <= 1, F.lit(1)).otherwise(F.greatest(F.lit(1), raw)).cast("int")
+
+
+def measured(df: DataFrame, keys: list[str], table: dict[str, str]) -> DataFrame:
+    """One row per key with the aggregates of a measure table (name -> SQL aggregate)."""
+    return df.groupBy(*keys).agg(*[F.expr(e).alias(n) for n, e in table.items()])
+
+
+def attach(df: DataFrame, dimension: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Left join of the named columns (key included) of a dimension."""
+    return df.join(dimension.select(*columns), key, "left")

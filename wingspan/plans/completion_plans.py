@@ -27,7 +27,7 @@ p AS (SELECT tail_number, airline, least(1.0::DOUBLE, greatest(0.0::DOUBLE, coal
   FROM h),
 s AS (SELECT *, least(100.0::DOUBLE, prob * 40::DOUBLE + hrs * 0.5::DOUBLE
     + greatest(0.0::DOUBLE, (180 - days)::DOUBLE / 180.0::DOUBLE) * 20::DOUBLE) AS score FROM p)
-SELECT tail_number, airline, round(prob, 6) AS anomaly_probability, round(score, 6) AS priority_score,
+SELECT tail_number, airline, round(prob, 6) AS anomaly_probability, CAST(floor(score) AS BIGINT) AS priority_points,
   CASE WHEN score > 75 THEN 'CRITICAL' WHEN score > 50 THEN 'HIGH' WHEN score > 25 THEN 'MEDIUM' ELSE 'LOW' END
     AS risk_category FROM s""")
 def rule_priority(spark, d):
@@ -35,7 +35,7 @@ def rule_priority(spark, d):
     h = all_queries()["aircraft_health"](spark, d)
     prob = scoring.rule_anomaly_probability(F.col("anomaly_rate"), F.col("airline"))
     score = scoring.rule_priority(prob, F.col("health_risk_score"), F.col("days_until_next_maintenance"))
-    return h.select("tail_number", "airline", prob.alias("anomaly_probability"), score.alias("priority_score"),
+    return h.select("tail_number", "airline", prob.alias("anomaly_probability"), F.floor(score).alias("priority_points"),
                     scoring.rule_priority_tier(score).alias("risk_category"))
 
 
