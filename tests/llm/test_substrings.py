@@ -77,7 +77,7 @@ def test_automaton_owners_against_brute_force():
     for s, _ in seqs + [([rnd.choice("abcd") for _ in range(60)], 0)]:
         for w in (1, 3, 5):
             want = [min((o for t, o in seqs if any(t[j:j + w] == s[i:i + w] for j in range(len(t) - w + 1))),
-                        default=A._NONE) for i in range(len(s) - w + 1)]
+                        default=P.NO_ID) for i in range(len(s) - w + 1)]
             assert auto.owners(s, w) == want
 
 

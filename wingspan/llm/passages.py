@@ -8,11 +8,11 @@ passage, and equal windows have equal anchors.  So windows need comparing
 only among passages of one anchor, and passages whose anchor occurs once in
 the corpus need no comparing at all.
 
-``candidate_passages`` finds the repeated anchors with one shuffle of
+``repeated_anchors`` finds the anchors that repeat with one shuffle of
 anchors (each batch sends an anchor once, so a line that a third of all
-documents share costs a row per batch), brings them back to their documents
-and writes the passages to the shared folder, each distinct content once per
-batch with the list of places it stands at.
+documents share costs a row per batch).  ``contents`` sends each distinct
+passage of a batch to the shard of its anchor, ``places`` keeps where they
+stand.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from wingspan.llm.common import stored, utf8
 
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
+NO_ID = (1 << 63) - 1
 _PLACE_BITS = 24
 _SLICE = 1 << 22
 
@@ -92,7 +93,10 @@ def with_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def packed_texts(keyed: DataFrame) -> DataFrame:
-    """(key, id, packed): texts compressed for the shuffle."""
+    """(key, id, packed): texts compressed for the shuffle.
+
+    No key is null; saying so keeps the plan equal under inner and outer joins.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
         for b in batches:
@@ -100,7 +104,8 @@ def packed_texts(keyed: DataFrame) -> DataFrame:
                 [b.column(0), b.column(1), pa.array([press.compress(t) for t in b.column(2).to_pylist()], pa.binary())],
                 ["key", "id", "packed"])
 
-    return keyed.select("key", "id", utf8("text").alias("t")).mapInArrow(run, "key long, id long, packed binary")
+    return keyed.select("key", "id", utf8("text").alias("t")).mapInArrow(
+        run, "key long, id long, packed binary").filter("key IS NOT NULL")
 
 
 def unpacked(column: pa.Array) -> Iterator[bytes]:
@@ -140,49 +145,111 @@ def repeated_anchors(keyed: DataFrame, cut: Cutter, within: bool) -> DataFrame:
     return rows.groupBy("key").agg(F.collect_set("anchor").alias("anchors"))
 
 
-def candidate_passages(keyed: DataFrame, cut: Cutter, within: bool, name: str) -> DataFrame:
-    """(anchor, digest, content, low, n, keys, ids, starts, counts) of all passages with a repeated anchor.
+def chosen_texts(texts: DataFrame, keyed: DataFrame, cut: Cutter, within: bool) -> DataFrame:
+    """(key, id, packed, anchors) of the rows that hold a repeated anchor.
 
-    One row per distinct content and batch: content is the passage's bytes,
-    digest its 128-bit hash, low the smallest id it stands in (null: none
-    has an id), n its number of places; the lists name the places.
+    Not written: a plan that reads it twice and joins ``texts`` (the same
+    frame) once more shares one shuffle of them (Spark reuses the exchange).
     """
-    chosen = packed_texts(keyed).join(repeated_anchors(keyed, cut, within), "key")
+    return texts.join(repeated_anchors(keyed, cut, within), "key").select(
+        "key", "id", "packed", "anchors")
+
+
+def _passages(b: pa.RecordBatch, cut: Cutter) -> Iterator[tuple[int, int, int, bytes, int]]:
+    """(key, id, anchor, content, start) of the passages with a repeated anchor; a null id is ``NO_ID``."""
+    for key, i, t, anchors in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), unpacked(b.column(2)),
+                                  b.column(3)):
+        p = cut(t)
+        wanted = np.flatnonzero(np.isin(p.anchor, anchors.values.to_numpy().view(np.uint64)))
+        i = NO_ID if i is None else i
+        for anchor, lo, hi, s in zip(p.anchor[wanted].view(np.int64).tolist(), p.lo[wanted].tolist(),
+                                     p.hi[wanted].tolist(), p.start[wanted].tolist()):
+            yield key, i, anchor, p.data[lo:hi], s
 
+
+def contents(chosen: DataFrame, cut: Cutter) -> DataFrame:
+    """(anchor, content, low, high, n): each distinct content once per batch, with its smallest and
+    largest id and its number of places; one shard task gets an anchor's rows together, by low."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             held: dict[bytes, list] = {}
-            for key, i, t, anchors in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), unpacked(b.column(2)),
-                                          b.column(3)):
-                p = cut(t)
-                wanted = np.flatnonzero(np.isin(p.anchor, anchors.values.to_numpy().view(np.uint64)))
-                for k, lo, hi, s, c in zip(wanted.tolist(), p.lo[wanted].tolist(), p.hi[wanted].tolist(),
-                                           p.start[wanted].tolist(), p.count[wanted].tolist()):
-                    content = p.data[lo:hi]
-                    h = xxhash.xxh3_128_digest(content)
-                    x = held.get(h)
-                    if x is None:
-                        x = held[h] = [int(p.anchor[k].view(np.int64)), content, [], [], [], []]
-                    for to, v in zip(x[2:], (key, i, s, c)):
-                        to.append(v)
+            for _, i, anchor, content, _ in _passages(b, cut):
+                x = held.get(content)
+                if x is None:
+                    held[content] = [anchor, i, i, 1]
+                else:
+                    x[1], x[2], x[3] = min(x[1], i), max(x[2], i), x[3] + 1
+            if held:
+                anchor, low, high, n = zip(*held.values())
+                long = [pa.array(c, pa.int64()) for c in (anchor, low, high, n)]
+                yield pa.RecordBatch.from_arrays([long[0], pa.array(list(held), pa.binary()), *long[1:]],
+                                                 ["anchor", "content", "low", "high", "n"])
+
+    rows = chosen.mapInArrow(run, "anchor long, content binary, low long, high long, n long")
+    return rows.repartition("anchor").sortWithinPartitions("anchor", "low")
+
+
+def places(chosen: DataFrame, cut: Cutter) -> DataFrame:
+    """(digest, places): where each distinct content of a batch stands, as (key, id, start) triples of longs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            held: dict[bytes, list] = {}
+            for key, i, _, content, s in _passages(b, cut):
+                held.setdefault(xxhash.xxh3_128_digest(content), []).extend((key, i, s))
             if held:
-                cols = [list(c) for c in zip(*held.values())]
-                low = [min((i for i in ids if i is not None), default=None) for ids in cols[3]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], pa.int64()), pa.array(list(held), pa.binary()), pa.array(cols[1], pa.binary()),
-                     pa.array(low, pa.int64()), pa.array([len(x) for x in cols[2]], pa.int64()),
-                     *[pa.array(c, pa.list_(pa.int64())) for c in cols[2:]]],
-                    ["anchor", "digest", "content", "low", "n", "keys", "ids", "starts", "counts"])
+                    [pa.array(list(held), pa.binary()),
+                     pa.array([np.array(x, np.int64).tobytes() for x in held.values()], pa.binary())],
+                    ["digest", "places"])
+
+    return chosen.mapInArrow(run, "digest binary, places binary")
 
-    lists = ", ".join(f"{c} array<long>" for c in ("keys", "ids", "starts", "counts"))
-    return stored(chosen.select("key", "id", "packed", "anchors").mapInArrow(
-        run, f"anchor long, digest binary, content binary, low long, n long, {lists}"), name)
 
+def anchor_groups(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[list, bool]]:
+    """The contents of each anchor of a shard task: ([(content, low, high, n)], whether they are all).
 
-def distinct_contents(passages: DataFrame) -> DataFrame:
-    """(anchor, digest, content, low, n): one row per distinct content, its smallest id and number of places."""
-    return passages.groupBy("anchor", "digest").agg(
-        F.first("content").alias("content"), F.min("low").alias("low"), F.sum("n").alias("n"))
+    Rows come by anchor and low.  Equal contents of several batches are
+    merged.  Once an anchor has more than ``limit`` distinct contents they
+    are handed out as they come, in bounded lists that are not all.
+    """
+    at, held, wide = None, {}, False
+    for b in batches:
+        for anchor, content, low, high, n in zip(*(c.to_pylist() for c in b.columns)):
+            if anchor != at:
+                if held:
+                    yield [(c, *x) for c, x in held.items()], not wide
+                at, held, wide = anchor, {}, False
+            x = held.get(content)
+            if x is None:
+                held[content] = [low, high, n]
+            else:
+                x[0], x[1], x[2] = min(x[0], low), max(x[1], high), x[2] + n
+            if len(held) > limit:
+                yield [(c, *x) for c, x in held.items()], False
+                held, wide = {}, True
+    if held:
+        yield [(c, *x) for c, x in held.items()], not wide
+
+
+class Rows:
+    """Output rows of a task, handed on in batches of bounded size."""
+
+    def __init__(self, names: list[str], kinds: list[pa.DataType], size: int = 10_000):
+        self.names, self.kinds, self.size = names, kinds, size
+        self.columns: list[list] = [[] for _ in names]
+
+    def add(self, *row) -> None:
+        for c, v in zip(self.columns, row):
+            c.append(v)
+
+    def full(self) -> Iterator[pa.RecordBatch]:
+        if len(self.columns[0]) >= self.size:
+            yield from self.rest()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self.columns[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(self.columns, self.kinds)], self.names)
+            self.columns = [[] for _ in self.names]
 
 
 def covered(n: int, spans) -> np.ndarray:

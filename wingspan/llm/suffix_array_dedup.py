@@ -10,8 +10,8 @@ The distinct contents of an anchor range form a shard text; its suffix array
 is built by induced sorting, and the permuted common prefixes tell for every
 window start whether a neighbour in the array shares ``window`` bytes.
 Shard texts are bounded: an anchor with more than ``array_contents``
-distinct contents is compared by grouped window digests instead, with the
-same result.  The repeated windows of each content go back to its places by
+distinct contents is compared by a sorted meeting of equal windows instead,
+with the same result and nothing held.  The repeated windows of each content go back to its places by
 a plain shuffle join.
 
 Null texts are empty.  Rows without an id, or with a repeated one, are
@@ -28,10 +28,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wingspan.llm.common import stored
 from wingspan.llm.induced_sorting import permuted_lcp, suffix_array
-from wingspan.llm.passages import (MIX, Passages, anchored_runs, candidate_passages, covered, distinct_contents,
-                                   packed_texts, scramble, unpacked, with_key)
+from wingspan.llm.passages import (MIX, Passages, Rows, anchor_groups, anchored_runs, chosen_texts, contents, covered,
+                                   packed_texts, places, scramble, unpacked, with_key)
 
 WINDOW_BYTES = 400
 GRAM_BYTES = 32
@@ -70,81 +69,96 @@ def repeated_windows(contents: list[bytes], window: int) -> list[np.ndarray]:
 
 def _ranges(starts: np.ndarray, window: int) -> tuple[list[int], list[int]]:
     """Byte ranges covered by windows at the sorted ``starts``."""
-    if not len(starts):
-        return [], []
     gap = np.diff(starts) > window
     return (starts[np.concatenate([[True], gap])].tolist(),
             (starts[np.concatenate([gap, [True]])] + window).tolist())
 
 
-def repeated_ranges(passages: DataFrame, window: int, array_contents: int) -> DataFrame:
+def repeated_ranges(shards: DataFrame, window: int, array_contents: int) -> DataFrame:
     """(digest, los, his): the byte ranges of each content covered by repeated windows."""
-    contents = stored(distinct_contents(passages), "byte-contents")
-    sizes = contents.groupBy("anchor").agg(F.count("*").alias("m"), F.sum("n").alias("places")).filter("places > 1")
-    sized = contents.join(sizes, "anchor")
-    schema = "digest binary, los array<long>, his array<long>"
-
-    def out(rows: list[tuple[bytes, list[int], list[int]]]) -> pa.RecordBatch:
-        lists = pa.list_(pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()),
-                                           pa.array([r[1] for r in rows], lists),
-                                           pa.array([r[2] for r in rows], lists)], ["digest", "los", "his"])
-
-    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def solve(group: list[tuple[bytes, bytes, int]]) -> pa.RecordBatch:
-            found = repeated_windows([c for _, c, _ in group], window)
-            rows = [(d, *(([0], [len(c)]) if n > 1 else _ranges(w, window))) for (d, c, n), w in zip(group, found)]
-            return out([r for r in rows if r[1]])
-
-        group, size, at = [], 0, None
-        for b in batches:
-            for anchor, digest, content, n, m in zip(*(c.to_pylist() for c in b.columns)):
-                if anchor != at and size >= SHARD_BYTES:
-                    yield solve(group)
-                    group, size = [], 0
-                at = anchor
-                if m == 1:
-                    yield out([(digest, [0], [len(content)])])
-                else:
-                    group.append((digest, content, n))
-                    size += len(content)
-        if group:
-            yield solve(group)
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    longs = pa.list_(pa.int64())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Rows(["meet", "n", "digest", "los", "his"], [pa.binary(), pa.int64(), pa.binary(), longs, longs])
+
+        def add(content: bytes, los: list[int], his: list[int]) -> None:
+            d = xxhash.xxh3_128_digest(content)
+            out.add(d, 2, d, los, his)
+
+        def solve(group: list[tuple[bytes, int]]) -> None:
+            for (c, n), starts in zip(group, repeated_windows([c for c, _ in group], window)):
+                if n > 1:
+                    add(c, [0], [len(c)])
+                elif len(starts):
+                    add(c, *_ranges(starts, window))
+
+        shard, size = [], 0
+        for group, whole in anchor_groups(batches, array_contents):
+            if not whole:
+                for c, _, _, n in group:
+                    d = xxhash.xxh3_128_digest(c)
+                    for i in range(len(c) - window + 1):
+                        out.add(xxhash.xxh3_128_digest(c[i:i + window]), n, d, [i], [i + window])
+                    yield from out.full()
+            elif len(group) == 1:
+                if group[0][3] > 1:
+                    add(group[0][0], [0], [len(group[0][0])])
+            else:
+                shard += [(c, n) for c, _, _, n in group]
+                size += sum(len(c) for c, _, _, _ in group)
+                if size >= SHARD_BYTES:
+                    solve(shard)
+                    shard, size = [], 0
+            yield from out.full()
+        if shard:
+            solve(shard)
+        yield from out.rest()
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Rows(["digest", "los", "his"], [pa.binary(), longs, longs])
+        at, first = None, None  # the first row of a meeting waits until another proves it repeated
         for b in batches:
-            rows = [(d, i, xxhash.xxh3_128_digest(c[i:i + window]), n) for d, c, n in
-                    zip(*(x.to_pylist() for x in b.columns)) for i in range(len(c) - window + 1)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*rows), (pa.binary(), pa.int64(), pa.binary(), pa.int64()))],
-                ["digest", "i", "win", "n"])
-
-    single = sized.filter("m = 1").select("digest", F.array(F.lit(0).cast("long")).alias("los"),
-                                          F.array(F.length("content").cast("long")).alias("his"))
-    several = (sized.filter((F.col("m") > 1) & (F.col("m") <= array_contents))
-               .select("anchor", "digest", "content", "n", "m").repartition("anchor").sortWithinPartitions("anchor")
-               .mapInArrow(shards, schema))
-    wide = sized.filter(F.col("m") > array_contents).select("digest", "content", "n").mapInArrow(
-        windows, "digest binary, i long, win binary, n long")
-    twice = wide.groupBy("win").agg(F.sum("n").alias("all")).filter("all > 1")
-    rest = wide.join(twice, "win").groupBy("digest").agg(
-        F.collect_list("i").alias("los"), F.collect_list(F.col("i") + window).alias("his"))
-    return single.unionByName(several).unionByName(rest)
+            for meet, n, digest, los, his in zip(*(c.to_pylist() for c in b.columns)):
+                if meet != at:
+                    at, first = meet, (digest, los, his)
+                    if n > 1:
+                        out.add(*first)
+                        first = None
+                    continue
+                if first is not None:
+                    out.add(*first)
+                    first = None
+                out.add(digest, los, his)
+            yield from out.full()
+        yield from out.rest()
+
+    lists = "los array<long>, his array<long>"
+    found = shards.mapInArrow(run, f"meet binary, n long, digest binary, {lists}")
+    return found.repartition("meet").sortWithinPartitions("meet").mapInArrow(settle, f"digest binary, {lists}")
 
 
 def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW_BYTES,
                 gram: int = GRAM_BYTES, array_contents: int = ARRAY_CONTENTS) -> DataFrame:
     """(id_col, n_bytes, n_removed, n_spans, kept): kept is the remaining bytes of each row's text."""
-    keyed = with_key(docs, id_col, text_col)
-    passages = candidate_passages(keyed, cutter(window, gram), True, "byte-passages")
-    ranges = repeated_ranges(passages, window, array_contents)
-    places = passages.select("digest", "keys", "starts").join(ranges, "digest")
-    spans = (places.select(F.explode(F.arrays_zip("keys", "starts")).alias("p"), "los", "his")
-             .select("p.keys", "p.starts", F.explode(F.arrays_zip("los", "his")).alias("r"))
-             .select(F.col("keys").alias("key"), (F.col("starts") + F.col("r.los")).alias("lo"),
-                     (F.col("starts") + F.col("r.his")).alias("hi"))
+    keyed, cut = with_key(docs, id_col, text_col), cutter(window, gram)
+    texts = packed_texts(keyed)
+    chosen = chosen_texts(texts, keyed, cut, True)
+    ranges = repeated_ranges(contents(chosen, cut), window, array_contents)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys, lo, hi = [], [], []
+            for at, los, his in zip(*(c.to_pylist() for c in b.columns)):
+                for key, _, s in np.frombuffer(at, np.int64).reshape(-1, 3).tolist():
+                    keys += [key] * len(los)
+                    lo += [s + x for x in los]
+                    hi += [s + x for x in his]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (keys, lo, hi)], ["key", "lo", "hi"])
+
+    spans = (places(chosen, cut).join(ranges, "digest").select("places", "los", "his")
+             .mapInArrow(spread, "key long, lo long, hi long")
              .groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
-    whole = packed_texts(keyed).join(spans, "key", "left")
+    whole = texts.join(spans, "key", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -17,8 +17,9 @@ smaller than its own document.
 A copied passage is one row per batch and distinct content, however many
 documents share it; the join back to the places is a plain shuffle join that
 splits hot contents.  An anchor with more than ``automaton_contents``
-distinct contents is too large for one task; its windows get their owners
-from a grouped minimum over window digests instead, with the same result.
+distinct contents (a short common line amid different texts) is too large
+for one automaton; its windows get their owners from a sorted meeting of
+equal windows instead, with the same result and nothing held.
 
 Null texts have no words.  Rows without an id come after all ids: windows
 found in a document with an id are removed from them, and they remove
@@ -35,15 +36,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wingspan.llm.common import stored
-from wingspan.llm.passages import (MIX, Passages, anchored_runs, candidate_passages, covered, distinct_contents,
-                                   packed_texts, scramble, unpacked, with_key)
+from wingspan.llm.passages import (MIX, NO_ID, Passages, Rows, anchor_groups, anchored_runs, chosen_texts, contents,
+                                   covered, packed_texts, places, scramble, unpacked, with_key)
 
 WINDOW_WORDS = 13
 GRAM_WORDS = 3
 PLAIN_LENGTH = 14
 AUTOMATON_CONTENTS = 20_000
-_NONE = (1 << 63) - 1
 
 
 def cutter(window: int = WINDOW_WORDS, gram: int = GRAM_WORDS):
@@ -78,7 +77,7 @@ class SuffixAutomaton:
 
     def __init__(self) -> None:
         self.next: list[dict] = [{}]
-        self.link, self.length, self.owner = [-1], [0], [_NONE]
+        self.link, self.length, self.owner = [-1], [0], [NO_ID]
         self.last = 0
 
     def add(self, words: list, owner: int) -> None:
@@ -106,7 +105,7 @@ class SuffixAutomaton:
                 nxt.append(dict(nxt[q]))
                 length.append(length[p] + 1)
                 link.append(link[q])
-                self.owner.append(_NONE)
+                self.owner.append(NO_ID)
                 while p >= 0 and nxt[p].get(w) == q:
                     nxt[p][w] = copy
                     p = link[p]
@@ -121,7 +120,7 @@ class SuffixAutomaton:
                 self.owner[up] = self.owner[s]
 
     def owners(self, words: list, window: int) -> list[int]:
-        """Owner of each window of the sequence; windows that no added sequence holds get ``_NONE``."""
+        """Owner of each window of the sequence; windows that no added sequence holds get ``NO_ID``."""
         out, state, matched = [], 0, 0
         for i, w in enumerate(words):
             while state and w not in self.next[state]:
@@ -131,7 +130,7 @@ class SuffixAutomaton:
                 state = self.next[state][w]
                 matched += 1
             if i + 1 >= window:
-                owner = _NONE
+                owner = NO_ID
                 if matched >= window:
                     while self.length[self.link[state]] >= window:
                         state = self.link[state]
@@ -141,96 +140,94 @@ class SuffixAutomaton:
         return out
 
 
-def window_owners(passages: DataFrame, window: int, automaton_contents: int) -> DataFrame:
-    """(digest, owners): the smallest id of every window of each content that any other place can use."""
-    contents = stored(distinct_contents(passages), "reference-contents")
-    sizes = contents.groupBy("anchor").agg(F.count("*").alias("m"), F.sum("n").alias("places")).filter("places > 1")
-    sized = contents.join(sizes, "anchor")
-
-    def solve(group: list[tuple]) -> Iterator[tuple[bytes, list[int]]]:
-        if len(group) == 1:
-            digest, words, low = group[0]
-            yield digest, [low] * (len(words) - window + 1)
-            return
-        automaton = SuffixAutomaton()
-        for _, words, low in group:
-            automaton.add(words, low)
-        automaton.finish()
-        for digest, words, _ in group:
-            yield digest, automaton.owners(words, window)
+def window_owners(shards: DataFrame, window: int, automaton_contents: int) -> DataFrame:
+    """(digest, first, owners): smallest ids of a content's windows from window ``first`` on.
 
+    Only contents of which some place can lose words have rows.  Anchors
+    with too many contents for one automaton go on window by window: equal
+    windows meet sorted by id, so the first names the owner and nothing is
+    held.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(found: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([d for d, _ in found], pa.binary()),
-                                               pa.array([o for _, o in found], pa.list_(pa.int64()))],
-                                              ["digest", "owners"])
-        at, group, found = None, [], []
-        for b in batches:
-            for anchor, digest, content, low in zip(*(c.to_pylist() for c in b.columns)):
-                if anchor != at:
-                    found += solve(group) if group else []
-                    at, group = anchor, []
-                group.append((digest, content.split(), _NONE if low is None else low))
-            if len(found) >= 5000:
-                yield out(found)
-                found = []
-        found += solve(group) if group else []
-        if found:
-            yield out(found)
-
-    shards = (sized.filter(F.col("m") <= automaton_contents).select("anchor", "digest", "content", "low")
-              .repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "digest binary, owners array<long>"))
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Rows(["meet", "low", "high", "digest", "first", "owners"],
+                    [pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64())])
+        for group, whole in anchor_groups(batches, automaton_contents):
+            rows = [(c, c.split(), low, high) for c, low, high, _ in group]
+            if not whole:
+                for c, words, low, high in rows:
+                    d = xxhash.xxh3_128_digest(c)
+                    for i in range(len(words) - window + 1):
+                        out.add(xxhash.xxh3_128_digest(b" ".join(words[i:i + window])), low, high, d, i, None)
+                    yield from out.full()
+                continue
+            automaton = None
+            if len(rows) > 1:
+                automaton = SuffixAutomaton()
+                for _, words, low, _ in rows:
+                    automaton.add(words, low)
+                automaton.finish()
+            for c, words, low, high in rows:
+                own = automaton.owners(words, window) if automaton else [low] * (len(words) - window + 1)
+                if min(own) < high:
+                    d = xxhash.xxh3_128_digest(c)
+                    out.add(d, low, high, d, 0, own)
+            yield from out.full()
+        yield from out.rest()
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Rows(["digest", "first", "owners"], [pa.binary(), pa.int32(), pa.list_(pa.int64())])
+        at, owner = None, 0
         for b in batches:
-            rows = [(d, i, xxhash.xxh3_128_digest(b" ".join(ws[i:i + window])), low)
-                    for d, c, low in zip(*(x.to_pylist() for x in b.columns)) for ws in [c.split()]
-                    for i in range(len(ws) - window + 1)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*rows), (pa.binary(), pa.int32(), pa.binary(), pa.int64()))],
-                ["digest", "i", "win", "low"])
-
-    wide = (sized.filter(F.col("m") > automaton_contents).select("digest", "content", "low")
-            .mapInArrow(windows, "digest binary, i int, win binary, low long"))
-    first = wide.groupBy("win").agg(F.coalesce(F.min("low"), F.lit(_NONE)).alias("owner"))
-    rest = wide.join(first, "win").groupBy("digest").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("i", "owner"))), lambda x: x.owner).alias("owners"))
-    return shards.unionByName(rest)
-
-
-def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW_WORDS,
-                  gram: int = GRAM_WORDS, automaton_contents: int = AUTOMATON_CONTENTS) -> tuple[DataFrame, DataFrame]:
-    """(keyed rows, (key, spans)): per row the word ranges (start, end) covered by removable windows, unmerged."""
-    keyed = with_key(docs, id_col, text_col)
-    passages = candidate_passages(keyed, cutter(window, gram), False, "word-passages")
-    owners = window_owners(passages, window, automaton_contents)
-    places = passages.select("digest", "keys", "ids", "starts").join(owners, "digest")
+            for meet, low, high, digest, first, owners in zip(*(c.to_pylist() for c in b.columns)):
+                if owners is not None:
+                    out.add(digest, first, owners)
+                else:
+                    if meet != at:
+                        at, owner = meet, low
+                    if owner < high:
+                        out.add(digest, first, [owner])
+            yield from out.full()
+        yield from out.rest()
+
+    found = shards.mapInArrow(run, "meet binary, low long, high long, digest binary, first int, owners array<long>")
+    return found.repartition("meet").sortWithinPartitions("meet", "low").mapInArrow(
+        settle, "digest binary, first int, owners array<long>")
+
+
+def removed_spans(texts: DataFrame, keyed: DataFrame, window: int = WINDOW_WORDS, gram: int = GRAM_WORDS,
+                  automaton_contents: int = AUTOMATON_CONTENTS) -> DataFrame:
+    """(key, spans): per row the word ranges (lo, hi) covered by removable windows, unmerged."""
+    cut = cutter(window, gram)
+    chosen = chosen_texts(texts, keyed, cut, False)
+    owners = window_owners(contents(chosen, cut), window, automaton_contents)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, lo, hi = [], [], []
-            for ks, ids, starts, own in zip(*(c.to_pylist() for c in b.columns)):
+            for at, first, own in zip(*(c.to_pylist() for c in b.columns)):
                 own = np.array(own, np.int64)
-                for key, i, s in zip(ks, ids, starts):
-                    gone = np.flatnonzero(own < (_NONE if i is None else i))
+                for key, i, s in np.frombuffer(at, np.int64).reshape(-1, 3).tolist():
+                    gone = np.flatnonzero(own < i)
                     if not len(gone):
                         continue
-                    first = gone[np.concatenate([[True], np.diff(gone) > window])]
-                    last = gone[np.concatenate([np.diff(gone) > window, [True]])]
-                    for a, z in zip(first.tolist(), last.tolist()):
+                    gap = np.diff(gone) > window
+                    for a, z in zip(gone[np.concatenate([[True], gap])].tolist(),
+                                    gone[np.concatenate([gap, [True]])].tolist()):
                         keys.append(key)
-                        lo.append(s + a)
-                        hi.append(s + z + window)
+                        lo.append(s + first + a)
+                        hi.append(s + first + z + window)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (keys, lo, hi)], ["key", "lo", "hi"])
 
-    spans = places.select("keys", "ids", "starts", "owners").mapInArrow(run, "key long, lo long, hi long")
-    return keyed, spans.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    spans = (places(chosen, cut).join(owners, "digest").select("places", "first", "owners")
+             .mapInArrow(run, "key long, lo long, hi long"))
+    return spans.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 
 def dedup_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
     """(id_col, n_words, n_removed, kept) of every row: kept is the remaining words joined by one space (bytes)."""
-    keyed, spans = removed_spans(docs, id_col, text_col, **params)
-    whole = packed_texts(keyed).join(spans, "key", "left")
+    keyed = with_key(docs, id_col, text_col)
+    texts = packed_texts(keyed)
+    whole = texts.join(removed_spans(texts, keyed, **params), "key", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
