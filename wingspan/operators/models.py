@@ -92,7 +92,8 @@ def oof_scores(pit: DataFrame, kind: str = "logreg", key: str = "component_id",
     """ML6 + ML8/ML9: out-of-fold probabilities for every row (stratified k-fold)."""
     folds = stratified_folds(pit, key, label, k).select(key, "fold")
     base = design_matrix(pit.join(folds, key)).withColumn("label", F.col(label).cast("double"))
-    base = with_balanced_weights(base, label)  # class_weight="balanced" for both models
+    if kind != "logreg":
+        base = with_balanced_weights(base, label)  # the trees are weighted over all rows
     # every fit scans its input many times: read the design matrix from a
     # written table, not by re-deriving the features from the raw records
     from wingspan.session import materialize
@@ -100,6 +101,8 @@ def oof_scores(pit: DataFrame, kind: str = "logreg", key: str = "component_id",
     out = None
     for f in range(k):
         train = base.filter(F.col("fold") != f)
+        if kind == "logreg":  # weights of the training folds only: no test label enters the fit
+            train = with_balanced_weights(train, label)
         test = base.filter(F.col("fold") == f)
         n_w = train.select(F.sum("weight")).first()[0]
         model = _without_summaries(Pipeline(stages=_feature_stages() + _classifier(kind, n_w)).fit(train))
@@ -109,14 +112,25 @@ def oof_scores(pit: DataFrame, kind: str = "logreg", key: str = "component_id",
     return out.withColumn("model", F.lit(kind))
 
 
+def refit_scores(pit: DataFrame, kind: str, key: str = "component_id", label: str = "y") -> DataFrame:
+    """ML21 + ML22: the chosen model fitted on all rows, and its probability for each of them."""
+    from wingspan.session import materialize
+    base = materialize(with_balanced_weights(design_matrix(pit).withColumn("label", F.col(label).cast("double")), label),
+                       f"refit-{kind}")
+    n_w = base.select(F.sum("weight")).first()[0]
+    model = _without_summaries(Pipeline(stages=_feature_stages() + _classifier(kind, n_w)).fit(base))
+    return model.transform(base).select(key, vector_to_array("probability")[1].alias("forecast_probability"))
+
+
 def anomaly_type_forest(rows: DataFrame, features: list[str], label: str = "anomaly_type",
                         key_cols: tuple[str, ...] = ("flight_id", "record_sequence"),
-                        test_share: float = 0.2) -> tuple[DataFrame, list]:
+                        test_share: float = 0.25) -> tuple[DataFrame, list]:
     """ML10 + ML5 + ML19: multi-class forest on anomalous rows, stratified hold-out.
 
     Split: rows of each class ordered by md5 of the key; the first
     ``test_share`` of each class is held out (exact per-class quota).
-    Returns hold-out predictions and the ranked feature importances.
+    Training rows carry balanced class weights.  Returns hold-out
+    predictions and the ranked feature importances.
     """
     from wingspan.operators.ordering import global_row_number
     h = rows.withColumn("_h", F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in key_cols])))
@@ -128,8 +142,9 @@ def anomaly_type_forest(rows: DataFrame, features: list[str], label: str = "anom
         "is_test", F.col("_grn") - F.col("_first") + 1 <= F.ceil(F.col("_n") * test_share))
     stages = [StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc"),
               VectorAssembler(inputCols=features, outputCol="features"),
-              RandomForestClassifier(featuresCol="features", labelCol="label", **FOREST_PARAMS)]
-    model = _without_summaries(Pipeline(stages=stages).fit(d.filter(~F.col("is_test"))))
+              RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", **FOREST_PARAMS)]
+    train = with_balanced_weights(d.filter(~F.col("is_test")), label)
+    model = _without_summaries(Pipeline(stages=stages).fit(train))
     pred = model.transform(d.filter(F.col("is_test")))
     labels = model.stages[0].labels
     to_name = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("prediction").cast("int") + 1)

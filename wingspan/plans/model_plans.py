@@ -95,18 +95,17 @@ def asset_priority(spark, d):
 
 @query("model_selection", group=G)
 def model_selection(spark, d):
-    """ML12-ML14 + ML20 + ML21 + ML25: out-of-fold logistic vs rule baseline, best by capture.
+    """ML12-ML14 + ML20 + ML21 + ML25: out-of-fold logistic and trees vs rule baseline, best by capture.
 
     The run's parameters and metrics are appended to a ``model_runs`` table
-    in the shared checkpoint folder.  (The GBT candidate is
-    ``forecast_gbt_oof``; add it to ``cands`` to compare all three.)
+    in the shared checkpoint folder.
     """
     from wingspan.operators.features import rule_baseline_score
     from wingspan.session import scratch_path
     p = pit(spark, d)
     lr = M.oof_scores(p, "logreg")
     rule = rule_baseline_score(p).withColumnRenamed("score", "forecast_probability")
-    cands = {"logreg": lr, "rule_baseline": rule.select("component_id", "y", "forecast_probability")}
+    cands = {"logreg": lr, "gbt": M.oof_scores(p, "gbt"), "rule_baseline": rule.select("component_id", "y", "forecast_probability")}
     out = M.compare_models(cands)
     best = out.filter("best").orderBy("model").first()
     M.log_run(spark, scratch_path(spark, "model_runs"), {"model": best.model, "cv": "stratified 5-fold"},
@@ -115,6 +114,25 @@ def model_selection(spark, d):
     return out
 
 
+@query("forecast_model_table", group=G)
+def forecast_model_table(spark, d):
+    """ML21-ML23: the better of logistic and trees by capture, refitted on all rows; its forecast table.
+
+    The rule-score variant, which SQL can check, is ``forecast_table``.
+    """
+    from wingspan.operators import evaluation as ev
+    from wingspan.operators import forecast as fc
+    from wingspan.plans.feature_plans import CUT
+    p = pit(spark, d)
+    capture = {}
+    for kind in ("logreg", "gbt"):
+        scored = M.oof_scores(p, kind).select("component_id", "y", F.col("forecast_probability").alias("score"))
+        capture[kind] = ev.top_decile_capture(scored, "component_id").first().top_decile_capture or 0.0
+    best = max(sorted(capture, reverse=True), key=capture.get)
+    scored = p.join(M.refit_scores(p, best), "component_id")
+    return fc.forecast_table(scored, CUT).withColumn("model", F.lit(best))
+
+
 @query("forest_feature_importance", group=G)
 def forest_feature_importance(spark, d):
     """ML19: ranked feature importances of the anomaly-type forest."""
