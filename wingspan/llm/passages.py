@@ -36,7 +36,8 @@ _SLICE = 1 << 22
 
 
 class Passages(NamedTuple):
-    """Passages of one text: anchor hash, first window, number of windows, byte range in ``data``."""
+    """Passages of one text: anchor hash, first window, number of windows, byte range in ``data``,
+    and where the anchor gram begins in that range."""
 
     data: bytes
     anchor: np.ndarray
@@ -44,6 +45,7 @@ class Passages(NamedTuple):
     count: np.ndarray
     lo: np.ndarray
     hi: np.ndarray
+    offset: np.ndarray
 
 
 def scramble(h: np.ndarray) -> np.ndarray:
@@ -155,37 +157,37 @@ def chosen_texts(texts: DataFrame, keyed: DataFrame, cut: Cutter, within: bool)
         "key", "id", "packed", "anchors")
 
 
-def _passages(b: pa.RecordBatch, cut: Cutter) -> Iterator[tuple[int, int, int, bytes, int]]:
-    """(key, id, anchor, content, start) of the passages with a repeated anchor; a null id is ``NO_ID``."""
+def _passages(b: pa.RecordBatch, cut: Cutter) -> Iterator[tuple[int, int, int, bytes, int, int]]:
+    """(key, id, anchor, content, start, offset) of the passages with a repeated anchor; a null id is ``NO_ID``."""
     for key, i, t, anchors in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), unpacked(b.column(2)),
                                   b.column(3)):
         p = cut(t)
         wanted = np.flatnonzero(np.isin(p.anchor, anchors.values.to_numpy().view(np.uint64)))
         i = NO_ID if i is None else i
-        for anchor, lo, hi, s in zip(p.anchor[wanted].view(np.int64).tolist(), p.lo[wanted].tolist(),
-                                     p.hi[wanted].tolist(), p.start[wanted].tolist()):
-            yield key, i, anchor, p.data[lo:hi], s
+        for anchor, lo, hi, s, o in zip(p.anchor[wanted].view(np.int64).tolist(), *(
+                x[wanted].tolist() for x in (p.lo, p.hi, p.start, p.offset))):
+            yield key, i, anchor, p.data[lo:hi], s, o
 
 
 def contents(chosen: DataFrame, cut: Cutter) -> DataFrame:
-    """(anchor, content, low, high, n): each distinct content once per batch, with its smallest and
-    largest id and its number of places; one shard task gets an anchor's rows together, by low."""
+    """(anchor, content, low, high, n, offset): each distinct content once per batch, with its smallest
+    and largest id, its number of places and where its anchor gram begins; one shard task gets an
+    anchor's rows together, by low."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             held: dict[bytes, list] = {}
-            for _, i, anchor, content, _ in _passages(b, cut):
+            for _, i, anchor, content, _, offset in _passages(b, cut):
                 x = held.get(content)
                 if x is None:
-                    held[content] = [anchor, i, i, 1]
+                    held[content] = [anchor, i, i, 1, offset]
                 else:
                     x[1], x[2], x[3] = min(x[1], i), max(x[2], i), x[3] + 1
             if held:
-                anchor, low, high, n = zip(*held.values())
-                long = [pa.array(c, pa.int64()) for c in (anchor, low, high, n)]
+                long = [pa.array(c, pa.int64()) for c in zip(*held.values())]
                 yield pa.RecordBatch.from_arrays([long[0], pa.array(list(held), pa.binary()), *long[1:]],
-                                                 ["anchor", "content", "low", "high", "n"])
+                                                 ["anchor", "content", "low", "high", "n", "offset"])
 
-    rows = chosen.mapInArrow(run, "anchor long, content binary, low long, high long, n long")
+    rows = chosen.mapInArrow(run, "anchor long, content binary, low long, high long, n long, offset long")
     return rows.repartition("anchor").sortWithinPartitions("anchor", "low")
 
 
@@ -194,7 +196,7 @@ def places(chosen: DataFrame, cut: Cutter) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             held: dict[bytes, list] = {}
-            for key, i, _, content, s in _passages(b, cut):
+            for key, i, _, content, s, _ in _passages(b, cut):
                 held.setdefault(xxhash.xxh3_128_digest(content), []).extend((key, i, s))
             if held:
                 yield pa.RecordBatch.from_arrays(
@@ -206,7 +208,7 @@ def places(chosen: DataFrame, cut: Cutter) -> DataFrame:
 
 
 def anchor_groups(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[list, bool]]:
-    """The contents of each anchor of a shard task: ([(content, low, high, n)], whether they are all).
+    """The contents of each anchor of a shard task: ([(content, low, high, n, offset)], whether they are all).
 
     Rows come by anchor and low.  Equal contents of several batches are
     merged.  Once an anchor has more than ``limit`` distinct contents they
@@ -214,14 +216,14 @@ def anchor_groups(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tup
     """
     at, held, wide = None, {}, False
     for b in batches:
-        for anchor, content, low, high, n in zip(*(c.to_pylist() for c in b.columns)):
+        for anchor, content, low, high, n, offset in zip(*(c.to_pylist() for c in b.columns)):
             if anchor != at:
                 if held:
                     yield [(c, *x) for c, x in held.items()], not wide
                 at, held, wide = anchor, {}, False
             x = held.get(content)
             if x is None:
-                held[content] = [low, high, n]
+                held[content] = [low, high, n, offset]
             else:
                 x[0], x[1], x[2] = min(x[0], low), max(x[1], high), x[2] + n
             if len(held) > limit:

@@ -7,7 +7,8 @@ included) goes, at all its occurrences.
 Only passages with a repeated anchor can hold such strings (see
 ``passages``).  A content that stands at several places repeats as a whole.
 The distinct contents of an anchor range form a shard text; its suffix array
-is built by induced sorting, and the permuted common prefixes tell for every
+(of those contents that can share a window at all) is built by induced
+sorting, and the permuted common prefixes tell for every
 window start whether a neighbour in the array shares ``window`` bytes.
 Shard texts are bounded: an anchor with more than ``array_contents``
 distinct contents is compared by a sorted meeting of equal windows instead,
@@ -20,6 +21,7 @@ documents like any other.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +36,7 @@ from wingspan.llm.passages import (MIX, Passages, Rows, anchor_groups, anchored_
 
 WINDOW_BYTES = 400
 GRAM_BYTES = 32
-ARRAY_CONTENTS = 10_000
+ARRAY_CONTENTS = 50_000  # distinct contents of one anchor in one array: under 40 MB
 SHARD_BYTES = 1 << 20
 
 
@@ -48,7 +50,7 @@ def cutter(window: int = WINDOW_BYTES, gram: int = GRAM_BYTES):
             g = scramble(g[:-size] * MIX[0] + g[size:])
             size *= 2
         at, start, count = anchored_runs(g, window - gram + 1)
-        return Passages(data, g[at], start, count, start, start + count + window - 1)
+        return Passages(data, g[at], start, count, start, start + count + window - 1, at - start)
     return cut
 
 
@@ -67,6 +69,20 @@ def repeated_windows(contents: list[bytes], window: int) -> list[np.ndarray]:
     return [np.flatnonzero(near[s:max(s, e - window + 1)]) for s, e in zip(starts.tolist(), ends.tolist())]
 
 
+def may_share(group: list[tuple], window: int, gram: int) -> list[tuple[bytes, int]]:
+    """(content, n) of the contents of one anchor that can share a window with another one.
+
+    A window reaches at least half of (window - gram) bytes beyond one end
+    of the anchor gram, so two contents with a common window agree on that
+    many bytes before the gram or after it.
+    """
+    half = (window - gram) // 2
+    sides = [(c[o - half:o] if o >= half else None, c[o + gram:o + gram + half]) for c, _, _, _, o in group]
+    before, after = Counter(x for x, _ in sides), Counter(y for _, y in sides if len(y) == half)
+    return [(c, n) for (c, _, _, n, _), (x, y) in zip(group, sides)
+            if x is not None and before[x] > 1 or after[y] > 1]
+
+
 def _ranges(starts: np.ndarray, window: int) -> tuple[list[int], list[int]]:
     """Byte ranges covered by windows at the sorted ``starts``."""
     gap = np.diff(starts) > window
@@ -74,7 +90,7 @@ def _ranges(starts: np.ndarray, window: int) -> tuple[list[int], list[int]]:
             (starts[np.concatenate([gap, [True]])] + window).tolist())
 
 
-def repeated_ranges(shards: DataFrame, window: int, array_contents: int) -> DataFrame:
+def repeated_ranges(shards: DataFrame, window: int, gram: int, array_contents: int) -> DataFrame:
     """(digest, los, his): the byte ranges of each content covered by repeated windows."""
     longs = pa.list_(pa.int64())
 
@@ -95,17 +111,19 @@ def repeated_ranges(shards: DataFrame, window: int, array_contents: int) -> Data
         shard, size = [], 0
         for group, whole in anchor_groups(batches, array_contents):
             if not whole:
-                for c, _, _, n in group:
+                for c, _, _, n, _ in group:
                     d = xxhash.xxh3_128_digest(c)
                     for i in range(len(c) - window + 1):
                         out.add(xxhash.xxh3_128_digest(c[i:i + window]), n, d, [i], [i + window])
                     yield from out.full()
-            elif len(group) == 1:
-                if group[0][3] > 1:
-                    add(group[0][0], [0], [len(group[0][0])])
             else:
-                shard += [(c, n) for c, _, _, n in group]
-                size += sum(len(c) for c, _, _, _ in group)
+                near = may_share(group, window, gram)
+                shared = {c for c, _ in near}
+                for c, _, _, n, _ in group:
+                    if n > 1 and c not in shared:
+                        add(c, [0], [len(c)])
+                shard += near
+                size += sum(len(c) for c, _ in near)
                 if size >= SHARD_BYTES:
                     solve(shard)
                     shard, size = [], 0
@@ -143,7 +161,7 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keyed, cut = with_key(docs, id_col, text_col), cutter(window, gram)
     texts = packed_texts(keyed)
     chosen = chosen_texts(texts, keyed, cut, True)
-    ranges = repeated_ranges(contents(chosen, cut), window, array_contents)
+    ranges = repeated_ranges(contents(chosen, cut), window, gram, array_contents)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -67,8 +67,9 @@ def cutter(window: int = WINDOW_WORDS, gram: int = GRAM_WORDS):
         plain = (size < PLAIN_LENGTH).astype(np.uint64) << np.uint64(63)
         at, start, count = anchored_runs((g >> np.uint64(1)) | plain, window - gram + 1)
         ends = np.cumsum(length + 1)
-        return Passages(b" ".join(words), g[at], start, count, (ends - length - 1)[start],
-                        ends[start + count + window - 2] - 1)
+        begins = ends - length - 1
+        return Passages(b" ".join(words), g[at], start, count, begins[start], ends[start + count + window - 2] - 1,
+                        begins[at] - begins[start])
     return cut
 
 
@@ -152,7 +153,7 @@ def window_owners(shards: DataFrame, window: int, automaton_contents: int) -> Da
         out = Rows(["meet", "low", "high", "digest", "first", "owners"],
                     [pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64())])
         for group, whole in anchor_groups(batches, automaton_contents):
-            rows = [(c, c.split(), low, high) for c, low, high, _ in group]
+            rows = [(c, c.split(), low, high) for c, low, high, _, _ in group]
             if not whole:
                 for c, words, low, high in rows:
                     d = xxhash.xxh3_128_digest(c)
@@ -205,17 +206,18 @@ def removed_spans(texts: DataFrame, keyed: DataFrame, window: int = WINDOW_WORDS
         for b in batches:
             keys, lo, hi = [], [], []
             for at, first, own in zip(*(c.to_pylist() for c in b.columns)):
-                own = np.array(own, np.int64)
+                least, most, width = min(own), max(own), len(own) - 1 + window
                 for key, i, s in np.frombuffer(at, np.int64).reshape(-1, 3).tolist():
-                    gone = np.flatnonzero(own < i)
-                    if not len(gone):
-                        continue
-                    gap = np.diff(gone) > window
-                    for a, z in zip(gone[np.concatenate([[True], gap])].tolist(),
-                                    gone[np.concatenate([gap, [True]])].tolist()):
+                    if most < i:  # every window goes, the usual case
                         keys.append(key)
-                        lo.append(s + first + a)
-                        hi.append(s + first + z + window)
+                        lo.append(s + first)
+                        hi.append(s + first + width)
+                    elif least < i:
+                        for k, o in enumerate(own):
+                            if o < i:
+                                keys.append(key)
+                                lo.append(s + first + k)
+                                hi.append(s + first + k + window)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (keys, lo, hi)], ["key", "lo", "hi"])
 
     spans = (places(chosen, cut).join(owners, "digest").select("places", "first", "owners")
