@@ -209,12 +209,17 @@ def accepted_patterns(extracted: DataFrame, min_precision: float = MIN_PRECISION
     return sorted(r.key for r in scored.join(cut, "gen").filter("p >= cut").select("key").distinct().collect())
 
 
-def added_spans(keys: list[str]) -> Column:
+def once(value: Column, f) -> Column:
+    """f(value) with ``value`` evaluated once, however often f refers to it."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def added_spans(keys: list[str], base: Column, cands: Column) -> Column:
     """Candidates with an accepted pattern that overlap no base span, as struct<s, k, e>."""
     if not keys:
         return F.array().cast("array<struct<s:int,k:int,e:int>>")
-    taken = F.filter("_cands", lambda c: c.key.isin(keys) & ~F.exists(
-        "_base", lambda b: (b.s < c.e) & (c.s < b.e)))
+    taken = F.filter(cands, lambda c: c.key.isin(keys) & ~F.exists(
+        base, lambda b: (b.s < c.e) & (c.s < b.e)))
     kind = lambda c: F.when(c.gen < 2, c.gen).when(c.n > 13, 2).otherwise(3)
     return F.array_distinct(F.transform(taken, lambda c: F.struct(
         c.s.alias("s"), kind(c).cast("int").alias("k"), c.e.alias("e"))))
@@ -232,7 +237,8 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     got = stored(extract(docs.select(F.col(id_col), F.col(text_col).alias("_text")), "_text").drop("_text"),
                  "pii-spans")
     keys = accepted_patterns(got, **params)
-    return got.select(id_col, "_base", F.array_sort(F.concat("_base", added_spans(keys))).alias("_spans"))
+    return got.select(id_col, "_base", F.array_sort(F.concat(
+        "_base", added_spans(keys, F.col("_base"), F.col("_cands")))).alias("_spans"))
 
 
 def redact(docs: DataFrame, text_col: str = "text", **params) -> DataFrame:
@@ -241,11 +247,12 @@ def redact(docs: DataFrame, text_col: str = "text", **params) -> DataFrame:
     The merged span takes the kind of its first part.  Texts without spans
     (null ones too) stay as they are.
     """
-    columns = docs.columns
-    work = extract(docs, text_col)
-    keys = accepted_patterns(stored(work.select("_base", "_cands", "_fold"), "pii-spans"), **params)
-    spans = F.array_sort(F.concat("_base", added_spans(keys)))
-    state = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<s:int,k:int,e:int>>").alias("o"))
+    found = extract(docs.select(F.col(text_col).alias("_text")), "_text").drop("_text")
+    keys = accepted_patterns(stored(found, "pii-spans"), **params)
+    text = F.col(text_col)
+    whole = F.coalesce(text, F.lit(""))
+    names = F.array(*[F.lit(f"<{k}>") for k in KINDS])
+    kind = "array<struct<s:int,k:int,e:int>>"
 
     def merge(a: Column, x: Column) -> Column:  # spans come by start
         last = F.element_at(a.o, -1)
@@ -254,17 +261,21 @@ def redact(docs: DataFrame, text_col: str = "text", **params) -> DataFrame:
         return F.struct(F.greatest(a.end, x.e).alias("end"),
                         F.when((x.s < a.end) & (F.size(a.o) > 0), joined).otherwise(
                             F.concat(a.o, F.array(x))).alias("o"))
-    merged = F.aggregate(spans, state, merge, lambda a: a.o)
-    names = F.array(*[F.lit(f"<{k}>") for k in KINDS])
 
-    def pieces(o: Column) -> Column:
+    def merged(spans: Column) -> Column:
+        state = F.struct(F.lit(0).alias("end"), F.array().cast(kind).alias("o"))
+        return F.aggregate(spans, state, merge, lambda a: a.o)
+
+    def rebuilt(o: Column) -> Column:
         starts = F.concat(F.array(F.lit(0)), F.transform(o, lambda x: x.e))
-        text = F.col(text_col)
         kept = F.transform(starts, lambda s, i: F.substring(text, s + 1, F.coalesce(
             F.get(o, i).getField("s"), F.length(text)) - s))
         tags = F.concat(F.transform(o, lambda x: F.get(names, x.k)), F.array(F.lit("")))
         return F.array_join(F.zip_with(kept, tags, lambda a, b: F.concat(a, b)), "")
-    changed = F.when(F.size("_spans") > 0, F.element_at(F.transform(F.array("_merged"), pieces), 1)).otherwise(
-        F.col(text_col))
-    out = work.withColumn("_spans", spans).withColumn("_merged", merged).withColumn("_new", changed)
-    return out.select(*[F.col("_new").alias(c) if c == text_col else F.col(c) for c in columns])
+
+    def cleaned(found: Column) -> Column:
+        spans = F.array_sort(F.concat(found.base, added_spans(keys, found.base, found.cands)))
+        return once(spans, lambda x: F.when(F.size(x) > 0, once(merged(x), rebuilt)).otherwise(text))
+
+    new = once(F.struct(base_spans(whole).alias("base"), candidates(whole).alias("cands")), cleaned)
+    return docs.select(*[new.alias(c) if c == text_col else F.col(c) for c in docs.columns])
