@@ -15,6 +15,7 @@ from array import array
 
 DEFAULT_FILE = "word_bpe_49k.json"
 CACHE_WORDS = 400_000
+BLOCK_WORDS = 50_000
 # runs that the pre-tokenizer keeps whole: Latin letters (unchanged by NFC) and punctuation after them
 _RUNS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%&$#*|\"()\[\]]*)")
 _SPACES = re.compile(r"[^\S\x1c-\x1f]+")  # the tokenizer's white space
@@ -84,25 +85,29 @@ class WordEncoder:
             self.known[w] = array("I", e.ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, special tokens not added."""
-        split = [t.split() if t.isascii() and not _ASCII_SEPARATORS.search(t) else _SPACES.split(t) for t in texts]
-        out, at = [], 0
-        while at < len(split):  # blocks of bounded vocabulary, so the table can hold them
-            words: set[str] = set()
-            end = at
-            while end < len(split) and (end == at or len(words) < CACHE_WORDS // 4):
-                words.update(split[end])
-                end += 1
-            words.discard("")
-            new = [w for w in words if w not in self.known]
-            if new:
-                full = len(self.known) + 2 * len(new) > CACHE_WORDS  # learn() starts over: all words again
-                self.learn(list(words) if full else new)
-            get = self.known.__getitem__
-            self.known.setdefault("", b"")
-            out += [b"".join(map(get, ws)) for ws in split[at:end]]
-            at = end
-        return out
+        """The ids of each text, special tokens not added; blocks of a bounded number of words at a time."""
+        out: list[bytes] = []
+        block: list[list[str]] = []
+        held = 0
+        for t in texts:
+            plain = t.isascii() and not _ASCII_SEPARATORS.search(t)
+            block.append(t.split() if plain else _SPACES.split(t))
+            held += len(block[-1])
+            if held >= BLOCK_WORDS:
+                out += self._block(block)
+                block, held = [], 0
+        return out + self._block(block)
+
+    def _block(self, split: list[list[str]]) -> list[bytes]:
+        words = set().union(*split) if split else set()
+        words.discard("")
+        new = [w for w in words if w not in self.known]
+        if new:
+            full = len(self.known) + 2 * len(new) > CACHE_WORDS  # learn() starts over: all words again
+            self.learn(list(words) if full else new)
+        self.known.setdefault("", b"")
+        get = self.known.__getitem__
+        return [b"".join(map(get, ws)) for ws in split]
 
 
 def encoder(path: str | None = None) -> WordEncoder:
