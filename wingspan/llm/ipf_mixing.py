@@ -4,8 +4,11 @@ The token mass of the corpus is a contingency table over three axes
 (source, language, topic).  Raking multiplies one factor per axis value
 until the weighted table meets the target marginals of all axes; a
 document's weight is the product of its three factors, and its sampling
-probability that weight over the largest one, so expected token shares of
-the sample are the targets exactly.
+probability that weight over a common scale, at most 1.  The scale is the
+weight above which cells hold no more than ``saturation`` of the tokens; so
+expected token shares of the sample are the targets but for those few cells
+(exactly with ``saturation`` 0, at the price of a sample that the rarest
+cell keeps small).
 
 The table and the factors stay DataFrames: one grouped pass over the
 documents makes the cells, each raking step is one grouped sum over the
@@ -24,7 +27,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wingspan.llm.common import n_words, stored
@@ -32,6 +35,7 @@ from wingspan.llm.common import n_words, stored
 TEMPER = 0.8
 SWEEPS = 6
 TOLERANCE = 1e-9
+SATURATION = 0.01
 # first letters of the vocabulary groups that stand in for topics
 TOPIC_LETTERS = ["ab", "cd", "ef", "ghijkl", "mnop", "qrs", "tuvwxyz"]
 
@@ -39,13 +43,14 @@ TOPIC_LETTERS = ["ab", "cd", "ef", "ghijkl", "mnop", "qrs", "tuvwxyz"]
 def topic(text: str) -> Column:
     """Dominant vocabulary group of a text: t0..t6 by the initials of its longer words, else 'none'."""
     t = F.coalesce(F.col(text), F.lit(""))
-    counts = [F.regexp_count(t, F.lit(f"(^|[^A-Za-z])[{x}{x.upper()}][A-Za-z][A-Za-z][A-Za-z]"))
-              for x in TOPIC_LETTERS]
-    most = F.greatest(*counts)
-    out = F.when(most == 0, "none")
-    for i, c in enumerate(counts):
-        out = out.when(c == most, f"t{i}")
-    return out
+    counts = F.array(*[F.regexp_count(t, F.lit(f"(^|[^A-Za-z])[{x}{x.upper()}][A-Za-z][A-Za-z][A-Za-z]"))
+                       for x in TOPIC_LETTERS])
+
+    def pick(c: Column) -> Column:  # the first of the largest counts
+        most = F.array_max(c)
+        return F.when(most == 0, "none").otherwise(
+            F.concat(F.lit("t"), (F.array_position(c, most) - 1).cast("string")))
+    return F.element_at(F.transform(F.array(counts), pick), 1)
 
 
 def tempered_targets(cells: DataFrame, axis: str, given: dict | None, temper: float) -> DataFrame:
@@ -108,7 +113,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
 def mixing_probabilities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source: str = "source",
                          lang: str = "lang", topic_of: Column | None = None, targets: dict | None = None,
                          temper: float = TEMPER, sweeps: int = SWEEPS,
-                         tolerance: float = TOLERANCE) -> DataFrame:
+                         tolerance: float = TOLERANCE, saturation: float = SATURATION) -> DataFrame:
     """``docs`` with a struct ``_mix``: source, lang, topic, tokens, probability, kept.
 
     ``targets`` maps "source", "lang" or "topic" to {value: share}; axes and
@@ -124,7 +129,10 @@ def mixing_probabilities(docs: DataFrame, id_col: str = "doc_id", text_col: str
             for a in ("source", "lang", "topic")}
     factors = rake(cells, goal, sweeps, tolerance)
     weighted = stored(_product(cells, factors), "mix-weights")
-    top = weighted.filter("tokens > 0").agg(F.max("w")).first()[0]
+    # one row per cell of the contingency table, not per document
+    down = weighted.withColumn("above", F.sum("tokens").over(Window.orderBy(F.col("w").desc())))
+    total = weighted.agg(F.sum("tokens")).first()[0] or 0
+    top = down.filter((F.col("tokens") > 0) & (F.col("above") > saturation * total)).agg(F.max("w")).first()[0]
     p = weighted.select(F.struct("source", "lang", "topic").alias("_cell"),
                         F.least(F.col("w") / F.lit(float(top or 1.0)), F.lit(1.0)).alias("_p"))
     out = marked.join(p, F.struct("_mix.source", "_mix.lang", "_mix.topic").eqNullSafe(F.col("_cell")), "left")

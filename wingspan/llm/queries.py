@@ -127,7 +127,9 @@ f{k}_{a} AS MATERIALIZED (SELECT g.{a}, target, CASE WHEN s > 0 THEN target / s
     joins = " ".join(f"JOIN {last[a]} {a[0]} ON c.{a} IS NOT DISTINCT FROM {a[0]}.{a}" for a in axes)
     return sql + f""",
 w AS MATERIALIZED (SELECT c.*, s.f * l.f * t.f AS w FROM cells c {joins}),
-p AS (SELECT source, lang, topic, least(w / (SELECT max(w) FROM w WHERE tokens > 0), 1.0) AS p FROM w)
+a AS MATERIALIZED (SELECT *, sum(tokens) OVER (ORDER BY w DESC) AS above, sum(tokens) OVER () AS total FROM w),
+p AS (SELECT source, lang, topic, least(w / (SELECT max(w) FROM a WHERE tokens > 0
+  AND above > {ipf_mixing.SATURATION} * total), 1.0) AS p FROM w)
 SELECT doc_id, m.source, m.lang, m.topic, tokens::BIGINT AS tokens,
   floor(p * 1e6 + 0.5) / 1e6 AS probability,
   ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0 < p AS kept
