@@ -73,3 +73,17 @@ def test_given_targets_and_edges(spark):
     assert kept.columns == docs.columns and 0 < kept.count() <= 300
     assert X.sample_mixture(docs.limit(0)).count() == 0
     assert X.sample_mixture(docs.withColumn("text", F.lit(None).cast("string"))).count() == 300
+
+
+def test_rare_values_reach_their_targets(spark):
+    rows = [(i, "alpha beta gamma", "en", "b" if i % 200 == 0 else "a") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    for targets, share in [({"source": {"b": 0.5}}, 0.5), (None, 10**X.TEMPER / (10**X.TEMPER + 1990**X.TEMPER))]:
+        got = X.mixing_probabilities(docs, targets=targets).select("source", "_mix.probability").collect()
+        s = collections.Counter()
+        for r in got:
+            assert 0 < r.probability <= 1
+            s[r.source] += r.probability
+        assert abs(s["b"] / (s["a"] + s["b"]) - share) < 1e-6
+    got = X.mixing_probabilities(docs, targets={"source": {"b": 0.5}}, saturation=0.01).select("_mix.probability")
+    assert got.filter("probability = 1").count() == 2000  # asked for: the rarest cell does not set the scale

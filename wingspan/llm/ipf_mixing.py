@@ -4,11 +4,11 @@ The token mass of the corpus is a contingency table over three axes
 (source, language, topic).  Raking multiplies one factor per axis value
 until the weighted table meets the target marginals of all axes; a
 document's weight is the product of its three factors, and its sampling
-probability that weight over a common scale, at most 1.  The scale is the
-weight above which cells hold no more than ``saturation`` of the tokens; so
-expected token shares of the sample are the targets but for those few cells
-(exactly with ``saturation`` 0, at the price of a sample that the rarest
-cell keeps small).
+probability that weight over the largest one; so expected token shares of
+the sample are the targets, at the price of a sample that the rarest cell
+keeps small.  A caller may give up the targets of the rarest cells for a
+larger sample: the scale is then the weight above which cells hold no more
+than ``saturation`` of the tokens, and probabilities end at 1.
 
 The table and the factors stay DataFrames: one grouped pass over the
 documents makes the cells, each raking step is one grouped sum over the
@@ -27,15 +27,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wingspan.llm.common import n_words, stored
+from wingspan.operators.ordering import global_cumsum
 
 TEMPER = 0.8
 SWEEPS = 6
 TOLERANCE = 1e-9
-SATURATION = 0.01
+SATURATION = 0.0
 # first letters of the vocabulary groups that stand in for topics
 TOPIC_LETTERS = ["ab", "cd", "ef", "ghijkl", "mnop", "qrs", "tuvwxyz"]
 
@@ -129,10 +130,12 @@ def mixing_probabilities(docs: DataFrame, id_col: str = "doc_id", text_col: str
             for a in ("source", "lang", "topic")}
     factors = rake(cells, goal, sweeps, tolerance)
     weighted = stored(_product(cells, factors), "mix-weights")
-    # one row per cell of the contingency table, not per document
-    down = weighted.withColumn("above", F.sum("tokens").over(Window.orderBy(F.col("w").desc())))
-    total = weighted.agg(F.sum("tokens")).first()[0] or 0
-    top = down.filter((F.col("tokens") > 0) & (F.col("above") > saturation * total)).agg(F.max("w")).first()[0]
+    heavy = weighted.filter("tokens > 0")
+    if saturation > 0:
+        total = heavy.agg(F.sum("tokens")).first()[0] or 0
+        heavy = global_cumsum(heavy.groupBy("w").agg(F.sum("tokens").alias("tokens")), [F.col("w").desc()],
+                              {"above": "tokens"}).filter(F.col("cum_above") > saturation * total)
+    top = heavy.agg(F.max("w")).first()[0]
     p = weighted.select(F.struct("source", "lang", "topic").alias("_cell"),
                         F.least(F.col("w") / F.lit(float(top or 1.0)), F.lit(1.0)).alias("_p"))
     out = marked.join(p, F.struct("_mix.source", "_mix.lang", "_mix.topic").eqNullSafe(F.col("_cell")), "left")
