@@ -103,3 +103,37 @@ def test_query_crc(spark):
     assert {r.doc_id for r in rows} == set(ids)
     for r in rows:
         assert r.ids_crc32 == zlib.crc32(ids[r.doc_id][r.start:r.start + r.length].tobytes())
+
+
+def stream_sources(docs, pieces, length):
+    """Source of every token of the stream."""
+    of, out = {r.doc_id: r.source for r in docs}, {}
+    for p in pieces:
+        for i in range(p.length):
+            at = p.sequence_id * length + p.offset + i
+            assert at not in out
+            out[at] = of[p.doc_id]
+    assert sorted(out) == list(range(len(out)))
+    return [out[i] for i in range(len(out))]
+
+
+def test_more_sources_than_queues_keep_their_shares(spark):
+    rnd = random.Random(5)
+    rows = [(i, "the of and " * rnd.randrange(20, 60), f"s{i % 30}" if i % 3 else "big") for i in range(900)]
+    rows += [(1000 + i, "foo bar " * 30, None) for i in range(20)] + [(2000 + i, "the " * 50, "rare") for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs, length = df.collect(), 256
+    for queues in (256, 8, 3):
+        got = D.pack(df.repartition(5), max_queues=queues, length=length).collect()
+        check([r[:2] for r in rows], got, length)
+        stream = stream_sources(docs, got, length)
+        whole = len(stream)
+        for q in set(stream):  # any start of the stream holds a source's share
+            at = [i for i, x in enumerate(stream) if x == q]
+            off = max(abs(n - i * len(at) / whole) for n, i in enumerate(at))
+            assert off <= 4 + length * len(at) / whole, (queues, q, off)  # a round serves queue after queue
+        assert len({p.source_queue for p in got}) == len(set(stream))
+    got = D.pack(df, targets={"rare": 0.1}, max_queues=8, length=length).collect()
+    stream = stream_sources(docs, got, length)
+    n = stream.count("rare")
+    assert abs(stream[:5 * n].count("rare") - 0.5 * n) <= 8  # a tenth, though the smallest source

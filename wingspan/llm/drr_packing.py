@@ -11,14 +11,21 @@ deficits carried over.
 
 Because a queue's deficit after k rounds is a closed form of k, any task can
 place its documents on its own: it needs the number of tokens before the
-document in its queue and the schedule, a table bounded by ``max_queues``
-squared.  One pass tokenizes and writes the ids with running offsets per
+document in its queue and the schedule, a table bounded by the square of the
+number of top queues.  One pass tokenizes and writes the ids with running offsets per
 (task, queue); a second adds the offsets of the tasks before it.  No queue is
 ever gathered or ordered in one task, so a source with a third of all rows
 costs nothing extra, and a lost executor costs the tasks it ran.
 
-Sources beyond the ``max_queues`` - 1 largest share one queue ("rest"); all
-their documents are packed.  Null and empty texts have the end id only; a
+Sources beyond the ``max_queues`` - 1 largest that ``targets`` does not name
+share the top queue "rest", which is a round-robin of its own with rounds of
+one token: its queues are groups of at most ``max_queues`` sources (or, for
+more sources, of such groups), weighted by their tokens, so every source
+keeps its share of any stretch of the rest.  The path of a source, its
+position in the groups and the sizes beside it, is joined to its (task,
+source) offsets; no task holds more than the groups it meets.
+
+Null and empty texts have the end id only; a
 null source is a queue of its own; repeated rows are packed one by one.
 """
 
@@ -35,11 +42,14 @@ from pyspark.sql import functions as F
 
 from wingspan.llm.common import stored
 from wingspan.llm.tokens import encoder
+from wingspan.operators.ordering import global_row_number, join_null_safe
 
 SEQUENCE_TOKENS = 2048
 END_ID = 1
 MAX_QUEUES = 256
 SHARE_UNITS = 1 << 16
+_TAIL_TOKENS = 1 << 12
+_CACHED_GROUPS = 64
 _BATCH_TOKENS = 1 << 21
 
 
@@ -73,6 +83,16 @@ class Schedule:
         per = self.length * int(self.weight[queue, e])
         return int(self.first[e]) + -(-need // per) - 1
 
+    def positions(self, queue: int, i: np.ndarray) -> np.ndarray:
+        """Stream positions of tokens ``i`` (from 0) of a queue."""
+        e = np.searchsorted(self.base[queue], i, side="right") - 1
+        need = (i - self.base[queue, e] + 1) * self.total[e] - self.rest[queue, e]
+        k, which = np.unique(self.first[e] - (-need // (self.length * self.weight[queue, e])) - 1,
+                             return_inverse=True)
+        s = self.served(k)
+        head = s.sum(0) + (self.served(k + 1)[:queue] - s[:queue]).sum(0)
+        return head[which] + i - s[queue, which]
+
     def place(self, queue: int, start: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Cuts of tokens [start, start + n) of a queue: (token offsets from start, stream positions)."""
         k = np.arange(self.round_of(queue, start), self.round_of(queue, start + n - 1) + 2)
@@ -90,10 +110,11 @@ class Schedule:
         return (np.concatenate([lo, lo[over] + cut])[order], np.concatenate([at, at[over] + cut])[order])
 
 
-def schedule(tokens: list[int], shares: list[float], length: int = SEQUENCE_TOKENS) -> Schedule:
+def schedule(tokens: list[int], shares: list[float], length: int = SEQUENCE_TOKENS,
+             share_units: int = SHARE_UNITS) -> Schedule:
     """Epochs of the round-robin; each ends when a queue runs empty, so there are at most as many as queues."""
     t = np.array(tokens, dtype=np.int64)
-    scale = SHARE_UNITS / max(sum(shares), 1e-300)
+    scale = share_units / max(sum(shares), 1e-300)
     units = [max(1, round(x * scale)) for x in shares]
     m = len(t)
     served, deficit = [0] * m, [0.0] * m
@@ -103,7 +124,7 @@ def schedule(tokens: list[int], shares: list[float], length: int = SEQUENCE_TOKE
         live = [j for j in range(m) if served[j] < t[j]]
         if not live and first:
             break
-        w = [units[j] if j in set(live) else 0 for j in range(m)]
+        w = [units[j] if served[j] < t[j] else 0 for j in range(m)]
         whole = max(sum(w), 1)
         r = [int(deficit[j] * whole) if w[j] else 0 for j in range(m)]
         for kept, row in ((first, k), (base, served[:]), (rest, r), (weight, w), (total, whole)):
@@ -122,12 +143,58 @@ def schedule(tokens: list[int], shares: list[float], length: int = SEQUENCE_TOKE
                     np.array(total, kind))
 
 
-def _queue_names(docs: DataFrame, source: str, max_queues: int) -> list:
-    """The sources with queues of their own: the largest by rows, at most ``max_queues`` - 1."""
-    rows = (docs.groupBy(F.col(source).alias("s")).agg(F.count("*").alias("n"))
-            .orderBy(F.col("n").desc(), F.col("s").asc_nulls_first()).limit(max_queues).collect())
-    names = [r.s for r in rows]
-    return names if len(names) < max_queues else names[:max_queues - 1]
+def _group(sizes: list[int]) -> Schedule:
+    """Round-robin of a group inside the rest: one token a round, weights as near the sizes as 64 bits allow."""
+    whole = sum(sizes)
+    return schedule(sizes, sizes, 1, min(whole, (1 << 62) // whole))
+
+
+def _tail_cuts(plan: Schedule, path: list[tuple[int, Schedule]], queue: int, start: int,
+               n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``Schedule.place`` for tokens of a source inside the rest; ``path`` leads from its group up."""
+    cuts, at, last = [], [], -2
+    for lo in range(0, n, _TAIL_TOKENS):
+        i = np.arange(start + lo, start + min(n, lo + _TAIL_TOKENS))
+        for child, group in path:
+            i = group.positions(child, i)
+        i = plan.positions(queue, i)
+        new = (np.diff(i, prepend=last) != 1) | (i % plan.length == 0)
+        cuts.append(np.flatnonzero(new) + lo)
+        at.append(i[new])
+        last = i[-1]
+    return np.concatenate(cuts), np.concatenate(at)
+
+
+def _queue_names(docs: DataFrame, source: str, max_queues: int, targets: dict) -> list:
+    """The sources with top queues: the largest by rows, at most ``max_queues`` - 1, and those with targets."""
+    rows = docs.groupBy(F.col(source).alias("s")).agg(F.count("*").alias("n"))
+    names = [r.s for r in rows.orderBy(F.col("n").desc(), F.col("s").asc_nulls_first()).limit(max_queues).collect()]
+    if len(names) < max_queues:
+        return names
+    names = names[:max_queues - 1]
+    return names + [t for t in targets if t not in names]
+
+
+def _paths(sizes: DataFrame, n_sources: int, width: int) -> DataFrame:
+    """(_tail, _rank, _sizes) of the sources in ``sizes`` (_tail, n): largest first, groups of ``width``.
+
+    _sizes has the sizes of the source's group, then of the groups in the
+    group above, up to the one that holds all.
+    """
+    ranked = global_row_number(sizes, [F.col("n").desc(), F.col("_tail").asc_nulls_first()], "_rank", reuse=True)
+    paths = ranked.select("_tail", (F.col("_rank") - 1).alias("_rank"),
+                          F.array().cast("array<array<bigint>>").alias("_sizes"))
+    level, below = ranked.select((F.col("_rank") - 1).alias("at"), "n"), 1
+    while True:
+        up = stored(level.groupBy(F.floor(F.col("at") / width).alias("at")).agg(
+            F.array_sort(F.collect_list(F.struct("at", "n"))).alias("own"), F.sum("n").alias("n")), "queue-groups")
+        below *= width
+        paths = paths.join(up.select("at", F.col("own.n").alias("own")),
+                           F.floor(F.col("_rank") / below) == F.col("at")).select(
+            "_tail", "_rank", F.concat("_sizes", F.array("own")).alias("_sizes"))
+        level = up.select("at", "n")
+        if below >= n_sources:
+            return paths
 
 
 def _queue(source: str, names: list) -> Column:
@@ -142,33 +209,37 @@ def _queue(source: str, names: list) -> Column:
     return out.cast("int")
 
 
-def tokenized(docs: DataFrame, id_col: str, text_col: str, queue: Column, tokenizer: str | None,
+def tokenized(docs: DataFrame, id_col: str, text_col: str, queue: Column, tail: Column, tokenizer: str | None,
               end_id: int) -> DataFrame:
-    """(id_col, _queue, _part, _before, _n, _ids): ids of each text and end_id, 16 or 32 bits each.
+    """(id_col, _queue, _tail, _part, _before, _n, _ids): ids of each text and end_id, 16 or 32 bits each.
 
-    _before counts the tokens of the same queue ahead in the same task.
+    _tail is the source of a row in the last queue, and null in the others;
+    _before counts the tokens of the same queue and _tail ahead in the same
+    task.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, ahead = encoder(tokenizer), TaskContext.get().partitionId(), {}
         narrow = enc.tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16
         end = np.array([end_id], dtype="<u4").tobytes()
         for b in batches:
-            ids = [x + end for x in enc.encode([t or "" for t in b.column(2).to_pylist()])]
+            ids = [x + end for x in enc.encode([t or "" for t in b.column(3).to_pylist()])]
             counts = [len(x) // 4 for x in ids]
             before = []
-            for q, n in zip(b.column(1).to_pylist(), counts):
+            for *q, n in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), counts):
+                q = tuple(q)
                 before.append(ahead.get(q, 0))
                 ahead[q] = before[-1] + n
             if narrow:
                 ids = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([part] * len(ids), pa.int32()), pa.array(before, pa.int64()),
-                 pa.array(counts, pa.int64()), pa.array(ids, pa.binary())],
-                [id_col, "_queue", "_part", "_before", "_n", "_ids"])
+                [b.column(0), b.column(1), b.column(2), pa.array([part] * len(ids), pa.int32()),
+                 pa.array(before, pa.int64()), pa.array(counts, pa.int64()), pa.array(ids, pa.binary())],
+                [id_col, "_queue", "_tail", "_part", "_before", "_n", "_ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col), queue.alias("_queue"), F.col(text_col).alias("_t")).mapInArrow(
-        run, f"`{id_col}` {kind}, _queue int, _part int, _before long, _n long, _ids binary")
+    rows = docs.select(F.col(id_col), queue.alias("_queue"), tail.alias("_tail"), F.col(text_col).alias("_t"))
+    return rows.mapInArrow(run, f"`{id_col}` {kind}, _queue int, _tail {rows.schema['_tail'].dataType.simpleString()}, "
+                                "_part int, _before long, _n long, _ids binary")
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source: str = "source",
@@ -182,13 +253,21 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     source_queue, start, length, doc_tokens, sequence_id, offset, ids
     (little-endian unsigned 32-bit ids of the piece).
     """
-    names = _queue_names(docs, source, max_queues)
-    ids = stored(tokenized(docs, id_col, text_col, _queue(source, names), tokenizer, end_id), "token-ids")
-    parts = ids.groupBy("_queue", "_part").agg(F.sum("_n").alias("n"))
-    earlier = Window.partitionBy("_queue").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    names = _queue_names(docs, source, max_queues, targets or {})
+    queue, rest = _queue(source, names), len(names)
+    ids = stored(tokenized(docs, id_col, text_col, queue, F.when(queue == rest, F.col(source)), tokenizer, end_id),
+                 "token-ids")
+    parts = ids.groupBy("_queue", "_tail", "_part").agg(F.sum("_n").alias("n"))
+    earlier = Window.partitionBy("_queue", "_tail").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = stored(parts.withColumn("_first", F.coalesce(F.sum("n").over(earlier), F.lit(0))), "queue-offsets")
     sizes = {r._queue: r.n for r in starts.groupBy("_queue").agg(F.sum("n").alias("n")).collect()}
-    tokens = [sizes.get(q, 0) for q in range(len(names) + 1)]
+    tokens = [sizes.get(q, 0) for q in range(rest + 1)]
+    width, path_cols = max(2, max_queues), []
+    if tokens[rest]:
+        tail = stored(starts.filter(F.col("_queue") == rest).groupBy("_tail").agg(F.sum("n").alias("n")), "queue-tail")
+        paths = _paths(tail, tail.count(), width).withColumn("_queue", F.lit(rest))
+        starts = join_null_safe(starts, paths, ["_queue", "_tail"], "left")
+        path_cols = ["_rank", "_sizes"]
     if targets is None:
         shares = [float(x) for x in tokens]
     else:
@@ -207,10 +286,29 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
                  pa.array(cols[6], pa.binary())],
                 [id_col, "source_queue", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
+        groups: dict[tuple[int, int], Schedule] = {}
+
+        def path(rank: int, row: pa.ListScalar) -> list[tuple[int, Schedule]]:
+            out = []
+            for k in range(len(row)):
+                child, rank = rank % width, rank // width
+                if (k, rank) not in groups:
+                    if len(groups) >= _CACHED_GROUPS:
+                        groups.clear()
+                    groups[k, rank] = _group(row[k].as_py())
+                out.append((child, groups[k, rank]))
+            return out
+
         for b in batches:
             cols, held = [[] for _ in range(7)], 0
-            for doc, q, start, n, raw in zip(*(b.column(i).to_pylist() for i in range(5))):
-                lo, at = plan.place(q, start, n)
+            ranks = b.column(5).to_pylist() if path_cols else [None] * b.num_rows
+            for row, (doc, q, start, n, raw, rank) in enumerate(zip(*(b.column(i).to_pylist() for i in range(5)),
+                                                                    ranks)):
+                if rank is None:
+                    lo, at = plan.place(q, start, n)
+                else:
+                    lo, at = _tail_cuts(plan, path(rank, b.column(6)[row]), q, start, n)
+                    q += rank
                 size = np.diff(lo, append=n)
                 data = memoryview(raw if len(raw) == 4 * n else np.frombuffer(raw, "<u2").astype("<u4").tobytes())
                 cols[0].append((doc, len(lo)))
@@ -225,8 +323,12 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
                 yield batch(cols, b.schema.field(0).type)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    placed = ids.join(starts.drop("n"), ["_queue", "_part"]).select(
-        id_col, "_queue", (F.col("_first") + F.col("_before")).alias("_start"), "_n", "_ids")
+    if path_cols:
+        placed = join_null_safe(ids, starts.drop("n"), ["_queue", "_tail", "_part"])
+    else:
+        placed = ids.join(starts.drop("n", "_tail"), ["_queue", "_part"])
+    placed = placed.select(id_col, "_queue", (F.col("_first") + F.col("_before")).alias("_start"), "_n", "_ids",
+                           *path_cols)
     return placed.mapInArrow(run, f"`{id_col}` {kind}, source_queue int, start long, length long, "
                                   "doc_tokens long, sequence_id long, offset long, ids binary")
 
