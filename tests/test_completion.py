@@ -62,3 +62,26 @@ def test_rule_priority_by_hand(spark):
     got = df.select(p.alias("p"), s.alias("s"), scoring.rule_priority_tier(s).alias("t")).collect()
     assert [(round(r.p, 6), round(r.s, 6), r.t) for r in got] == [
         (1.0, 60.0, "HIGH"), (0.0, 4.0, "LOW"), (0.0, 4.0, "LOW")]
+
+
+def test_latest_flights_are_scored_by_the_fitted_trees(spark):
+    from wingspan.operators import models as M
+    rows = []
+    for i in range(300):
+        hot = i % 4 == 0
+        row = [900.0 + i % 7 if hot else 500.0 + i % 11] * len(M.FLIGHT_FEATURES)
+        row[0] = None if i % 5 == 0 else row[0]
+        rows.append((f"t{i % 8}", i, hot if i != 1 else None, *row))
+    flights = spark.createDataFrame(rows, "tail_number string, flight_id long, has_anomaly boolean, "
+                                    + ", ".join(f"{c} double" for c in M.FLIGHT_FEATURES))
+    # the last flight of t0 has no features but the first, so those of the flight before stand
+    flights = flights.unionByName(spark.createDataFrame([("t0", 999, 1.0)], "tail_number string, flight_id long, "
+                                                        "flight_duration_hours double"), allowMissingColumns=True)
+    model, held = M.flight_anomaly_model(flights, maxIter=10)
+    held = held.collect()
+    assert {r.actual for r in held} == {0, 1} and 55 <= len(held) <= 65
+    assert sum(r.actual == r.predicted for r in held) >= len(held) - 1
+    got = {r.tail_number: r for r in M.latest_scores(flights, model, ["flight_id"]).collect()}
+    assert len(got) == 8 and got["t0"].flight_duration_hours == 1.0
+    for t, r in got.items():
+        assert (r.ml_anomaly_probability > 0.5) == (t in ("t0", "t4")), (t, r)

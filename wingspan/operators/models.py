@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,6 +28,10 @@ from wingspan.operators.ordering import join_null_safe
 # Hyper-parameters of the reference's models.
 LOGREG_C = 0.3
 GBT_PARAMS = dict(maxIter=150, maxDepth=2, stepSize=0.05, subsamplingRate=0.8, seed=42)
+FLIGHT_FEATURES = ["flight_duration_hours", "max_altitude", "avg_cruise_speed", "total_fuel_burned", "max_egt_eng1",
+                   "max_egt_eng2", "max_vibration", "avg_oil_pressure_eng1", "avg_oil_pressure_eng2",
+                   "min_hydraulic_pressure"]
+FLIGHT_GBT_PARAMS = dict(maxIter=200, maxDepth=4, stepSize=0.1, seed=42)
 FOREST_PARAMS = dict(numTrees=300, maxDepth=8, seed=42)
 ISO_TREES = 200
 ISO_SAMPLE = 256
@@ -122,6 +126,42 @@ def refit_scores(pit: DataFrame, kind: str, key: str = "component_id", label: st
     return model.transform(base).select(key, vector_to_array("probability")[1].alias("forecast_probability"))
 
 
+def flight_anomaly_model(flights: DataFrame, label: str = "has_anomaly", **params) -> tuple[PipelineModel, DataFrame]:
+    """ML5 + ML7 + ML8: boosted trees on flight summaries; the model and its hold-out predictions.
+
+    A fifth of each class is held out; the other rows give the means that
+    replace missing features and carry balanced weights.  A missing label is
+    no anomaly.
+    """
+    from wingspan.session import materialize
+    rows = flights.withColumn("label", F.coalesce(F.col(label), F.lit(False)).cast("double")).withColumn(
+        "_key", F.to_json(F.struct(*flights.columns)))
+    folds = stratified_folds(rows.select("_key", "label").distinct(), "_key", "label", 5).select("_key", "fold")
+    base = materialize(rows.join(folds, "_key").select(
+        *[F.col(c).cast("double").alias(c) for c in FLIGHT_FEATURES], "label", "fold"), "design-flights")
+    train = with_balanced_weights(base.filter("fold <> 0"), "label")
+    filled = [f"_i_{c}" for c in FLIGHT_FEATURES]
+    stages = [Imputer(strategy="mean", inputCols=FLIGHT_FEATURES, outputCols=filled),
+              VectorAssembler(inputCols=filled, outputCol="features"),
+              GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight",
+                            **{**FLIGHT_GBT_PARAMS, **params})]
+    model = _without_summaries(Pipeline(stages=stages).fit(train))
+    pred = model.transform(base.filter("fold = 0")).select(
+        F.col("label").cast("int").alias("actual"), F.col("prediction").cast("int").alias("predicted"),
+        vector_to_array("probability")[1].alias("score"))
+    return model, pred
+
+
+def latest_scores(flights: DataFrame, model: PipelineModel, order: list[str],
+                  entity: str = "tail_number") -> DataFrame:
+    """ML22 + WN7 (D12): (entity, features, ml_anomaly_probability) of each entity's latest non-null features."""
+    key = F.struct(*order)
+    latest = flights.groupBy(entity).agg(*[
+        F.max_by(F.col(c).cast("double"), F.when(F.col(c).isNotNull(), key)).alias(c) for c in FLIGHT_FEATURES])
+    return model.transform(latest).select(
+        entity, *FLIGHT_FEATURES, vector_to_array("probability")[1].alias("ml_anomaly_probability"))
+
+
 def anomaly_type_forest(rows: DataFrame, features: list[str], label: str = "anomaly_type",
                         key_cols: tuple[str, ...] = ("flight_id", "record_sequence"),
                         test_share: float = 0.25) -> tuple[DataFrame, list]:

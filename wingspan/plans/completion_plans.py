@@ -31,7 +31,7 @@ SELECT tail_number, airline, round(prob, 6) AS anomaly_probability, CAST(floor(s
   CASE WHEN score > 75 THEN 'CRITICAL' WHEN score > 50 THEN 'HIGH' WHEN score > 25 THEN 'MEDIUM' ELSE 'LOW' END
     AS risk_category FROM s""")
 def rule_priority(spark, d):
-    """SC12: priority by rules only (the fitted variant is ``asset_priority``), noise left out."""
+    """SC12: priority by rules only (the fitted variant is ``asset_priority_model``), noise left out."""
     h = all_queries()["aircraft_health"](spark, d)
     prob = scoring.rule_anomaly_probability(F.col("anomaly_rate"), F.col("airline"))
     score = scoring.rule_priority(prob, F.col("health_risk_score"), F.col("days_until_next_maintenance"))

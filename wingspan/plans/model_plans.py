@@ -72,11 +72,11 @@ FROM h {joins}"""
 
 @query("asset_priority", group=G, oracle=_latest_oracle())
 def asset_priority(spark, d):
-    """ML22 + WN7 (D12) + SC10 + SC11: latest non-null state per aircraft, priority and tier.
+    """WN7 (D12) + SC10 + SC11: latest non-null state per aircraft, rule priority and tier.
 
-    The anomaly probability is the aircraft's observed anomaly rate (the
-    SQL-checkable rule score); a fitted model's probability plugs in the
-    same way.
+    The rule variant, which SQL can check: its anomaly probability is the
+    aircraft's observed anomaly rate.  The fitted one is
+    ``asset_priority_model``.
     """
     s = all_queries()["flight_summary"](spark, d)
     key = F.struct(F.col("departure_time"), F.col("flight_id"), F.col("anomaly_type"),
@@ -93,6 +93,30 @@ def asset_priority(spark, d):
                     scoring.priority_tier(prio).alias("risk_category"))
 
 
+_FLIGHT_ORDER = ["departure_time", "flight_id", "anomaly_type", "anomaly_severity"]
+
+
+@query("flight_anomaly_holdout", group=G)
+def flight_anomaly_holdout(spark, d):
+    """ML5 + ML7 + ML8 + ML15: flight-level boosted trees, per-class report on the hold-out."""
+    _, pred = M.flight_anomaly_model(all_queries()["flight_summary"](spark, d))
+    return class_report(pred, "actual", "predicted")
+
+
+@query("asset_priority_model", group=G)
+def asset_priority_model(spark, d):
+    """ML22 + WN7 (D12) + SC10 + SC11: every aircraft's latest features scored by the flight-level trees."""
+    s = all_queries()["flight_summary"](spark, d)
+    model, _ = M.flight_anomaly_model(s)
+    scored = M.latest_scores(s, model, _FLIGHT_ORDER).select("tail_number", "ml_anomaly_probability")
+    j = all_queries()["aircraft_health"](spark, d).join(scored, "tail_number", "left")
+    prio = scoring.maintenance_priority(F.col("ml_anomaly_probability"), F.col("health_risk_score"),
+                                        F.col("days_until_next_maintenance"))
+    return j.select("tail_number", "airline", "aircraft_type", "ml_anomaly_probability", "health_risk_score",
+                    "days_until_next_maintenance", prio.alias("maintenance_priority_score"),
+                    scoring.priority_tier(prio).alias("risk_category"))
+
+
 @query("model_selection", group=G)
 def model_selection(spark, d):
     """ML12-ML14 + ML20 + ML21 + ML25: out-of-fold logistic and trees vs rule baseline, best by capture.
