@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wingspan.llm import (drr_packing, host_rules, ipf_mixing, pii_boosting, quality_bayes, simhash_pigeonring,
-                          suffix_array_dedup, suffix_automaton, toxicity_ftrl, voronoi_knn)
+from wingspan.llm import (decontamination, drr_packing, host_rules, ipf_mixing, pii_boosting, quality_bayes,
+                          simhash_pigeonring, suffix_array_dedup, suffix_automaton, toxicity_ftrl, voronoi_knn)
 from wingspan.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -203,3 +203,38 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes left of every document when strings of 400 bytes that occur twice are removed."""
     out = suffix_array_dedup.dedup_bytes(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP13_SQL = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws
+  FROM documents),
+b AS (SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws
+  FROM benchmark),
+bw AS (SELECT item, least(len(ws), 10) AS n, ws, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS i
+  FROM b WHERE len(ws) > 0),
+t AS MATERIALIZED (SELECT DISTINCT item, n, array_to_string(ws[i:i + n - 1], ' ') AS w FROM bw),
+p AS (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS i
+  FROM d JOIN (SELECT DISTINCT n FROM t) l ON len(ws) >= l.n),
+g AS (SELECT rid, n, i, array_to_string(ws[i:i + n - 1], ' ') AS w FROM p),
+h AS MATERIALIZED (SELECT rid, n, i, w FROM g SEMI JOIN t USING (n, w)),
+hit AS (SELECT rid, count(DISTINCT i + k) AS n_hit
+  FROM h JOIN (SELECT unnest(range(0, 10)) AS k) ON k < n GROUP BY rid),
+its AS (SELECT DISTINCT rid, item FROM h JOIN t USING (n, w)),
+li AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM its GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+  n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit ON hit.rid = d.rid LEFT JOIN li ON li.rid = d.rid
+"""
+
+
+@register("op13_decontamination", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside windows of 10 words of the benchmark, with the items they come from."""
+    marked = decontamination.mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                                  carry=["doc_id"])
+    hit = decontamination.n_hit("spans")
+    return marked.select("row.doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
