@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wingspan.llm import (decontamination, drr_packing, host_rules, ipf_mixing, pii_boosting, quality_bayes,
-                          simhash_pigeonring, suffix_array_dedup, suffix_automaton, toxicity_ftrl, voronoi_knn)
+                          rtree_negatives, simhash_pigeonring, suffix_array_dedup, suffix_automaton,
+                          toxicity_ftrl, voronoi_knn)
 from wingspan.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -238,3 +239,31 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     hit = decontamination.n_hit("spans")
     return marked.select("row.doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                          F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
+OP12_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS MATERIALIZED (SELECT q.vec_id AS anchor_id, c.vec_id AS vec_id, q.label = c.label AS same,
+    list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+r AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score, row_number() OVER (
+    PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM r WHERE rank <= 10
+"""
+
+
+@register("op12_rtree_negatives", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hard negatives for each of the five best positives of every vector whose id is divisible by 100."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select("vec_id", "embedding", label.alias("label"))
+    return rtree_negatives.hard_negatives(rows, F.col("id") % 100 == 0)
