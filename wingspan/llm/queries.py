@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wingspan.llm import (decontamination, drr_packing, host_rules, ipf_mixing, pii_boosting, quality_bayes,
+from wingspan.llm import (decontamination, drr_packing, fm_collocations, host_rules, ipf_mixing, pii_boosting, quality_bayes,
                           rtree_negatives, simhash_pigeonring, suffix_array_dedup, suffix_automaton,
                           toxicity_ftrl, voronoi_knn)
 from wingspan.llm.common import table
@@ -267,3 +267,35 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = rows.select("vec_id", "embedding", label.alias("label"))
     return rtree_negatives.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
+OP11_SQL = """
+WITH pc AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(translate(
+    coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')),
+    '[^\\x20\\x09]+') AS ws FROM documents),
+tot AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM pc GROUP BY lang),
+pos AS (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i
+  FROM pc JOIN (SELECT unnest(range(1, 5)) AS m) ON len(ws) >= m),
+f AS MATERIALIZED (SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS p, any_value(ws[i:i + m - 1]) AS w,
+  count(*) AS f FROM pos GROUP BY 1, 2, 3 HAVING count(*) >= 30),
+inner_of AS (SELECT c.lang, array_to_string(c.w[j:j + k - 1], ' ') AS p, c.f AS longer
+  FROM f c JOIN (SELECT unnest(range(2, 4)) AS k) ON c.m > k JOIN (SELECT unnest(range(1, 4)) AS j) ON j + k - 1 <= c.m),
+most AS (SELECT lang, p, max(longer) AS longer FROM inner_of GROUP BY lang, p),
+own AS (SELECT f.* FROM f LEFT JOIN most ON most.lang = f.lang AND most.p = f.p
+  WHERE m > 1 AND 100 * coalesce(longer, 0)::HUGEINT < 80 * f::HUGEINT),
+cut AS (SELECT own.*, k, x.f AS l, y.f AS r, ((2000000 * own.f::HUGEINT) // (x.f + y.f))::BIGINT AS score
+  FROM own JOIN (SELECT unnest(range(1, 4)) AS k) ON k < own.m
+  JOIN f x ON x.lang = own.lang AND x.p = array_to_string(own.w[1:k], ' ')
+  JOIN f y ON y.lang = own.lang AND y.p = array_to_string(own.w[k + 1:], ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, p) AS rank FROM best)
+SELECT ranked.lang, rank::BIGINT AS rank, p AS phrase, f::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score
+FROM ranked JOIN tot ON tot.lang = ranked.lang WHERE rank <= 2000
+"""
+
+
+@register("op11_fm_collocations", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best collocations of two to four words of each language."""
+    found = fm_collocations.collocations(table(spark, sf_dir, "documents"))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
