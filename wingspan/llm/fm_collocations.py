@@ -31,12 +31,12 @@ tables give empty results, other columns take no part.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,8 +46,9 @@ LEAST = 30
 TOP = 2000
 SHARE = 80  # percent of a phrase's count that makes a longer phrase replace it
 SCORE_SCALE = 2_000_000
-SHARD_WORDS = 2_000_000
-SLICE_BYTES = 16 << 20
+SHARD_WORDS = 1_000_000
+SLICE_BYTES = 4 << 20
+ENTRIES = 20_000  # dictionary rows in one Arrow batch
 _WORDS = ("w1", "w2", "w3", "w4")
 
 # Byte classes of the contract (0 word, 1 blank, 2 end of a piece) and A-Z in lower case.
@@ -73,7 +74,7 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     starts = np.flatnonzero(first)
     n = np.add.reduceat(inside, starts, dtype=np.int64) if len(starts) else np.empty(0, np.int64)
     text = np.searchsorted(ends, starts, side="right")
-    piece = np.cumsum(kind == 2)[starts] + text if len(starts) else starts
+    piece = np.searchsorted(np.flatnonzero(kind == 2), starts) + text
     at = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(n, out=at[1:])
     words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(at.tobytes()),
@@ -98,48 +99,47 @@ class _Shard:
             self.breaks.append(np.diff(piece, prepend=-1) != 0)
             self.n += len(words)
 
-    def row(self) -> dict:
-        """The shard's dictionary (word, language, count) and its sequence of dictionary positions from 1."""
+    def rows(self, shard: int) -> Iterator[pa.RecordBatch]:
+        """The dictionary (position from 1, language, word, count), then the sequence of positions."""
         word = pa.chunked_array(self.words).combine_chunks().dictionary_encode()
         lang = pa.chunked_array(self.langs).combine_chunks().dictionary_encode()
         pair = word.indices.to_numpy().astype(np.int64) * len(lang.dictionary) + lang.indices.to_numpy()
         known, code, count = np.unique(pair, return_inverse=True, return_counts=True)
+        words = word.dictionary.take(pa.array(known // len(lang.dictionary))).cast(pa.string())
+        langs = lang.dictionary.take(pa.array(known % len(lang.dictionary))).cast(pa.string())
         breaks = np.concatenate(self.breaks)
-        where = np.arange(len(code)) + np.cumsum(breaks)  # a separator goes before each piece
         seq = np.zeros(len(code) + int(breaks.sum()), np.int32)
-        seq[where] = code + 1
-        return {"shard": uuid.uuid4().hex, "words": word.dictionary.take(pa.array(known // len(lang.dictionary))),
-                "langs": lang.dictionary.take(pa.array(known % len(lang.dictionary))), "counts": count,
-                "seq": seq.tobytes()}
-
-
-_SHARD = "shard string, words array<string>, langs array<string>, counts array<long>, seq binary"
+        seq[np.arange(len(code)) + np.cumsum(breaks)] = code + 1  # a separator goes before each piece
+        for at in range(0, len(known), ENTRIES):
+            n = min(ENTRIES, len(known) - at)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([shard] * n), pa.array(np.arange(at + 1, at + n + 1)), langs.slice(at, n), words.slice(at, n),
+                 pa.array(count[at:at + n]), pa.nulls(n, pa.binary())], _SHARD_NAMES)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([shard]), pa.nulls(1, pa.int64()), *[pa.nulls(1, pa.string())] * 2, pa.nulls(1, pa.int64()),
+             pa.array([seq.tobytes()], pa.binary())], _SHARD_NAMES)
 
 
-def _shard_batch(r: dict) -> pa.RecordBatch:
-    def one(values, kind):
-        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values).cast(kind))
-    return pa.RecordBatch.from_arrays([pa.array([r["shard"]]), one(r["words"], pa.string()), one(r["langs"], pa.string()),
-                                       one(r["counts"], pa.int64()), pa.array([r["seq"]], pa.binary())],
-                                      [f.split()[0] for f in _SHARD.split(", ")])
+_SHARD = "shard long, pos long, lang string, word string, n long, seq binary"
+_SHARD_NAMES = [f.split()[0] for f in _SHARD.split(", ")]
 
 
 def shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
            shard_words: int = SHARD_WORDS) -> DataFrame:
-    """One row per shard: its dictionary with counts, and the word sequence."""
+    """Rows of all shards: dictionary entries with counts (seq null), and one row with the word sequence (pos null)."""
     rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                        F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Shard()
+        held, shard = _Shard(), TaskContext.get().partitionId() << 32
         for b in batches:
             for lo, hi in _slices(b.column(0)):
                 held.add(b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo))
                 if held.n >= shard_words:
-                    yield _shard_batch(held.row())
-                    held = _Shard()
+                    yield from held.rows(shard)
+                    held, shard = _Shard(), shard + 1
         if held.n:
-            yield _shard_batch(held.row())
+            yield from held.rows(shard)
 
     return rows.mapInArrow(run, _SHARD)
 
@@ -221,8 +221,9 @@ def longer_phrases(bwt: np.ndarray, rbwt: np.ndarray, symbols: int, kept: np.nda
     return (a3, b3, d3, n3), (e, a3[row], b3[row], d3[row], n4)
 
 
-_INDEX = "shard string, gids binary, bwt binary, rbwt binary"
-_COUNTS = "shard string, w1 long, w2 long, w3 long, w4 long, n long"
+_INDEX = "shard long, gids binary, bwt binary, rbwt binary"
+_PAIRS = "shard long, w1 long, w2 long, n long"
+_COUNTS = "w1 long, w2 long, w3 long, w4 long, n long"
 
 
 def _index_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,62 +252,56 @@ def _load(b: pa.RecordBatch, i: int) -> tuple:
             np.frombuffer(b["rbwt"][i].as_buffer(), np.int32))
 
 
-def _rows(shard: str, words: list[np.ndarray], n: np.ndarray) -> pa.RecordBatch:
-    zero = np.zeros(len(n), np.int64)
-    words = [*words, *[zero] * (4 - len(words))]
-    return pa.RecordBatch.from_arrays([pa.array([shard] * len(n), pa.string()), *[pa.array(w) for w in words],
-                                       pa.array(n.astype(np.int64))], [f.split()[0] for f in _COUNTS.split(", ")])
-
-
 def _emit_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for i in range(len(b)):
             shard, gids, bwt, _ = _load(b, i)
             a, c, n, *_ = two_words(bwt, len(gids) - 1)
-            yield from _pieces(shard, [gids[a], gids[c]], n)
+            yield from _pieces(_PAIRS, [np.full(len(n), shard), gids[a], gids[c], n])
 
 
 def _emit_longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for i in range(len(b)):
-            shard, gids, bwt, rbwt = _load(b, i)
+            _, gids, bwt, rbwt = _load(b, i)
             pairs = b["kept"][i].values.flatten()
             a, c = (np.searchsorted(gids, z.to_numpy()) for z in pairs)
             kept = np.sort(a.astype(np.int64) * len(gids) + c)
             for *words, n in longer_phrases(bwt, rbwt, len(gids) - 1, kept):
-                yield from _pieces(shard, [gids[w] for w in words], n)
+                zero = np.zeros(len(n), np.int64)
+                yield from _pieces(_COUNTS, [*[gids[w] for w in words], *[zero] * (4 - len(words)), n])
 
 
-def _pieces(shard: str, words: list[np.ndarray], n: np.ndarray, size: int = 100_000) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(n), size):
-        yield _rows(shard, [w[at:at + size] for w in words], n[at:at + size])
+def _pieces(schema: str, columns: list[np.ndarray], size: int = 100_000) -> Iterator[pa.RecordBatch]:
+    """The columns (64-bit) as batches of bounded size."""
+    names = [f.split()[0] for f in schema.split(", ")]
+    for at in range(0, len(columns[0]), size):
+        yield pa.RecordBatch.from_arrays([pa.array(c[at:at + size].astype(np.int64)) for c in columns], names)
 
 
-def _sums(rows: DataFrame, least: int) -> DataFrame:
-    return rows.groupBy(*_WORDS).agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
+def _sums(rows: DataFrame, words: tuple[str, ...], least: int) -> DataFrame:
+    return rows.groupBy(*words).agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST,
                      shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(words: lang, word, f, gid), (phrases: w1..w4 by gid, 0 for none, f) of 1 to 4 words, (lang, n: all words)."""
     made = stored(shards(docs, text_col, lang_col, shard_words), "fm-shards")
-    entry = F.posexplode(F.arrays_zip("langs", "words", "counts"))
-    entries = made.select("shard", entry.alias("pos", "e")).select(
-        "shard", (F.col("pos") + 1).alias("pos"), F.col("e.langs").alias("lang"), F.col("e.words").alias("word"),
-        F.col("e.counts").alias("n"))
+    entries = made.filter("pos IS NOT NULL").drop("seq")
     totals = stored(entries.groupBy("lang").agg(F.sum("n").alias("n")), "fm-totals")
     words = stored(entries.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
                    .withColumn("gid", F.monotonically_increasing_id() + 1), "fm-words")
     kept = (entries.join(words.select("lang", "word", "gid"), ["lang", "word"]).groupBy("shard")
             .agg(F.collect_list(F.struct("pos", "gid")).alias("kept")))
-    index = stored(made.select("shard", "seq").join(kept, "shard").mapInArrow(_index_shards, _INDEX), "fm-index")
-    two = stored(index.mapInArrow(_emit_two, _COUNTS), "fm-two")
-    pairs = stored(_sums(two, least), "fm-pairs")
+    index = stored(made.filter("pos IS NULL").select("shard", "seq").join(kept, "shard").mapInArrow(_index_shards, _INDEX), "fm-index")
+    two = stored(index.mapInArrow(_emit_two, _PAIRS), "fm-two")
+    pairs = stored(_sums(two, ("w1", "w2"), least), "fm-pairs")
     asked = (two.select("shard", "w1", "w2").join(pairs.select("w1", "w2"), ["w1", "w2"]).groupBy("shard")
              .agg(F.collect_list(F.struct("w1", "w2")).alias("kept")))
-    longer = stored(_sums(index.join(asked, "shard").mapInArrow(_emit_longer, _COUNTS), least), "fm-longer")
-    single = words.select(F.col("gid").alias("w1"), *[F.lit(0).cast("long").alias(w) for w in _WORDS[1:]], "f")
-    return words, single.unionByName(pairs).unionByName(longer), totals
+    longer = stored(_sums(index.join(asked, "shard").mapInArrow(_emit_longer, _COUNTS), _WORDS, least), "fm-longer")
+    zero = [F.lit(0).cast("long").alias(w) for w in _WORDS]
+    single = words.select(F.col("gid").alias("w1"), *zero[1:], "f")
+    return words, single.union(pairs.select("w1", "w2", *zero[2:], "f")).unionByName(longer), totals
 
 
 def _filled(words: list[Column]) -> list[Column]:
