@@ -82,6 +82,18 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return words, text, piece
 
 
+def _packed(ids: np.ndarray) -> bytes:
+    """32-bit ids, compressed byte plane by byte plane."""
+    planes = np.ascontiguousarray(ids.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+    return len(ids).to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(blob: pa.Buffer) -> np.ndarray:
+    n = int.from_bytes(blob[:8].to_pybytes(), "little")
+    planes = np.frombuffer(pa.decompress(blob[8:], 4 * n, "zstd"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<i4").ravel()
+
+
 class _Shard:
     """Words of whole documents until there are enough for a shard."""
 
@@ -117,7 +129,7 @@ class _Shard:
                  pa.array(count[at:at + n]), pa.nulls(n, pa.binary())], _SHARD_NAMES)
         yield pa.RecordBatch.from_arrays(
             [pa.array([shard]), pa.nulls(1, pa.int64()), *[pa.nulls(1, pa.string())] * 2, pa.nulls(1, pa.int64()),
-             pa.array([seq.tobytes()], pa.binary())], _SHARD_NAMES)
+             pa.array([_packed(seq)], pa.binary())], _SHARD_NAMES)
 
 
 _SHARD = "shard long, pos long, lang string, word string, n long, seq binary"
@@ -230,7 +242,7 @@ def _index_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """Index rows from (shard, seq, kept: the frequent words' positions and ids)."""
     for b in batches:
         for i in range(len(b)):
-            shard, seq = b["shard"][i].as_py(), np.frombuffer(b["seq"][i].as_buffer(), np.int32)
+            shard, seq = b["shard"][i].as_py(), _unpacked(b["seq"][i].as_buffer())
             kept = b["kept"][i].values.flatten()
             pos, gid = kept[0].to_numpy().astype(np.int64), kept[1].to_numpy().astype(np.int64)
             order = np.argsort(gid)
@@ -241,15 +253,15 @@ def _index_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             s = np.concatenate([[0], s, [0]]) if len(s) else np.zeros(1, np.int64)
             bwt, rbwt = fm_index(s, len(order))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([shard]), *[pa.array([z.tobytes()], pa.binary()) for z in
-                                      (gid[order], bwt.astype(np.int32), rbwt.astype(np.int32))]],
+                [pa.array([shard]), *[pa.array([z], pa.binary()) for z in
+                                      (gid[order].tobytes(), _packed(bwt), _packed(rbwt))]],
                 [f.split()[0] for f in _INDEX.split(", ")])
 
 
 def _load(b: pa.RecordBatch, i: int) -> tuple:
     gids = np.concatenate([[0], np.frombuffer(b["gids"][i].as_buffer(), np.int64)])
-    return (b["shard"][i].as_py(), gids, np.frombuffer(b["bwt"][i].as_buffer(), np.int32).astype(np.int64),
-            np.frombuffer(b["rbwt"][i].as_buffer(), np.int32))
+    return (b["shard"][i].as_py(), gids, _unpacked(b["bwt"][i].as_buffer()).astype(np.int64),
+            _unpacked(b["rbwt"][i].as_buffer()))
 
 
 def _emit_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
