@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wingspan.operators import search as S
+from wingspan.operators.pruned_search import ImpactIndex
 from wingspan.operators import text as T
 from wingspan.plans.registry import query
 from wingspan.session import file_listing
@@ -31,7 +32,7 @@ def chunks(spark, d):
 _INDEX_CACHE: dict = {}
 
 
-def corpus_index(spark, d, lang: str | None = None) -> S.SearchIndex:
+def corpus_index(spark, d, lang: str | None = None) -> ImpactIndex:
     """The search index of a corpus, built once per session (TX13).
 
     Like the reference's synced index table, queries read a prebuilt
@@ -40,13 +41,13 @@ def corpus_index(spark, d, lang: str | None = None) -> S.SearchIndex:
     """
     sig = (id(spark), tuple(file_listing(spark, table_path(d, "documents"))), lang)
     hit = _INDEX_CACHE.get(sig)
-    if hit is not None and hit.postings.sparkSession is not spark:
+    if hit is not None and hit.vectors.sparkSession is not spark:
         hit = None  # a new session reusing the id of a stopped one
     if hit is None:
         c = chunks(spark, d)
         if lang is not None:
             c = c.filter(F.col("lang") == lang)
-        hit = _INDEX_CACHE[sig] = S.SearchIndex.build(c)
+        hit = _INDEX_CACHE[sig] = ImpactIndex.build(c)
     return hit
 
 
@@ -162,21 +163,16 @@ def _with_chunk_id(df):
                                                  key.getField("pos").cast("string"))).drop("chunk_key")
 
 
-def _ranked(scores, k, window=None):
-    order = [F.round("score", 9).desc(), F.col("chunk_key")]
-    return _with_chunk_id(S.top_k(scores, k, "query_id", order))
-
-
 @query("bm25_topk", group=G, oracle=INDEX_CTE + _rank_sql("bm", K))
 def bm25_topk(spark, d):
-    """TX9: exact BM25 top-8 chunks for every benchmark query."""
-    return _ranked(corpus_index(spark, d).bm25(bench_queries(spark, d)), K)
+    """TX9: exact BM25 top-8 chunks for every benchmark query, by MaxScore over impact-ordered blocks."""
+    return _with_chunk_id(corpus_index(spark, d).top(bench_queries(spark, d), K, "keyword"))
 
 
 @query("vector_topk", group=G, oracle=INDEX_CTE + _rank_sql("vs", K))
 def vector_topk(spark, d):
-    """TX7 + TX8: exact TF-IDF cosine top-8 chunks for every benchmark query."""
-    return _ranked(corpus_index(spark, d).cosine(bench_queries(spark, d)), K)
+    """TX7 + TX8: exact TF-IDF cosine top-8 chunks for every benchmark query, pruned the same way."""
+    return _with_chunk_id(corpus_index(spark, d).top(bench_queries(spark, d), K, "vector"))
 
 
 @query("hybrid_topk", group=G, oracle=INDEX_CTE + f"""
@@ -188,16 +184,7 @@ def vector_topk(spark, d):
 {_rank_sql('f', K)}""")
 def hybrid_topk(spark, d):
     """TX10: reciprocal-rank fusion of keyword and vector rankings, top-8."""
-    idx, q = corpus_index(spark, d), bench_queries(spark, d)
-    tie = [F.col("chunk_key")]
-    order = [F.round("score", 9).desc(), *tie]
-    a = S.top_k(idx.bm25(q), S.HYBRID_WINDOW, "query_id", order, "r_kw")
-    b = S.top_k(idx.cosine(q), S.HYBRID_WINDOW, "query_id", order, "r_vec")
-    f = (a.select("query_id", "chunk_key", "r_kw").join(b.select("query_id", "chunk_key", "r_vec"),
-                                                        ["query_id", "chunk_key"], "full")
-         .withColumn("score", F.coalesce(1.0 / (S.RRF_K + F.col("r_kw")), F.lit(0.0))
-                     + F.coalesce(1.0 / (S.RRF_K + F.col("r_vec")), F.lit(0.0))))
-    return _with_chunk_id(S.top_k(f.select("query_id", "chunk_key", "score"), K, "query_id", order))
+    return _with_chunk_id(corpus_index(spark, d).hybrid(bench_queries(spark, d), K))
 
 
 @query("filtered_search", group=G, oracle=CHUNK_CTE_T.replace(
@@ -205,7 +192,7 @@ def hybrid_topk(spark, d):
         x="doc_title")).replace("{WHERE}", " WHERE lang = 'en'") + INDEX_CTE_T + _rank_sql("bm", K))
 def filtered_search(spark, d):
     """FLT8 + TX9: metadata filter (lang = en) applied before keyword scoring."""
-    return _ranked(corpus_index(spark, d, lang="en").bm25(bench_queries(spark, d)), K)
+    return _with_chunk_id(corpus_index(spark, d, lang="en").top(bench_queries(spark, d), K, "keyword"))
 
 
 @query("label_centroid_topk", group=G, oracle=f"""
