@@ -1,3 +1,4 @@
+import os
 import datetime as dt
 import tempfile
 
@@ -46,3 +47,36 @@ def test_mapping_and_required_columns(spark):
     assert_complete_mapping(vals.filter("aircraft_type = 'A320'"), mp, "aircraft_type")
     with pytest.raises(ValueError):
         require_columns(vals, ["aircraft_type", "tail_number"])
+
+
+def test_progress_of_more_micro_batches_than_a_query_keeps(spark):
+    root = tempfile.mkdtemp(prefix="wingspan-many-")
+    schema = "id long"
+    spark.range(130).repartition(130, "id").write.parquet(f"{root}/src")
+    n = len([p for p in os.listdir(f"{root}/src") if p.endswith(".parquet")])
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "5")
+    try:
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/src").observe(
+            "seen", F.count(F.lit(1)).alias("rows"))
+        got = ingest.drained_progress(stream.writeStream.format("noop").option("checkpointLocation", f"{root}/ck"))
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    assert len(got) >= n // 4 > 5
+    assert sum(p["observedMetrics"]["seen"]["rows"] for p in got) == 130
+
+
+def test_index_sync_goes_on_after_a_stop_while_replacing(spark):
+    root = tempfile.mkdtemp(prefix="wingspan-stop-")
+    src, idx, ck = f"{root}/src", f"{root}/index", f"{root}/ck"
+    schema = "chunk_id string, chunk string"
+    ingest.append_batch(spark.createDataFrame([("1|0", "a")], schema), src)
+    ingest.sync_changed(spark.readStream.schema(schema).parquet(src), idx, "chunk_id", ck)
+    whole = spark.read.parquet(idx)
+    more = spark.createDataFrame([("1|1", "b")], schema).withColumn("content_hash", F.sha2("chunk", 256))
+    whole.unionByName(more).write.parquet(f"{idx}_e1")     # the merge of batch 1 is complete ...
+    os.rename(idx, f"{root}/gone")                         # ... and the index is being replaced
+    ingest.append_batch(spark.createDataFrame([("1|1", "b")], schema), src)
+    ingest.sync_changed(spark.readStream.schema(schema).parquet(src), idx, "chunk_id", ck)
+    assert {r.chunk_id: r.chunk for r in spark.read.parquet(idx).collect()} == {"1|0": "a", "1|1": "b"}
+    assert not os.path.exists(f"{idx}_e1")

@@ -64,7 +64,7 @@ class ImpactIndex:
     directory: dict[str, DataFrame]
     vectors: DataFrame
     idf: DataFrame
-    n_chunks: int
+    n_docs: int
 
     @classmethod
     def build(cls, chunks: DataFrame, key: str = "chunk_key", text: str = "search_text",

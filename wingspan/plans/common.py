@@ -92,13 +92,13 @@ FLIGHT_SUMMARY = """fs AS (SELECT flight_id, airline, aircraft_type, tail_number
 TEL_PRE = oracle_prelude("telemetry", "flights", "aircraft_registry") + ", " + TEL_CLEAN + \
     ",\n" + ENRICHED + ",\n" + FLIGHT_SUMMARY + "\n"
 
-IB_RECORDS = """rec AS (SELECT * FROM maintenance WHERE record_id IS NOT NULL
+IB_RECORDS = """rec AS MATERIALIZED (SELECT * FROM maintenance WHERE record_id IS NOT NULL
   AND component_id IS NOT NULL AND maintenance_date IS NOT NULL),
 comp AS (SELECT * FROM components WHERE component_id IS NOT NULL AND component_type IS NOT NULL
   AND cycles_since_install >= 0),
 ac AS (SELECT * FROM ib_aircraft WHERE tail_number IS NOT NULL AND airline IS NOT NULL),
 al AS (SELECT * FROM airlines WHERE airline IS NOT NULL),
-em AS (SELECT m.record_id, m.component_id, m.tail_number, m.maintenance_date, m.maintenance_type,
+em AS MATERIALIZED (SELECT m.record_id, m.component_id, m.tail_number, m.maintenance_date, m.maintenance_type,
   m.mro_shop, m.cycles_at_service, m.days_since_last_service, m.is_overdue, m.compliance_status,
   m.anomaly_flag, m.anomaly_type, m.anomaly_severity, m.warranty_claim_risk, m.flight_delay_risk,
   m.days_undetected, c.component_type, c.description, c.division,
@@ -132,7 +132,7 @@ snap1 AS (SELECT *, least(greatest(100.0
 snap2 AS (SELECT *, CASE WHEN health_index < 30 OR late > 1.5 THEN 'CRITICAL'
   WHEN health_index < 50 OR late > 1.2 THEN 'HIGH' WHEN health_index < 70 OR late > 1.0 THEN 'MEDIUM'
   ELSE 'LOW' END AS failure_risk_category FROM snap1),
-snap AS (SELECT component_id, component_type, tail_number, airline, aircraft_type,
+snap AS MATERIALIZED (SELECT component_id, component_type, tail_number, airline, aircraft_type,
   DATE '2001-08-01' AS reading_date, health_index,
   coalesce(compliant_events, 0) / greatest(coalesce(n, 0), 1) AS maintenance_compliance_rate,
   cycles_since_install, CAST(dsls AS BIGINT) AS days_since_last_service,

@@ -48,11 +48,9 @@ def round6(c):
     ties such as 2.4859375).  NaN and infinities pass through unchanged.
     """
     x = c.cast("double")
-    finite = ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
-    # floor as a double (the built-in one is a bigint and clamps above 9.2e12)
     y = x * SCALE + 0.5
-    part = y % F.lit(1.0)
-    return F.when(finite, (y - part - F.when(part < 0, 1.0).otherwise(0.0)) / SCALE).otherwise(x)
+    # the built-in floor is a bigint; from 9e12 on every y is a whole number (or no number) already
+    return F.when(F.abs(x) < 9e12, F.floor(y).cast("double")).otherwise(y) / SCALE
 
 
 def rewrite_round6(sql: str) -> str:

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from wingspan.operators import search as S
 from wingspan.operators.pruned_search import ImpactIndex
+from wingspan.operators.versioned_index import VersionedIndex
 from wingspan.operators import text as T
 from wingspan.plans.registry import query
-from wingspan.session import file_listing
+from wingspan.session import file_listing, scratch_path
 from wingspan.sources.driver import read_table, table_path
 
 G = "text"
@@ -241,3 +242,22 @@ def changed_chunks(spark, d):
     old = T.section_chunks(docs)
     new = T.section_chunks(docs.withColumn("text", F.regexp_replace("text", r"\. ", "\n")))
     return S.changed_rows(old, new, "chunk_id", "chunk")
+
+
+@query("index_sync", group=G, oracle="""
+WITH n0 AS (SELECT doc_id, unnest(generate_series(0, len(string_split(t, chr(10))) - 1)) AS pos,
+    unnest(string_split(t, chr(10))) AS chunk FROM (SELECT doc_id, replace(text, '. ', chr(10)) AS t FROM documents))
+SELECT concat_ws('|', CAST(doc_id AS VARCHAR), CAST(pos AS VARCHAR)) AS chunk_id, sha256(chunk) AS content_hash
+FROM n0 WHERE length(trim(chunk)) > 0""")
+def index_sync(spark, d):
+    """TX13 + ST7: line chunks in a versioned index, brought to sentence chunks by the change feed, then merged."""
+    docs = documents(spark, d)
+    old = T.section_chunks(docs)
+    new = T.section_chunks(docs.withColumn("text", F.regexp_replace("text", r"\. ", "\n")))
+    cols = ["chunk_id", "chunk", "lang", "source"]
+    index = VersionedIndex(spark, scratch_path(spark, "index"), "chunk_id", "chunk")
+    index.apply(old.select(*cols).withColumn("change", F.lit("inserted")), epoch=0, feed="chunks")
+    feed = S.changed_rows(old, new, "chunk_id", "chunk").join(new.select(*cols), "chunk_id", "left")
+    index.apply(feed, epoch=1, feed="chunks")
+    index.merge()
+    return index.rows().select("chunk_id", "content_hash")

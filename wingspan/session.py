@@ -95,6 +95,11 @@ def file_listing(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     return sorted(out)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def is_folder(spark: SparkSession, path: str) -> bool:
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -10,7 +10,7 @@ Bronze and silver telemetry are streaming queries over files:
   batch equivalent of a pipeline refresh (ST5); a long-running job uses a
   processing-time trigger instead;
 * the warn-rule counts of each micro-batch come from ``observe`` and are
-  read from the query's progress (:func:`observed_enrichment`, no second scan).
+  read from the progress of all batches (:func:`observed_enrichment`, no second scan).
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wingspan.operators import telemetry as tm
-from wingspan.session import file_listing, is_folder, scratch_path
+from wingspan.session import file_listing, is_folder, remove_folder, scratch_path
 from wingspan.sources.bindings import BINDINGS
 from wingspan.sources.driver import read_table, table_path
 
@@ -111,14 +111,37 @@ def enrich_stream(spark: SparkSession, sf_dir: str, flights: DataFrame, registry
     return sink
 
 
+def drained_progress(writer, poll_seconds: float = 0.2) -> list:
+    """Drain a stream and return the progress of every micro-batch, in order.
+
+    A query keeps its latest progress records only (100 by default), so they
+    are gathered while it runs; a batch missed between two looks is an error,
+    never a smaller count.
+    """
+    q = writer.trigger(availableNow=True).start()
+    seen: dict[int, object] = {}
+    running = True
+    while running:
+        running = not q.awaitTermination(poll_seconds)
+        for p in q.recentProgress:
+            if p["numInputRows"] or p["batchId"] not in seen:
+                seen[p["batchId"]] = p
+    missed = sorted(set(range(min(seen, default=0), max(seen, default=-1) + 1)) - set(seen))
+    if missed:
+        raise RuntimeError(f"progress of micro-batches {missed[:5]} was not seen")
+    return [seen[b] for b in sorted(seen)]
+
+
 def observed_enrichment(spark: SparkSession, sf_dir: str, flights: DataFrame, registry: DataFrame) -> dict:
     """DQ6 on a stream: the enrichment rules' violation counts over all micro-batches of a drained stream."""
     name = "stream_warnings"
     tel = tm.bronze_telemetry(bound_stream(spark, sf_dir, "telemetry"))
     enriched = tm.enrich_telemetry(tel, flights, registry, name)
-    q = run_to_sink(enriched, scratch_path(spark, "warned"), scratch_path(spark, "ckpt-warned"), name)
+    progress = drained_progress(enriched.writeStream.format("parquet").outputMode("append")
+                                .option("path", scratch_path(spark, "warned"))
+                                .option("checkpointLocation", scratch_path(spark, "ckpt-warned")).queryName(name))
     out: dict = {}
-    for p in q.recentProgress:
+    for p in progress:
         row = p["observedMetrics"].get(name)
         for k, v in (row.asDict() if row is not None else {}).items():
             out[k] = out.get(k, 0) + int(v)
@@ -155,21 +178,26 @@ def sync_changed(stream: DataFrame, index_path: str, key: str, checkpoint: str,
     failure replays the batch idempotently because the merge is by key.  Of
     several rows of one key in a batch the one with the largest ``version``
     column stays (without one: the largest content hash).  An index that
-    cannot be read is an error, never a new index.
+    cannot be read is an error, never a new index.  The merged rows are
+    complete beside the index before it is replaced, and a run that stopped
+    in between goes on from them.  (:mod:`wingspan.operators.versioned_index`
+    writes the changed rows only.)
     """
     def merge(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         batch = batch.withColumn("content_hash", F.sha2(F.col(content), 256))
         newest = F.struct(*([version] if version else []), "content_hash")
         batch = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), newest).alias("_r")).select("_r.*")
-        if file_listing(spark, index_path):
-            current = spark.read.parquet(index_path)
-            merged = current.join(batch.select(key), key, "left_anti").unionByName(batch)
-        else:
-            merged = batch
         tmp = f"{index_path.rstrip('/')}_e{epoch}"
-        merged.write.mode("overwrite").parquet(tmp)
+        if not file_listing(spark, f"{tmp}/_SUCCESS"):  # else a run stopped while it replaced the index
+            if file_listing(spark, index_path):
+                current = spark.read.parquet(index_path)
+                merged = current.join(batch.select(key), key, "left_anti").unionByName(batch)
+            else:
+                merged = batch
+            merged.write.mode("overwrite").parquet(tmp)
         spark.read.parquet(tmp).write.mode("overwrite").parquet(index_path)
+        remove_folder(spark, tmp)
 
     q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
