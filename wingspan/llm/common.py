@@ -20,6 +20,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has (in either case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def utf8(text: str | Column) -> Column:
     """A text column as its UTF-8 bytes; null becomes empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("binary")

@@ -30,7 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wingspan.llm.common import n_words, stored
+from wingspan.llm.common import fresh, n_words, stored
 from wingspan.operators.ordering import global_cumsum
 
 TEMPER = 0.8
@@ -114,18 +114,22 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
 def mixing_probabilities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source: str = "source",
                          lang: str = "lang", topic_of: Column | None = None, targets: dict | None = None,
                          temper: float = TEMPER, sweeps: int = SWEEPS,
-                         tolerance: float = TOLERANCE, saturation: float = SATURATION) -> DataFrame:
-    """``docs`` with a struct ``_mix``: source, lang, topic, tokens, probability, kept.
+                         tolerance: float = TOLERANCE, saturation: float = SATURATION,
+                         name: str = "_mix") -> DataFrame:
+    """``docs`` with a struct ``name``: source, lang, topic, tokens, probability, kept.
+
+    A column of that name is replaced; all others stay, whatever they are called.
 
     ``targets`` maps "source", "lang" or "topic" to {value: share}; axes and
     values left out follow the tempered shares of the corpus.
     """
     key = F.coalesce(F.col(id_col).cast("string"), F.col(text_col), F.lit(""))
-    marked = docs.withColumn("_mix", F.struct(
+    mix, cell, share = fresh(docs, "_mix"), fresh(docs, "_cell"), fresh(docs, "_p")
+    marked = docs.withColumn(mix, F.struct(
         F.col(source).alias("source"), F.col(lang).alias("lang"),
         (topic(text_col) if topic_of is None else topic_of).alias("topic"), n_words(text_col).alias("tokens")))
-    cells = stored(marked.groupBy(*[F.col(f"_mix.{a}").alias(a) for a in ("source", "lang", "topic")])
-                   .agg(F.sum("_mix.tokens").alias("tokens")), "mix-cells")
+    cells = stored(marked.groupBy(*[F.col(f"{mix}.{a}").alias(a) for a in ("source", "lang", "topic")])
+                   .agg(F.sum(f"{mix}.tokens").alias("tokens")), "mix-cells")
     goal = {a: stored(tempered_targets(cells, a, (targets or {}).get(a), temper), f"target-{a}")
             for a in ("source", "lang", "topic")}
     factors = rake(cells, goal, sweeps, tolerance)
@@ -136,14 +140,16 @@ def mixing_probabilities(docs: DataFrame, id_col: str = "doc_id", text_col: str
         heavy = global_cumsum(heavy.groupBy("w").agg(F.sum("tokens").alias("tokens")), [F.col("w").desc()],
                               {"above": "tokens"}).filter(F.col("cum_above") > saturation * total)
     top = heavy.agg(F.max("w")).first()[0]
-    p = weighted.select(F.struct("source", "lang", "topic").alias("_cell"),
-                        F.least(F.col("w") / F.lit(float(top or 1.0)), F.lit(1.0)).alias("_p"))
-    out = marked.join(p, F.struct("_mix.source", "_mix.lang", "_mix.topic").eqNullSafe(F.col("_cell")), "left")
+    p = weighted.select(F.struct("source", "lang", "topic").alias(cell),
+                        F.least(F.col("w") / F.lit(float(top or 1.0)), F.lit(1.0)).alias(share))
+    own = F.struct(f"{mix}.source", f"{mix}.lang", f"{mix}.topic")
+    out = marked.join(p, own.eqNullSafe(F.col(cell)), "left")
     unit = F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
-    mix = F.struct("_mix.*", F.col("_p").alias("probability"), (unit < F.col("_p")).alias("kept"))
-    return out.withColumn("_mix", mix).select(*docs.columns, "_mix")
+    made = F.struct(f"{mix}.*", F.col(share).alias("probability"), (unit < F.col(share)).alias("kept"))
+    return out.select(*[c for c in docs.columns if c != name], made.alias(name))
 
 
 def sample_mixture(docs: DataFrame, **params) -> DataFrame:
     """The drawn documents, with the columns of ``docs``."""
-    return mixing_probabilities(docs, **params).filter("_mix.kept").drop("_mix")
+    name = fresh(docs, "_mix")
+    return mixing_probabilities(docs, name=name, **params).filter(F.col(f"{name}.kept")).drop(name)

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wingspan.llm.common import n_words, stored
+from wingspan.llm.common import fresh, n_words, stored
 
 THRESHOLD = 0.5
 SMOOTHING = 1.0
@@ -158,20 +158,25 @@ def posteriors(scored: DataFrame, host: str, path: str) -> DataFrame:
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     host: str = "source", path: str = "lang", label_col: str = "quality",
-                    threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with a struct column ``_quality``: evidence, host_posterior, path_posterior, score, kept."""
+                    threshold: float = THRESHOLD, name: str = "_quality") -> DataFrame:
+    """``docs`` with a struct column ``name``: evidence, host_posterior, path_posterior, score, kept.
+
+    A column of that name is replaced; all others stay, whatever they are called.
+    """
     compact = stored(docs.select(F.col(id_col), F.col(host).alias("_h0"), F.col(path).alias("_p0"),
                                  bins(text_col).alias("_bins")), "quality-bins")
     weights = fit_evidence(compact.select(id_col, "_bins"), labels, id_col, label_col)
     groups = posteriors(compact.withColumn("_evidence", evidence(weights, F.col("_bins"))), "_h0", "_p0")
-    out = docs.withColumn("_evidence", evidence(weights, bins(text_col))).join(
-        groups, F.col(host).eqNullSafe(F.col("_host")) & F.col(path).eqNullSafe(F.col("_path")), "left")
-    score = 1 / (1 + F.exp(-(F.col("_evidence") + logit(F.col("path_posterior")))))
-    made = F.struct(F.col("_evidence").alias("evidence"), "host_posterior", "path_posterior",
+    ev, h, p, hp, pp = (fresh(docs, c) for c in ("_evidence", "_host", "_path", "_host_posterior", "_path_posterior"))
+    out = docs.withColumn(ev, evidence(weights, bins(text_col))).join(
+        groups.toDF(h, p, hp, pp), F.col(host).eqNullSafe(F.col(h)) & F.col(path).eqNullSafe(F.col(p)), "left")
+    score = 1 / (1 + F.exp(-(F.col(ev) + logit(F.col(pp)))))
+    made = F.struct(F.col(ev).alias("evidence"), F.col(hp).alias("host_posterior"), F.col(pp).alias("path_posterior"),
                     score.alias("score"), (score >= threshold).alias("kept"))
-    return out.withColumn("_quality", made).select(*docs.columns, "_quality")
+    return out.select(*[c for c in docs.columns if c != name], made.alias(name))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **params) -> DataFrame:
     """The documents that the classifier keeps, with the columns of ``docs``."""
-    return score_documents(docs, labels, **params).filter("_quality.kept").drop("_quality")
+    name = fresh(docs, "_quality")
+    return score_documents(docs, labels, name=name, **params).filter(F.col(f"{name}.kept")).drop(name)

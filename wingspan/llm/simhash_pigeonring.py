@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wingspan.llm.common import stored, utf8
+from wingspan.llm.common import fresh, stored, utf8
 from wingspan.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -201,8 +201,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     Of repeated rows of that id one stays.  Rows with a null id cannot be
     named and pass through unchanged.  All columns of ``docs`` are kept.
     """
-    near = near_duplicates(docs.filter(F.col(id_col).isNotNull()), id_col, text_col, **params)
-    low = near.filter(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count("*").alias("_n"))
+    near = near_duplicates(docs.filter(F.col(id_col).isNotNull()).select(id_col, text_col), id_col, text_col, **params)
+    n = fresh(docs, "_n")
+    low = near.filter(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count("*").alias(n))
     kept = docs.join(low, id_col)
-    once = kept.filter("_n = 1").unionByName(kept.filter("_n > 1").dropDuplicates([id_col]))
+    once = kept.filter(F.col(n) == 1).unionByName(kept.filter(F.col(n) > 1).dropDuplicates([id_col]))
     return (once.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull())))
