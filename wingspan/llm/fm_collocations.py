@@ -291,8 +291,8 @@ def _pieces(schema: str, columns: list[np.ndarray], size: int = 100_000) -> Iter
         yield pa.RecordBatch.from_arrays([pa.array(c[at:at + size].astype(np.int64)) for c in columns], names)
 
 
-def _sums(rows: DataFrame, words: tuple[str, ...], least: int) -> DataFrame:
-    return rows.groupBy(*words).agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
+def _sums(rows: DataFrame, least: int) -> DataFrame:
+    return rows.groupBy(*_WORDS).agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST,
@@ -306,11 +306,12 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     kept = (entries.join(words.select("lang", "word", "gid"), ["lang", "word"]).groupBy("shard")
             .agg(F.collect_list(F.struct("pos", "gid")).alias("kept")))
     index = stored(made.filter("pos IS NULL").select("shard", "seq").join(kept, "shard").mapInArrow(_index_shards, _INDEX), "fm-index")
-    two = stored(index.mapInArrow(_emit_two, _PAIRS), "fm-two")
-    pairs = stored(_sums(two, ("w1", "w2"), least), "fm-pairs")
-    asked = (two.select("shard", "w1", "w2").join(pairs.select("w1", "w2"), ["w1", "w2"]).groupBy("shard")
-             .agg(F.collect_list(F.struct("w1", "w2")).alias("kept")))
-    longer = stored(_sums(index.join(asked, "shard").mapInArrow(_emit_longer, _COUNTS), _WORDS, least), "fm-longer")
+    # one shuffle sums the shards' counts of a pair (a row per shard) and keeps the shards that hold it
+    whole = F.sum("n").over(Window.partitionBy("w1", "w2"))
+    two = stored(index.mapInArrow(_emit_two, _PAIRS).withColumn("f", whole).filter(F.col("f") >= least), "fm-two")
+    pairs = two.groupBy("w1", "w2").agg(F.first("f").alias("f"))
+    asked = two.groupBy("shard").agg(F.collect_list(F.struct("w1", "w2")).alias("kept"))
+    longer = stored(_sums(index.join(asked, "shard").mapInArrow(_emit_longer, _COUNTS), least), "fm-longer")
     zero = [F.lit(0).cast("long").alias(w) for w in _WORDS]
     single = words.select(F.col("gid").alias("w1"), *zero[1:], "f")
     return words, single.union(pairs.select("w1", "w2", *zero[2:], "f")).unionByName(longer), totals
