@@ -305,13 +305,14 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
                    .withColumn("gid", F.monotonically_increasing_id() + 1), "fm-words")
     kept = (entries.join(words.select("lang", "word", "gid"), ["lang", "word"]).groupBy("shard")
             .agg(F.collect_list(F.struct("pos", "gid")).alias("kept")))
-    index = stored(made.filter("pos IS NULL").select("shard", "seq").join(kept, "shard").mapInArrow(_index_shards, _INDEX), "fm-index")
+    # both joins on the shard are shuffled at any size: the lists of all shards are no broadcast
+    index = stored(made.filter("pos IS NULL").select("shard", "seq").join(kept.hint("merge"), "shard").mapInArrow(_index_shards, _INDEX), "fm-index")
     # one shuffle sums the shards' counts of a pair (a row per shard) and keeps the shards that hold it
     whole = F.sum("n").over(Window.partitionBy("w1", "w2"))
     two = stored(index.mapInArrow(_emit_two, _PAIRS).withColumn("f", whole).filter(F.col("f") >= least), "fm-two")
     pairs = two.groupBy("w1", "w2").agg(F.first("f").alias("f"))
     asked = two.groupBy("shard").agg(F.collect_list(F.struct("w1", "w2")).alias("kept"))
-    longer = stored(_sums(index.join(asked, "shard").mapInArrow(_emit_longer, _COUNTS), least), "fm-longer")
+    longer = stored(_sums(index.join(asked.hint("merge"), "shard").mapInArrow(_emit_longer, _COUNTS), least), "fm-longer")
     zero = [F.lit(0).cast("long").alias(w) for w in _WORDS]
     single = words.select(F.col("gid").alias("w1"), *zero[1:], "f")
     return words, single.union(pairs.select("w1", "w2", *zero[2:], "f")).unionByName(longer), totals
