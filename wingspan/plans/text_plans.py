@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wingspan.operators import ann
 from wingspan.operators import search as S
 from wingspan.operators.pruned_search import ImpactIndex
 from wingspan.operators.versioned_index import VersionedIndex
 from wingspan.operators import text as T
 from wingspan.plans.registry import query
-from wingspan.session import file_listing, scratch_path
+from wingspan.session import file_listing, materialize, scratch_path
 from wingspan.sources.driver import read_table, table_path
 
 G = "text"
@@ -213,6 +214,45 @@ def label_centroid_topk(spark, d):
     return S.label_centroid_topk(v, K)
 
 
+RECALL_QUERIES = 256  # the exact side of the measurement is a bounded query set against every row
+
+
+def _ann(spark, d):
+    """The index over ``embeddings`` and its query set, the rows whose id is divisible by 20; None, None if empty."""
+    vectors = read_table(spark, d, "embeddings")
+    index = ann.AnnIndex.build(vectors, k=10)
+    if index is None:
+        return None, None
+    return index, index.units.filter(F.col("key") % 20 == 0).withColumnRenamed("key", "query")
+
+
+@query("ann_topk", group=G)
+def ann_topk(spark, d):
+    """TX8: approximate cosine top-10 by inverted lists and product-quantised residuals, re-ranked exactly."""
+    index, asked = _ann(spark, d)
+    if index is None:
+        return spark.createDataFrame([], "query_id long, vec_id long, score double, rank int")
+    return index.search(asked, 10).select(F.col("query").alias("query_id"), F.col("key").alias("vec_id"), "score",
+                                          "rank")
+
+
+@query("ann_recall", group=G, oracle=f"""
+WITH e AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings WHERE vec_id IS NOT NULL)
+, ok AS (SELECT vec_id FROM e GROUP BY vec_id HAVING sum(x * x) > 0)
+, q AS (SELECT least(count(*), {RECALL_QUERIES}) AS n FROM ok WHERE vec_id % 20 = 0)
+SELECT CAST(n AS BIGINT) AS n_queries,
+  CAST(n * least(10, (SELECT count(*) - 1 FROM ok)) AS BIGINT) AS n_neighbours, true AS recall_reached
+FROM q""")
+def ann_recall(spark, d):
+    """TX8: recall at 10 of ``ann_topk`` against exact search over every row, on at most 256 of its queries."""
+    index, asked = _ann(spark, d)
+    if index is None:
+        return spark.createDataFrame([(0, 0, True)], "n_queries long, n_neighbours long, recall_reached boolean")
+    asked = materialize(asked.orderBy(F.md5(F.col("query").cast("string"))).limit(RECALL_QUERIES), "ann-asked")
+    out = ann.recall(index.search(asked, 10), ann.exact_top(index.units, asked, 10))
+    return out.select("n_queries", "n_neighbours", (F.col("recall") >= 0.9).alias("recall_reached"))
+
+
 @query("facets", group=G, oracle=CHUNK_CTE + """
 SELECT 'lang' AS facet, lang AS value, CAST(count(*) AS BIGINT) AS n_chunks FROM chunks
   WHERE lang IS NOT NULL AND lang <> '' GROUP BY lang
