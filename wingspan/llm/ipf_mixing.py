@@ -44,14 +44,18 @@ TOPIC_LETTERS = ["ab", "cd", "ef", "ghijkl", "mnop", "qrs", "tuvwxyz"]
 def topic(text: str) -> Column:
     """Dominant vocabulary group of a text: t0..t6 by the initials of its longer words, else 'none'."""
     t = F.coalesce(F.col(text), F.lit(""))
-    counts = F.array(*[F.regexp_count(t, F.lit(f"(^|[^A-Za-z])[{x}{x.upper()}][A-Za-z][A-Za-z][A-Za-z]"))
-                       for x in TOPIC_LETTERS])
+    # one pattern pass keeps the initials; the groups are counted on that short string
+    initials = F.lower(F.array_join(F.regexp_extract_all(
+        t, F.lit("(?:^|[^A-Za-z])([A-Za-z])[A-Za-z][A-Za-z][A-Za-z]"), 1), ""))
+
+    def counts(s: Column) -> Column:
+        return F.array(*[F.length(s) - F.length(F.translate(s, x, "")) for x in TOPIC_LETTERS])
 
     def pick(c: Column) -> Column:  # the first of the largest counts
         most = F.array_max(c)
         return F.when(most == 0, "none").otherwise(
             F.concat(F.lit("t"), (F.array_position(c, most) - 1).cast("string")))
-    return F.element_at(F.transform(F.array(counts), pick), 1)
+    return F.element_at(F.transform(F.transform(F.array(initials), counts), pick), 1)
 
 
 def tempered_targets(cells: DataFrame, axis: str, given: dict | None, temper: float) -> DataFrame:
