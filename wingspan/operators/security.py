@@ -15,6 +15,8 @@ The row filter and the column mask (UD1, UD2) are also provided as
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -145,6 +147,27 @@ def lineage_report(edges: DataFrame, target_like: str, pattern: str) -> DataFram
             .orderBy("target_table", "source_table"))
 
 
+def lineage_closure(edges: DataFrame) -> DataFrame:
+    """SRC14 / SE5: every (source, target) that edges lead between, with the least number of steps.
+
+    A recursive common table expression follows the distinct edges; a path
+    never enters a table twice, so cycles end (a table on one leads to
+    itself).  Edges with a null end take no part.  Spark's own limits on
+    recursion stop a graph that is too deep or wide with an error.
+    """
+    view = f"_edges_{uuid.uuid4().hex[:12]}"
+    (edges.select("source_table", "target_table").dropna().distinct().createOrReplaceTempView(view))
+    return edges.sparkSession.sql(f"""
+WITH RECURSIVE reach(source_table, target_table, steps, path) AS (
+  SELECT source_table, target_table, 1, array(target_table) FROM {view}
+  UNION ALL
+  SELECT r.source_table, e.target_table, r.steps + 1, concat(r.path, array(e.target_table))
+  FROM reach r JOIN {view} e ON e.source_table = r.target_table
+  WHERE NOT array_contains(r.path, e.target_table))
+SELECT source_table, target_table, CAST(min(steps) AS BIGINT) AS steps
+FROM reach GROUP BY source_table, target_table""")
+
+
 ROW_FILTER_SQL = """
 CREATE OR REPLACE TEMPORARY FUNCTION airline_row_filter(airline STRING, caller STRING,
   caller_groups ARRAY<STRING>)

@@ -2,23 +2,80 @@
 
 Parquet only (no table-format jars offline): an overwrite replaces the
 folder (schema replaced with it, SNK6); clustering is a range
-repartition on the cluster keys plus a sort inside each file, so
-min/max statistics of the row groups skip files for filters on the keys.
+repartition plus a sort inside each file, on the column itself or, for
+several columns, on a space-filling-curve key, so min/max statistics of the
+row groups skip files for a filter on any of them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DateType, StringType, TimestampNTZType, TimestampType
 
 from wingspan.operators.expectations import duplicate_keys
 from wingspan.operators.security import export_guard
 
 
+CURVE_BITS = 6
+
+
+def _place(df: DataFrame, name: str) -> Column:
+    """A column's values as doubles in the order of the column; a text counts by its first six bytes."""
+    c, kind = F.col(f"`{name}`"), df.schema[name].dataType
+    if isinstance(kind, (StringType, BinaryType)):
+        digits = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0")
+        return F.conv(digits, 16, 10).cast("double")
+    if isinstance(kind, DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    return c.cast("double")
+
+
+def curve_key(df: DataFrame, cols: list[str], bits: int = CURVE_BITS) -> Column:
+    """SNK4: the Z-order key of several columns.
+
+    A column is cut at its ``2^bits - 1`` quantiles (one aggregate over the
+    table, bounded result), so skewed values and differing scales weigh alike;
+    a row's bucket numbers are interleaved bit by bit.  Nulls are in bucket 0.
+    """
+    if len(cols) * bits > 62:
+        raise ValueError(f"{len(cols)} columns of {bits} bits exceed a 64-bit key")
+    cuts = [i / (1 << bits) for i in range(1, 1 << bits)]
+    found = df.agg(*[F.percentile_approx(_place(df, c), cuts, 10_000).alias(f"q{i}") for i, c in enumerate(cols)]).first()
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(bits))])
+
+    def bucket(name, bounds):  # binary search: the number of bounds at or below the value
+        if not bounds:
+            return F.lit(0)
+        x, held = _place(df, name), F.lit(bounds)
+        return F.aggregate(steps, F.lit(0), lambda at, s: at + F.when(x >= F.element_at(held, at + s), s).otherwise(0))
+
+    def interleaved(b):
+        key = F.lit(0).cast("bigint")
+        for bit in range(bits):
+            for i in range(len(cols)):
+                one = F.shiftright(b[i], bit).bitwiseAND(F.lit(1)).cast("bigint")
+                key = key + F.shiftleft(one, bit * len(cols) + i)
+        return key
+    buckets = F.array(*[bucket(c, found[i]) for i, c in enumerate(cols)])
+    return F.element_at(F.transform(F.array(buckets), interleaved), 1)
+
+
 def cluster(df: DataFrame, cluster_by: list[str], files: int | None = None) -> DataFrame:
-    """SNK4: range-partition on the cluster keys and sort within each file."""
+    """SNK4: range-partition on the cluster column, or the Z-order key of several, and sort within each file.
+
+    Columns follow in the sort and the ranges, so rows of one key spread over files.
+    """
     n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return df.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
+    if len(cluster_by) == 1:
+        return df.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
+    name = "_curve"
+    while name in df.columns:
+        name += "_"
+    keyed = df.withColumn(name, curve_key(df, cluster_by))
+    return (keyed.repartitionByRange(n, name, *cluster_by).sortWithinPartitions(name, *cluster_by).drop(name))
 
 
 def write_verified(df: DataFrame, path: str, mode: str = "overwrite",

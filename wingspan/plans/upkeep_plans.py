@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from wingspan.operators import installed_base as ib
 from wingspan.operators import upkeep as U
+from wingspan.operators.security import lineage_closure as closure
 from wingspan.operators.security import lineage_report as lineage_rep
 from wingspan.plans import common as C
 from wingspan.plans.registry import all_oracles, all_queries, query
 from wingspan.plans.runner import PipelineRun
 from wingspan.session import scratch_path
 from wingspan.sources.bindings import AS_OF_DATE
+from wingspan.sources.driver import read_table
 
 G = "upkeep"
 # Serving copies and their primary keys.
@@ -71,3 +73,48 @@ def lineage_report(spark, d):
                       "component|customer_operations|maintenance_(compliance|anomalies)")
     cnt = spark.createDataFrame(list(counts.items()), "target_table string, rows_written long")
     return rep.join(cnt, "target_table", "left").withColumn("last_seen", F.col("last_seen").cast("string"))
+
+
+@query("lineage_closure", group=G, oracle=f"""
+WITH RECURSIVE edge(s, t) AS (VALUES {", ".join(
+    f"('{i}', '{n}')" for n, ds in installed_base_pipeline("").datasets.items() for i in ds.inputs)})
+, reach(s, t, n) AS (SELECT s, t, 1 FROM edge
+  UNION SELECT r.s, e.t, r.n + 1 FROM reach r JOIN edge e ON e.s = r.t)
+SELECT s AS source_table, t AS target_table, CAST(min(n) AS BIGINT) AS steps FROM reach GROUP BY s, t""")
+def lineage_closure(spark, d):
+    """SRC14 + SE5: every table that a dataset of a full refresh comes from, by the edges that run recorded."""
+    from wingspan.sources.bindings import bound
+    p = installed_base_pipeline(scratch_path(spark, "pipeline"))
+    p.run(spark, {n: bound(spark, d, n) for n in ("maintenance", "components", "ib_aircraft", "airlines")})
+    return closure(p.lineage(spark))
+
+
+CURVE_FILES = 16
+
+
+@query("clustered_layout", group=G, oracle="""
+WITH b AS (SELECT min(l_shipdate) AS d0, min(l_partkey) AS p0, max(l_partkey) AS p1 FROM lineitem)
+SELECT 'l_shipdate' AS column_name, CAST(count(*) AS BIGINT) AS matching_rows, true AS half_skipped
+FROM lineitem, b WHERE date_diff('day', CAST(d0 AS DATE), CAST(l_shipdate AS DATE)) < 100
+UNION ALL SELECT 'l_partkey', CAST(count(*) AS BIGINT), true FROM lineitem, b WHERE (l_partkey - p0) * 20 <= p1 - p0""")
+def clustered_layout(spark, d):
+    """SNK4: line items clustered by date and part together; half the files or more are skipped for a filter on either.
+
+    A file is skipped when its least value of the column is beyond the filter.
+    """
+    path = scratch_path(spark, "clustered")
+    src = read_table(spark, d, "lineitem").withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
+    U.cluster(src, ["l_shipdate", "l_partkey"], CURVE_FILES).write.mode("overwrite").parquet(path)
+    t = spark.read.parquet(path)
+    ends = t.agg(F.min("l_shipdate").alias("d0"), F.min("l_partkey").alias("p0"), F.max("l_partkey").alias("p1"))
+    wanted = {"l_shipdate": F.date_diff("l_shipdate", ends.select("d0").scalar()) < 100,
+              "l_partkey": (F.col("l_partkey") - ends.select("p0").scalar()) * 20
+              <= ends.select("p1").scalar() - ends.select("p0").scalar()}
+    files = t.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        *[F.min(c).alias(c) for c in wanted],
+        *[F.count_if(w).cast("bigint").alias(f"{c}_rows") for c, w in wanted.items()])
+    per = files.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"{c}_rows").alias("n"), (F.coalesce(w, F.lit(False)))
+                 .alias("read")) for c, w in wanted.items()])).alias("f")).select("f.*")
+    return per.groupBy("column_name").agg(F.sum("n").alias("matching_rows"),
+                                          (F.count_if("read") * 2 <= F.count(F.lit(1))).alias("half_skipped"))
