@@ -79,7 +79,7 @@ def _lloyd(rounds: int, size: int):
 
 
 def _fit_parts(points: DataFrame, rounds: int, size: int) -> dict[int, np.ndarray]:
-    """Centroids of every part of (part, ord, x); a part is one bounded group."""
+    """Centroids of every part of (part, x); a part is one bounded group."""
     rows = (points.groupBy("part").applyInPandas(_lloyd(rounds, size), "part int, pos int, c array<double>")
             .orderBy("part", "pos").collect())  # bounded by parts x size
     out: dict[int, list] = {}
