@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wingspan.operators import ann
+from wingspan.operators import embedding as E
 from wingspan.operators import search as S
 from wingspan.operators.pruned_search import ImpactIndex
 from wingspan.operators.versioned_index import VersionedIndex
@@ -253,6 +254,98 @@ def ann_recall(spark, d):
     return out.select("n_queries", "n_neighbours", (F.col("recall") >= 0.9).alias("recall_reached"))
 
 
+_DENSE_CACHE: dict = {}
+
+
+def dense_index(spark, d):
+    """The fitted embedding, the chunk vectors and their approximate index, built once per session and listing."""
+    sig = (id(spark), tuple(file_listing(spark, table_path(d, "documents"))))
+    hit = _DENSE_CACHE.get(sig)
+    if hit is None or hit[1].sparkSession is not spark:
+        fitted = E.TextEmbedding.fit(chunks(spark, d), cluster_key="doc_id")
+        if fitted is None:
+            return None
+        model, made = fitted
+        vectors = materialize(model.project(made, "chunk_id"), "chunk-embeddings")
+        hit = _DENSE_CACHE[sig] = (model, vectors, ann.AnnIndex.build(vectors, "chunk_id", "embedding", k=10))
+    return hit
+
+
+def dense_queries(spark, d, model):
+    """(query, unit) of every benchmark item with a known term; the prefix keeps the names apart from chunk ids."""
+    asked = bench_queries(spark, d).select(F.concat(F.lit("query "), F.col("query_id").cast("string")).alias("query"),
+                                           "query_text")
+    return ann.unit_vectors(model.vectors(asked, "query", "query_text"), "query", "embedding").withColumnRenamed(
+        "key", "query")
+
+
+@query("embedding_gram", group=G, oracle=CHUNK_CTE + f"""
+, post AS (SELECT chunk_key, term, count(*) AS tf FROM (SELECT chunk_key,
+    unnest(regexp_split_to_array(lower(search_text), '{_TOK}')) AS term FROM chunks)
+    WHERE length(term) > 0 GROUP BY chunk_key, term)
+, n AS (SELECT count(DISTINCT chunk_key) AS n FROM post)
+, t AS (SELECT term, ('0x' || substr(md5(term), 1, 8))::BIGINT AS h, ln((1.0::DOUBLE + n) / (1.0::DOUBLE + df))
+    + 1.0::DOUBLE AS idf FROM (SELECT term, count(*) AS df FROM post GROUP BY term), n)
+, w AS (SELECT chunk_key, h % {E.WIDTH} AS slot, CASE WHEN (h // {E.WIDTH}) % 2 = 0 THEN 1 ELSE -1 END AS sign,
+    floor((1.0::DOUBLE + ln(tf::DOUBLE)) * idf * {E.UNIT} + 0.5::DOUBLE)::BIGINT AS w FROM post JOIN t USING (term))
+, s AS (SELECT chunk_key, slot, sum(w * sign) AS v FROM w GROUP BY chunk_key, slot)
+, l AS (SELECT chunk_key, sqrt(sum(w * w)::DOUBLE) AS len FROM w GROUP BY chunk_key)
+, x AS MATERIALIZED (SELECT chunk_key, slot, floor((v * {E.UNIT})::DOUBLE / len + 0.5::DOUBLE)::BIGINT AS x
+    FROM s JOIN l USING (chunk_key))
+SELECT CAST(a.slot AS INT) AS slot, CAST(b.slot AS INT) AS other, CAST(sum(a.x * b.x) AS BIGINT) AS product
+FROM x a JOIN x b ON a.chunk_key = b.chunk_key AND a.slot <= b.slot
+GROUP BY a.slot, b.slot HAVING sum(a.x * b.x) <> 0""")
+def embedding_gram(spark, d):
+    """TX7: the exact Gram matrix of the term sketches of all chunks, from which the embedding is fitted."""
+    tf = materialize(S.term_index(chunks(spark, d), "chunk_id", "search_text", "doc_id"), "gram-tf")
+    made = E.sketches(tf, E.term_slots(tf, "chunk_id"), "chunk_id")
+    return (E.gram(made).select("slot", F.posexplode("g").alias("other", "product"))
+            .filter((F.col("other") >= F.col("slot")) & (F.col("product") != 0)))
+
+
+@query("chunk_embeddings", group=G)
+def chunk_embeddings(spark, d):
+    """TX7: the dense vector of every chunk's search text."""
+    hit = dense_index(spark, d)
+    if hit is None:
+        return spark.createDataFrame([], "chunk_id string, embedding array<double>")
+    return hit[1]
+
+
+@query("dense_hybrid_topk", group=G)
+def dense_hybrid_topk(spark, d):
+    """TX8 + TX10: reciprocal-rank fusion of exact BM25 and approximate search over the dense chunk vectors."""
+    hit = dense_index(spark, d)
+    if hit is None:
+        return spark.createDataFrame([], "query_id string, chunk_id string, score double, rank int")
+    near = hit[2].search(dense_queries(spark, d, hit[0]), S.HYBRID_WINDOW).select(
+        F.substring("query", len("query ") + 1, 1 << 30).alias("query_id"), F.col("key").alias("chunk_id"), "score")
+    asked = bench_queries(spark, d).withColumn("query_id", F.col("query_id").cast("string"))
+    words = _with_chunk_id(corpus_index(spark, d).top(asked, S.HYBRID_WINDOW, "keyword"))
+    return S.hybrid(words.select("query_id", "chunk_id", F.round("score", 9).alias("score")),
+                    near.withColumn("score", F.round("score", 9)), K, "chunk_id").select(
+        "query_id", "chunk_id", "score", "rank")
+
+
+@query("dense_recall", group=G, oracle=CHUNK_CTE + f"""
+, term AS (SELECT DISTINCT chunk_key, unnest(regexp_split_to_array(lower(search_text), '{_TOK}')) AS term FROM chunks)
+, known AS (SELECT term FROM term WHERE length(term) > 0 GROUP BY term)
+, q AS (SELECT count(DISTINCT item_id) AS n FROM (SELECT item_id,
+    unnest(regexp_split_to_array(lower(text), '{_TOK}')) AS term FROM benchmark) JOIN known USING (term))
+SELECT CAST(least(n, {RECALL_QUERIES}) AS BIGINT) AS n_queries, CAST(least(n, {RECALL_QUERIES}) * least(10,
+  (SELECT count(DISTINCT chunk_key) FROM term WHERE length(term) > 0)) AS BIGINT) AS n_neighbours,
+  true AS recall_reached FROM q""")
+def dense_recall(spark, d):
+    """TX8: recall at 10 of the dense index against exact search over every chunk vector, on at most 256 queries."""
+    hit = dense_index(spark, d)
+    if hit is None:
+        return spark.createDataFrame([(0, 0, True)], "n_queries long, n_neighbours long, recall_reached boolean")
+    asked = dense_queries(spark, d, hit[0])
+    asked = materialize(asked.orderBy(F.md5("query")).limit(RECALL_QUERIES), "dense-asked")
+    out = ann.recall(hit[2].search(asked, 10), ann.exact_top(hit[2].units, asked, 10))
+    return out.select("n_queries", "n_neighbours", (F.col("recall") >= 0.9).alias("recall_reached"))
+
+
 @query("facets", group=G, oracle=CHUNK_CTE + """
 SELECT 'lang' AS facet, lang AS value, CAST(count(*) AS BIGINT) AS n_chunks FROM chunks
   WHERE lang IS NOT NULL AND lang <> '' GROUP BY lang
