@@ -15,7 +15,8 @@ An inverted file with product-quantised residuals, then exact re-ranking:
   candidates are scored by the exact cosine.
 * **calibrate**: ``nprobe`` and ``depth`` are the smallest that find
   ``target`` of the exact neighbours of at most ``CALIBRATION_QUERIES``
-  queries, searched exactly against every row.
+  queries, searched exactly against every row.  The queries are vectors of the
+  table, or a caller's where queries are spread otherwise than the table.
 
 Vectors that are null, of another length than most of the fitted sample, hold
 null or non-finite components or are zero take no part.  Ties go to the
@@ -100,7 +101,8 @@ class AnnIndex:
 
     @classmethod
     def build(cls, vectors: DataFrame, key: str = "vec_id", vec: str = "embedding", k: int = 10,
-              target: float = TARGET, fit_rows: int = FIT_ROWS, rounds: int = 10) -> "AnnIndex | None":
+              target: float = TARGET, fit_rows: int = FIT_ROWS, rounds: int = 10,
+              asked: DataFrame | None = None) -> "AnnIndex | None":
         """Fitted, filled and calibrated index over every vector; None where no vector can take part."""
         units = materialize(unit_vectors(vectors, key, vec), "ann-units")
         sample = materialize(_sample(units, fit_rows, "fit"), "ann-sample")
@@ -123,13 +125,20 @@ class AnnIndex:
         blocks = materialize(units.mapInArrow(
             _encode(coarse, books), f"list int, keys array<{keytype}>, codes binary"), "ann-blocks")
         out = cls(units, blocks, dim, coarse, books)
-        out.calibrate(k, target)
+        out.calibrate(k, target, asked)
         return out
 
-    def calibrate(self, k: int, target: float) -> None:
-        """Set ``nprobe`` and ``depth`` from the exact neighbours of a bounded query sample."""
-        queries = materialize(_sample(self.units, CALIBRATION_QUERIES, "calibrate").select(
-            F.col("key").alias("query"), "unit"), "ann-calibration")
+    def calibrate(self, k: int, target: float, asked: DataFrame | None = None) -> None:
+        """Set ``nprobe`` and ``depth`` from the exact neighbours of a bounded query sample.
+
+        The sample is drawn from ``asked`` (query, unit) where it has rows of
+        the index's length, else from the table.
+        """
+        own = self.units.select(F.col("key").alias("query"), "unit")
+        given = None if asked is None else asked.select("query", "unit").filter(F.size("unit") == self.dim)
+        source = own if given is None or given.isEmpty() else given
+        queries = materialize(_sample(source.withColumnRenamed("query", "key"), CALIBRATION_QUERIES, "calibrate")
+                              .withColumnRenamed("key", "query"), "ann-calibration")
         exact = materialize(exact_top(self.units, queries, k), "ann-exact")
         near = exact.join(queries, "query").join(self.units.select("key", F.col("unit").alias("v")), "key")
         rows = near.select("unit", "v").collect()  # at most CALIBRATION_QUERIES x k

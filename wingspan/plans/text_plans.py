@@ -255,11 +255,15 @@ def ann_recall(spark, d):
 
 
 _DENSE_CACHE: dict = {}
+_CALIBRATION = "substring(md5(query), 1, 1) < '8'"  # one half of the items, by hash
 
 
 def dense_index(spark, d):
-    """The fitted embedding, the chunk vectors and their approximate index, built once per session and listing."""
-    sig = (id(spark), tuple(file_listing(spark, table_path(d, "documents"))))
+    """The fitted embedding, the chunk vectors and their approximate index, built once per session and listing.
+
+    The index is calibrated on the benchmark items of ``_CALIBRATION``; ``dense_recall`` measures on the others.
+    """
+    sig = (id(spark), *(tuple(file_listing(spark, table_path(d, t))) for t in ("documents", "benchmark")))
     hit = _DENSE_CACHE.get(sig)
     if hit is None or hit[1].sparkSession is not spark:
         fitted = E.TextEmbedding.fit(chunks(spark, d), cluster_key="doc_id")
@@ -267,7 +271,9 @@ def dense_index(spark, d):
             return None
         model, made = fitted
         vectors = materialize(model.project(made, "chunk_id"), "chunk-embeddings")
-        hit = _DENSE_CACHE[sig] = (model, vectors, ann.AnnIndex.build(vectors, "chunk_id", "embedding", k=10))
+        index = ann.AnnIndex.build(vectors, "chunk_id", "embedding", k=10,
+                                   asked=dense_queries(spark, d, model).filter(_CALIBRATION))
+        hit = _DENSE_CACHE[sig] = (model, vectors, index)
     return hit
 
 
@@ -331,16 +337,20 @@ def dense_hybrid_topk(spark, d):
 , term AS (SELECT DISTINCT chunk_key, unnest(regexp_split_to_array(lower(search_text), '{_TOK}')) AS term FROM chunks)
 , known AS (SELECT term FROM term WHERE length(term) > 0 GROUP BY term)
 , q AS (SELECT count(DISTINCT item_id) AS n FROM (SELECT item_id,
-    unnest(regexp_split_to_array(lower(text), '{_TOK}')) AS term FROM benchmark) JOIN known USING (term))
+    unnest(regexp_split_to_array(lower(text), '{_TOK}')) AS term FROM benchmark
+    WHERE substr(md5('query ' || item_id), 1, 1) >= '8') JOIN known USING (term))
 SELECT CAST(least(n, {RECALL_QUERIES}) AS BIGINT) AS n_queries, CAST(least(n, {RECALL_QUERIES}) * least(10,
   (SELECT count(DISTINCT chunk_key) FROM term WHERE length(term) > 0)) AS BIGINT) AS n_neighbours,
   true AS recall_reached FROM q""")
 def dense_recall(spark, d):
-    """TX8: recall at 10 of the dense index against exact search over every chunk vector, on at most 256 queries."""
+    """TX8: recall at 10 of the dense index against exact search over every chunk vector.
+
+    Measured on at most 256 of the benchmark items that the index was not calibrated on.
+    """
     hit = dense_index(spark, d)
     if hit is None:
         return spark.createDataFrame([(0, 0, True)], "n_queries long, n_neighbours long, recall_reached boolean")
-    asked = dense_queries(spark, d, hit[0])
+    asked = dense_queries(spark, d, hit[0]).filter(f"NOT ({_CALIBRATION})")
     asked = materialize(asked.orderBy(F.md5("query")).limit(RECALL_QUERIES), "dense-asked")
     out = ann.recall(hit[2].search(asked, 10), ann.exact_top(hit[2].units, asked, 10))
     return out.select("n_queries", "n_neighbours", (F.col("recall") >= 0.9).alias("recall_reached"))
