@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from wingspan.operators import text as T
+from wingspan.operators.versioned_index import VersionedIndex
 from wingspan.plans import common as C
 from wingspan.plans.registry import all_oracles, query
+from wingspan.session import scratch_path
+from wingspan.sources.driver import read_table
+from wingspan.streaming import change_feed as CF
 from wingspan.streaming import ingest
 
 G = "streaming"
@@ -43,3 +50,61 @@ def stream_static_enrich(spark, d):
     """ST3: stream-static enrichment; equals the batch enrichment once drained."""
     sink = ingest.enrich_stream(spark, d, C.flights(spark, d), C.registry(spark, d))
     return ingest.read_sink(spark, sink)
+
+
+def chunk_versions(spark, d) -> tuple:
+    """Stand-in input: line chunks as version 1; sentence chunks, dropped line chunks and late rows as version 2."""
+    docs = read_table(spark, d, "documents")
+    cols = ["chunk_id", "chunk", "lang", "source"]
+    old = T.section_chunks(docs).select(*cols)
+    new = T.section_chunks(docs.withColumn("text", F.regexp_replace("text", r"\. ", "\n"))).select(*cols)
+
+    def rows(df, version, deleted):
+        return df.withColumns({"version": F.lit(version).cast("long"), "deleted": F.lit(deleted)})
+    gone = old.join(new.select("chunk_id"), "chunk_id", "left_anti")
+    second = rows(new, 2, False).unionByName(rows(gone, 2, True)).unionByName(rows(old, 1, False))
+    return rows(old, 1, False), second
+
+
+def drained_feed(spark, d):
+    """The feed of both batches and the index that it drives."""
+    first, second = chunk_versions(spark, d)
+    source, out, checkpoint = (scratch_path(spark, n) for n in ("chunk-versions", "chunk-feed", "ckpt-feed"))
+    index = VersionedIndex(spark, scratch_path(spark, "feed-index"), "chunk_id", "chunk")
+    for batch in (first, second):
+        ingest.append_batch(batch, source)
+        feed = CF.change_stream(spark.readStream.schema(first.schema).parquet(source), "chunk_id")
+        CF.drain_feed(feed, out, checkpoint, "chunk_id", index)
+    return CF.read_feed(spark, out, feed), index
+
+
+_FEED_CTE = """
+WITH o0 AS (SELECT doc_id, unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS pos,
+    unnest(string_split(text, chr(10))) AS chunk FROM documents)
+, o AS (SELECT concat_ws('|', CAST(doc_id AS VARCHAR), CAST(pos AS VARCHAR)) AS chunk_id, sha256(chunk) AS h
+  FROM o0 WHERE length(trim(chunk)) > 0)
+, n0 AS (SELECT doc_id, unnest(generate_series(0, len(string_split(t, chr(10))) - 1)) AS pos,
+    unnest(string_split(t, chr(10))) AS chunk FROM (SELECT doc_id, replace(text, '. ', chr(10)) AS t
+    FROM documents))
+, n AS (SELECT concat_ws('|', CAST(doc_id AS VARCHAR), CAST(pos AS VARCHAR)) AS chunk_id, sha256(chunk) AS h
+  FROM n0 WHERE length(trim(chunk)) > 0)
+"""
+
+
+@query("change_feed", group=G, oracle=_FEED_CTE + """
+SELECT 0::BIGINT AS epoch, chunk_id, 'inserted' AS change, 1::BIGINT AS version, NULL::VARCHAR AS before_hash,
+  h AS after_hash FROM o
+UNION ALL SELECT 1, coalesce(n.chunk_id, o.chunk_id), CASE WHEN o.chunk_id IS NULL THEN 'inserted'
+  WHEN n.chunk_id IS NULL THEN 'deleted' ELSE 'updated' END, 2, o.h, n.h
+FROM o FULL JOIN n ON o.chunk_id = n.chunk_id WHERE o.h IS DISTINCT FROM n.h""")
+def change_feed(spark, d):
+    """SNK12 + SNK11: streamed feed of re-chunked documents, before and after each change; late rows add nothing."""
+    feed, _ = drained_feed(spark, d)
+    return feed.select("epoch", "chunk_id", "change", "version", F.sha2("before.chunk", 256).alias("before_hash"),
+                       F.sha2("after.chunk", 256).alias("after_hash"))
+
+
+@query("feed_index", group=G, oracle=_FEED_CTE + "SELECT chunk_id, h AS content_hash FROM n")
+def feed_index(spark, d):
+    """SNK12 + ST7: the versioned index that the streamed change feed keeps in step."""
+    return drained_feed(spark, d)[1].rows().select("chunk_id", "content_hash")
