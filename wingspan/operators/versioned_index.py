@@ -26,59 +26,30 @@ again.  Files of a writer that stopped before the rename belong to no version;
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wingspan.operators.manifests import ManifestLog
 from wingspan.operators.search import BM25_B, BM25_K1, query_terms, top_k
 from wingspan.operators.text import tokens
-from wingspan.session import file_listing
 
 SMALL_ROWS = 100_000  # segments below this many rows are merged
-_EMPTY = {"version": 0, "segments": [], "deletes": [], "epochs": {}, "rows": 0, "words": 0}
+_EMPTY = {"segments": [], "deletes": [], "epochs": {}, "rows": 0, "words": 0}
 
 
 def _nothing(step: str) -> None:
     """Called after every step of a writer; tests stop a writer here."""
 
 
-class VersionedIndex:
+class VersionedIndex(ManifestLog):
     """Index of rows named by ``key`` with the text column ``text`` under ``path`` (shared storage)."""
 
     def __init__(self, spark: SparkSession, path: str, key: str = "chunk_id", text: str = "search_text"):
-        self.spark, self.path, self.key, self.text = spark, path.rstrip("/"), key, text
-
-    # -- files -------------------------------------------------------------
-    def _fs(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
-
-    def versions(self) -> list[int]:
-        names = [p.rsplit("/", 1)[-1] for p, *_ in file_listing(self.spark, f"{self.path}/manifests")]
-        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
-
-    def manifest(self, version: int | None = None) -> dict:
-        """The given version (the latest one by default); the empty version 0 where there is none."""
-        if version is None:
-            version = max(self.versions(), default=0)
-        if version == 0:
-            return json.loads(json.dumps(_EMPTY))
-        return json.loads(self.spark.read.text(f"{self.path}/manifests/{version:012d}.json", wholetext=True).first()[0])
-
-    def _commit(self, state: dict, step: Callable[[str], None]) -> None:
-        temp, final = (f"{self.path}/manifests/{n}" for n in (f"_new-{uuid.uuid4().hex}", f"{state['version']:012d}.json"))
-        fs, p = self._fs(temp)
-        out = fs.create(p, False)
-        out.write(bytearray(json.dumps(state).encode()))
-        out.close()
-        step("manifest written")
-        target = self._fs(final)[1]
-        if fs.exists(target) or not fs.rename(p, target):
-            raise RuntimeError(f"version {state['version']} of {self.path} was committed by another writer")
-        step("committed")
+        super().__init__(spark, path, _EMPTY)
+        self.key, self.text = key, text
 
     # -- reading -----------------------------------------------------------
     def _dead(self, state: dict) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wingspan.operators import installed_base as ib
 from wingspan.operators import upkeep as U
+from wingspan.operators.incremental import GoldTable, Measure
 from wingspan.operators.security import lineage_closure as closure
 from wingspan.operators.security import lineage_report as lineage_rep
 from wingspan.plans import common as C
@@ -118,3 +119,41 @@ def clustered_layout(spark, d):
                  .alias("read")) for c, w in wanted.items()])).alias("f")).select("f.*")
     return per.groupBy("column_name").agg(F.sum("n").alias("matching_rows"),
                                           (F.count_if("read") * 2 <= F.count(F.lit(1))).alias("half_skipped"))
+
+
+FLIGHT_GOLD = [Measure("n_records", "count", "1"), Measure("anomaly_records", "count", "anomaly_type"),
+               Measure("max_altitude", "max", "altitude"), Measure("max_egt", "max", "greatest(egt_eng1, egt_eng2)"),
+               Measure("min_hydraulic", "min", "least(hyd_press_sys1, hyd_press_sys2, hyd_press_sys3)"),
+               Measure("avg_oil_pressure", "avg", "oil_pressure_eng1"),
+               Measure("total_fuel_flow", "sum", "fuel_flow_eng1"), Measure("last_event", "max", "event_ts")]
+
+
+@query("gold_refresh", group=G, oracle=C.TEL_PRE + """
+, now AS (SELECT * REPLACE (CASE WHEN record_sequence = 2 THEN altitude + 10 ELSE altitude END AS altitude,
+    CASE WHEN record_sequence = 2 THEN fuel_flow_eng1 * 0.5 ELSE fuel_flow_eng1 END AS fuel_flow_eng1)
+  FROM clean WHERE record_sequence <> 3)
+SELECT flight_id, CAST(count(*) AS BIGINT) AS n_records, CAST(count(anomaly_type) AS BIGINT) AS anomaly_records,
+  round(max(altitude), 6) AS max_altitude, round(max(greatest(egt_eng1, egt_eng2)), 6) AS max_egt,
+  round(min(least(hyd_press_sys1, hyd_press_sys2, hyd_press_sys3)), 6) AS min_hydraulic,
+  round(CAST(sum(CAST(oil_pressure_eng1 AS DECIMAL(28, 6))) AS DOUBLE) / count(oil_pressure_eng1), 6) AS avg_oil_pressure,
+  round(CAST(sum(CAST(fuel_flow_eng1 AS DECIMAL(28, 6))) AS DOUBLE), 6) AS total_fuel_flow, max(event_ts) AS last_event
+FROM now GROUP BY flight_id""")
+def gold_refresh(spark, d):
+    """SNK3 + ST5: flight measures after a feed of new, changed and deleted records, refreshed and not recomputed.
+
+    Stand-in feed: first records come with the second batch, second records change, third records go.
+    """
+    tel = C.telemetry(spark, d)
+    seq = F.col("record_sequence")
+    row, changed = F.struct(*tel.columns), F.struct(*[{
+        "altitude": F.col("altitude") + 10, "fuel_flow_eng1": F.col("fuel_flow_eng1") * 0.5}.get(c, F.col(c)).alias(c)
+        for c in tel.columns])
+    none = F.lit(None).cast(tel.select(row.alias("r")).schema["r"].dataType)
+    gold = GoldTable(spark, scratch_path(spark, "flight-gold"), ["flight_id"], FLIGHT_GOLD)
+    gold.refresh(tel.filter(seq != 1).select(none.alias("before"), row.alias("after")), epoch=0)
+    second = tel.filter(seq <= 3).select(F.when(seq == 1, none).otherwise(row).alias("before"),
+                                         F.when(seq == 3, none).when(seq == 2, changed).otherwise(row).alias("after"))
+    base = tel.filter(seq != 3).select(F.when(seq == 2, changed).otherwise(row).alias("r")).select("r.*")
+    gold.refresh(second, base, epoch=1)
+    out = gold.table()
+    return gold.full(tel.limit(0)) if out is None else out
