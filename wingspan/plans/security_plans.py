@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from wingspan.operators import policies as P
 from wingspan.operators import security as sec
 from wingspan.plans import common as C
 from wingspan.plans.feature_plans import PIT_PRE, forecast
 from wingspan.plans.registry import query
+from wingspan.session import scratch_path
 
 G = "security"
 
@@ -83,3 +87,51 @@ def entitlement_upsert(spark, d):
     src = src.unionByName(spark.createDataFrame([("auditors", "GROUP", "*", False)],
                                                 sec.ENTITLEMENT_SCHEMA))
     return sec.upsert(ents, src, ["principal", "airline"])
+
+
+MONEY = "expected_warranty_exposure_usd"
+
+
+def governed(spark, d) -> str:
+    """A database with the forecast and the airlines as tables, their policies set on them; returns its name."""
+    db = f"governed_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, 'governed')}'")
+    forecast(spark, d).select("component_id", "airline", "risk_decile", MONEY).write.saveAsTable(f"{db}.forecast")
+    C.airlines(spark, d).write.saveAsTable(f"{db}.airlines")
+    P.set_policy(spark, f"{db}.forecast", "row_filter", "airline")
+    P.set_policy(spark, f"{db}.forecast", "column_mask", MONEY)
+    P.set_policy(spark, f"{db}.airlines", "row_filter", "airline")
+    return db
+
+
+@query("governed_read", group=G, oracle=PIT_PRE + f", {_ENTS_SQL}, {_callers_sql()}" + f"""
+SELECT c.caller, f.component_id, f.airline, f.risk_decile, round(CASE WHEN EXISTS (SELECT 1 FROM ents e
+    WHERE e.can_see_financials AND ((e.principal_type = 'USER' AND e.principal = c.caller)
+      OR (e.principal_type = 'GROUP' AND list_contains(c.caller_groups, e.principal))))
+  THEN f.{MONEY} END, 6) AS {MONEY}
+FROM fct f, callers c
+WHERE EXISTS (SELECT 1 FROM ents e WHERE (e.airline = '*' OR e.airline = f.airline)
+  AND ((e.principal_type = 'USER' AND e.principal = c.caller)
+    OR (e.principal_type = 'GROUP' AND list_contains(c.caller_groups, e.principal))))""")
+def governed_read(spark, d):
+    """SE1 + SE2 + UD1 + UD2: the stored forecast as four callers see it, by the policies found on the table."""
+    db = governed(spark, d)
+    return P.read_secured_many(spark, f"{db}.forecast", sec.entitlements(spark, C.airlines(spark, d)), CALLERS)
+
+
+@query("policy_inventory", group=G, oracle=C.IB_PRE + f"""
+, t AS (SELECT * FROM (VALUES ('set', 'forecast', 'row_filter', 'airline', 'airline_row_filter'),
+    ('set', 'forecast', 'column_mask', '{MONEY}', 'financial_mask'),
+    ('set', 'airlines', 'row_filter', 'airline', 'airline_row_filter'),
+    ('dropped', 'forecast', 'row_filter', 'airline', 'airline_row_filter'),
+    ('dropped', 'airlines', 'row_filter', 'airline', 'airline_row_filter')) v(phase, table_name, kind, column_name, function))
+SELECT t.*, CAST((SELECT count(*) FROM al) + 3 AS BIGINT) AS principals,
+  CAST(CASE kind WHEN 'column_mask' THEN 2 ELSE 3 END AS BIGINT) AS unrestricted FROM t""")
+def policy_inventory(spark, d):
+    """SE4 + SRC13: the policies found on the tables, before and after the forecast's mask is dropped."""
+    db = governed(spark, d)
+    ents = sec.entitlements(spark, C.airlines(spark, d))
+    before = P.inventory(spark, db, ents)
+    P.drop_policy(spark, f"{db}.forecast", "column_mask", MONEY)
+    after = P.inventory(spark, db, ents)
+    return before.select(F.lit("set").alias("phase"), "*").unionByName(after.select(F.lit("dropped").alias("phase"), "*"))
