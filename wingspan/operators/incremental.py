@@ -16,8 +16,8 @@ buckets of those groups:
   places, so nothing drifts and a refresh equals a full computation;
 * a minimum (maximum) stands unless a row that held it left and no row as low
   (high) came; only such groups are computed again (also where another row
-  holds it as well), from ``base``, with their keys pushed into its scan where
-  they are few.
+  holds it as well), from ``base``, with the range of their first key pushed
+  into its scan.
 
 :meth:`GoldTable.full` is the same table computed from all rows.  An epoch that
 a feed has applied before changes nothing.  Null group keys are a group; nulls
@@ -38,7 +38,6 @@ from pyspark.sql import functions as F
 from wingspan.operators.manifests import ManifestLog
 
 PLACES = 6
-PUSHED_KEYS = 1_000  # up to so many groups are named in the scan of the base
 _DECIMAL = f"decimal(28,{PLACES})"
 _EMPTY = {"buckets": {}, "epochs": {}}
 
@@ -157,13 +156,12 @@ class GoldTable(ManifestLog):
             F.when(F.col(f"_c{i}") > 0, (F.least if self.measures[i].kind == "min" else F.greatest)(
                 f"_e{i}", f"_in{i}")).alias(f"_e{i}") for i in extremes])
 
-    def _again(self, base: DataFrame, groups: DataFrame, n: int) -> tuple[DataFrame, Observation]:
+    def _again(self, base: DataFrame, groups: DataFrame) -> tuple[DataFrame, Observation]:
         """The stored form of ``groups`` computed from the base, and the count of its rows that were taken."""
-        rows = base
-        if n <= PUSHED_KEYS:
-            first = [r[0] for r in groups.select(self.by[0]).distinct().collect()]  # PUSHED_KEYS at most
-            named = F.col(self.by[0]).isin([v for v in first if v is not None])
-            rows = rows.filter(named | F.col(self.by[0]).isNull() if None in first else named)
+        key = F.col(self.by[0])
+        span = groups.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count_if(key.isNull()).alias("nulls")).first()
+        between = key.between(F.lit(span.lo), F.lit(span.hi)) if span.lo is not None else F.lit(False)
+        rows = base.filter(between | key.isNull() if span.nulls else between)
         seen = Observation()
         rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
         g = groups.select(*[F.col(c).alias(f"_g{j}") for j, c in enumerate(self.by)])
@@ -201,7 +199,7 @@ class GoldTable(ManifestLog):
             if n_stale:
                 if base is None:
                     raise ValueError("a minimum or maximum left its group: the base table is needed")
-                again, seen = self._again(base, stale, n_stale)
+                again, seen = self._again(base, stale)
                 out = out.unionByName(again)
             out.repartition("_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/parts/{part}")
             step("buckets written")

@@ -153,7 +153,9 @@ def gold_refresh(spark, d):
     gold.refresh(tel.filter(seq != 1).select(none.alias("before"), row.alias("after")), epoch=0)
     second = tel.filter(seq <= 3).select(F.when(seq == 1, none).otherwise(row).alias("before"),
                                          F.when(seq == 3, none).when(seq == 2, changed).otherwise(row).alias("after"))
-    base = tel.filter(seq != 3).select(F.when(seq == 2, changed).otherwise(row).alias("r")).select("r.*")
+    base = tel.filter(seq != 3).withColumns({
+        "altitude": F.when(seq == 2, F.col("altitude") + 10).otherwise(F.col("altitude")),
+        "fuel_flow_eng1": F.when(seq == 2, F.col("fuel_flow_eng1") * 0.5).otherwise(F.col("fuel_flow_eng1"))})
     gold.refresh(second, base, epoch=1)
     out = gold.table()
     return gold.full(tel.limit(0)) if out is None else out
