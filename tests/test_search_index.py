@@ -125,3 +125,34 @@ def test_stream_replay_after_crash(spark, tmp_path):
     spark.createDataFrame([("b", "deleted", None, 2)], schema).write.mode("append").parquet(src)
     sync_stream(spark.readStream.schema(schema).parquet(src), index, ck, order="v")
     assert state(index) == {"a": "two"} and index.manifest()["version"] == 2
+
+
+def test_the_query_set_goes_to_the_index_and_only_the_asked_measure_is_built(spark, monkeypatch):
+    from wingspan.operators import pruned_search as P
+    wrote = []
+    monkeypatch.setattr(P, "materialize", lambda df, name, real=P.materialize: wrote.append(name) or real(df, name))
+    rows = [(i, f"oil pump w{i % 9}") for i in range(60)] + [(3, "oil oil seal")]  # rows of one key are one chunk
+    chunks = spark.createDataFrame(rows, "chunk_key long, search_text string")
+    queries = spark.createDataFrame([(0, "oil seal"), (1, "pump w4")], "query_id int, query_text string")
+    index = P.ImpactIndex.build(chunks)
+    got = index.top(queries, 4)
+    assert [r.chunk_key for r in got.filter("query_id = 0 and rank = 1").collect()] == [3]
+    assert "impact-keyword" in wrote and not {"impact-vector", "impact-norms", "impact-tf"} & set(wrote)
+    asked = P._asked(queries.select(F.lit("oil").alias("term")), "asked")
+    plan = index.postings("keyword").join(asked, "term")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan  # the postings stay where they lie
+    assert [r.dl for r in index.vectors.filter("chunk_key = 3").collect()] == [6]
+
+
+def test_norms_do_not_depend_on_which_terms_are_broadcast(spark, monkeypatch):
+    from wingspan.operators import pruned_search as P
+    rows = [(i, f"oil pump w{i % 9} v{i}") for i in range(40)]
+    chunks = spark.createDataFrame(rows, "chunk_key long, search_text string")
+
+    def norms():
+        index = P.ImpactIndex.build(chunks)
+        return [sorted((r[0], round(r[-1], 9)) for r in t.collect()) for t in (
+            index.norms(), index.postings("vector").groupBy("chunk_key").agg(F.sum("impact").alias("s")))]
+    every = norms()
+    monkeypatch.setattr(P, "FREQUENT_TERMS", 5)
+    assert norms() == every and len(every[0]) == 40
