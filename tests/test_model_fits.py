@@ -40,3 +40,18 @@ def test_larger_tables_are_fitted_fold_by_fold(spark, monkeypatch):
     monkeypatch.setattr(M, "_fit", fit)
     monkeypatch.setattr(M, "PARALLEL_ROWS", 10)
     assert M.oof_scores(_parts(spark), "logreg").count() == 60 and most[0] == 1
+
+
+def test_the_flight_split_numbers_no_copies_of_the_rows(spark, monkeypatch):
+    import wingspan.operators.ordering as O
+    numbered = []
+    monkeypatch.setattr(O, "materialize", lambda df, name, real=O.materialize: numbered.append(df) or real(df, name))
+    flights = spark.range(80).select(
+        (F.col("id") % 70).cast("string").alias("flight"), F.repeat(F.lit("long text "), 50).alias("note"),
+        *[(F.col("id") % 70 + i).cast("double").alias(c) for i, c in enumerate(M.FLIGHT_FEATURES)],
+        (F.col("id") % 70 % 2 == 0).alias("has_anomaly"))
+    _, held = M.flight_anomaly_model(flights, maxIter=2)
+    kinds = {f.dataType.simpleString() for df in numbered for f in df.schema.fields}
+    assert numbered and "string" not in kinds and kinds >= {"binary"}
+    per = dict(held.groupBy("actual").count().collect())
+    assert set(per) == {0, 1} and sum(per.values()) >= 14
