@@ -111,3 +111,18 @@ def test_empty_stream_and_rows_without_key(spark):
         f.put((None, 1, False, "x")).drain()
     with pytest.raises(Exception, match="change rows without"):
         Feed(spark).put(("a", None, False, "x")).drain()
+
+
+def test_no_python_call_a_key(spark, capsys):
+    Feed(spark).drain().changes.explain()
+    plan = capsys.readouterr().out
+    assert "StateStoreSave" in plan and "Pandas" not in plan and "Python" not in plan
+
+
+def test_images_come_from_the_last_change_of_a_key(spark):
+    f = Feed(spark)
+    f.put(("a", 1, False, "x"), ("b", 1, True, None)).drain().put(("a", 2, False, "y")).drain()
+    f.put(("a", 3, False, "y"), ("b", 2, True, None)).drain().put(("a", 2, True, None), ("b", 1, False, "z")).drain()
+    f.put(("a", 4, True, None), ("b", 3, False, "w")).drain()
+    assert f.list() == [(0, "a", "inserted", 1, None, "x"), (1, "a", "updated", 2, "x", "y"),
+                        (4, "a", "deleted", 4, "y", None), (4, "b", "inserted", 3, None, "w")]
