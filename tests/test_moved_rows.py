@@ -38,3 +38,20 @@ def test_records_join_once(spark):
     assert got == [(1, 7, "A", "X"), (1, 7, "A", "Y"), (1, 7, "B", "X"), (1, 7, "B", "Y"), (2, 0, "C", ""), (3, 0, "", "")]
     joins = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in x]
     assert "flight_id" in joins[0] and "tail_number" in joins[1]
+
+
+def test_clustering_works_its_rows_out_once(spark, tmp_path):
+    from wingspan.operators import upkeep as U
+    times = spark.sparkContext.accumulator(0)
+
+    def counted(it):
+        for batch in it:
+            times.add(batch.num_rows)
+            yield batch
+    rows = spark.range(64, numPartitions=2).selectExpr("id AS a", "CAST(id % 8 AS STRING) AS b")
+    out = U.cluster(rows.mapInArrow(counted, "a long, b string"), ["a"], 4)
+    out.write.parquet(str(tmp_path / "one"))
+    assert times.value == 64 and spark.read.parquet(str(tmp_path / "one")).count() == 64
+    key = U.curve_key(rows, ["a", "b"], 3)
+    both = U._with_curve_key(rows, ["a", "b"], "_k", 3).withColumn("_want", key)
+    assert both.filter("_k <> _want OR _k IS NULL").count() == 0 and both.select("_k").distinct().count() > 8
