@@ -99,3 +99,15 @@ def test_saved_model_gives_the_same_vectors(spark, rows, tmp_path):
     a = {r.chunk_id: r.embedding for r in model.project(sk, "chunk_id").collect()}
     b = {r.chunk_id: r.embedding for r in again.vectors(t, "chunk_id", "search_text").collect()}
     assert a == b
+
+
+def test_postings_stay_with_their_text_and_rare_terms_are_found(spark, rows):
+    texts = _table(spark, rows)
+    terms, made = E.fitted_sketches(texts, "chunk_id", "search_text", 64)
+    tf = E.postings(texts, "chunk_id", "search_text")
+    plan = E.sketches(tf, terms, "chunk_id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1  # the texts by key, no posting
+    want = {r.chunk_id: (r.slots, r.x) for r in made.collect()}
+    for common in (0, 7):  # most terms are joined by a shuffle
+        got = {r.chunk_id: (r.slots, r.x) for r in E.sketches(tf, terms, "chunk_id", common).collect()}
+        assert got == want
