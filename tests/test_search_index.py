@@ -1,6 +1,7 @@
 """Pruned search against full scoring, and the versioned index through crashes at every step."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -156,3 +157,26 @@ def test_norms_do_not_depend_on_which_terms_are_broadcast(spark, monkeypatch):
     every = norms()
     monkeypatch.setattr(P, "FREQUENT_TERMS", 5)
     assert norms() == every and len(every[0]) == 40
+
+
+def test_a_feed_is_worked_out_once_and_its_terms_are_counted_in_the_row(spark, tmp_path):
+    import collections
+
+    from wingspan.operators.versioned_index import VersionedIndex
+    runs = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            runs.add(b.num_rows)
+            yield b
+    texts = {"a": "Fan blade, fan case", "b": "", "c": "... --", "d": "blade " * 3000, "e": None}
+    schema = "chunk_id string, chunk string, change string"
+    feed = spark.createDataFrame([(k, t, "inserted") for k, t in texts.items()], schema).mapInArrow(seen, schema)
+    index = VersionedIndex(spark, str(tmp_path / "index"), "chunk_id", "chunk")
+    state = index.apply(feed, epoch=0)
+    assert runs.value == len(texts)
+    got = {(r.chunk_id, r.term): (r.tf, r.dl) for r in index._live(state, "postings").collect()}
+    words = {k: re.findall(r"[a-z]+", (t or "").lower()) for k, t in texts.items()}
+    assert got == {(k, w): (n, len(ws)) for k, ws in words.items() for w, n in collections.Counter(ws).items()}
+    with pytest.raises(ValueError):
+        index.apply(spark.createDataFrame([(None, "x", "deleted")], schema), epoch=1)
