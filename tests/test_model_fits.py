@@ -55,3 +55,19 @@ def test_the_flight_split_numbers_no_copies_of_the_rows(spark, monkeypatch):
     assert numbered and "string" not in kinds and kinds >= {"binary"}
     per = dict(held.groupBy("actual").count().collect())
     assert set(per) == {0, 1} and sum(per.values()) >= 14
+
+
+def test_a_task_of_a_boosted_fit_holds_a_bounded_number_of_rows(spark, monkeypatch):
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+    rows = spark.range(400).select("id", (F.col("id") % 7).cast("double").alias("a"), F.lit(1.0).alias("weight"),
+                                   (F.col("id") % 2).cast("double").alias("label")).coalesce(1)
+    seen, fit = [], GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, df: seen.append(
+        [len(p) for p in df.select("id").rdd.glom().collect()]) or fit(self, df))
+    stages = [VectorAssembler(inputCols=["a"], outputCol="features_raw"),
+              GBTClassifier(featuresCol="features_raw", labelCol="label", weightCol="weight", maxIter=1, maxDepth=1)]
+    assert M._fit_dealt(stages, rows, "id", 50).transform(rows).count() == 400
+    M._fit_dealt(stages, rows, "id")  # few rows stay where they are
+    assert sum(seen[0]) == 400 and len(seen[0]) == 8 and max(seen[0]) < 100
+    assert seen[1] == [400]
