@@ -73,3 +73,14 @@ def test_empty_table_and_text_keys(spark):
     units = ann.unit_vectors(t, "vec_id", "embedding").withColumnRenamed("key", "query")
     best = {r.query: r["key"] for r in index.search(units, 2).filter("rank = 1").collect()}
     assert best == {"a": "b", "b": "c", "c": "d", "d": "c"}
+
+
+def test_few_calibration_queries_may_lose_few_neighbours(spark):
+    r = np.random.default_rng(11)
+    rows = [(i, [float(v) for v in x]) for i, x in enumerate(r.normal(size=(900, 8)))]
+    asked = [(-i - 1, [float(v) for v in x / np.linalg.norm(x)]) for i, x in enumerate(r.normal(size=(10, 8)))]
+    asked = spark.createDataFrame(asked, "query long, unit array<double>")
+    index = ann.AnnIndex.build(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=10, target=0.5,
+                               asked=asked)
+    got = ann.recall(index.search(asked, 10), ann.exact_top(index.units, asked, 10)).first()
+    assert (got.n_neighbours, got.n_queries) == (100, 10) and got.recall >= 0.9
