@@ -71,3 +71,22 @@ def test_a_task_of_a_boosted_fit_holds_a_bounded_number_of_rows(spark, monkeypat
     M._fit_dealt(stages, rows, "id")  # few rows stay where they are
     assert sum(seen[0]) == 400 and len(seen[0]) == 8 and max(seen[0]) < 100
     assert seen[1] == [400]
+
+
+def test_large_forest_is_grown_in_parts_on_many_tasks(spark, monkeypatch):
+    """Every tree of a forest with too many counts for one fit is grown on every row, in tasks of bounded rows."""
+    monkeypatch.setattr(M, "FOREST_PARAMS", dict(numTrees=7, maxDepth=3, seed=42))
+    monkeypatch.setattr(M, "FOREST_COUNTS", 7 * 100)
+    monkeypatch.setattr(M, "TASK_ROWS", 40)
+    seen, fit = [], M.RandomForestClassifier.fit
+    monkeypatch.setattr(M.RandomForestClassifier, "fit", lambda self, rows: (
+        seen.append((self.getNumTrees(), rows.rdd.getNumPartitions(), rows.count())), fit(self, rows))[1])
+    rows = spark.range(400).selectExpr(
+        "id AS flight_id", "1 AS record_sequence", "if(id % 4 = 0, 'A', 'B') AS anomaly_type",
+        "CAST(if(id % 4 = 0, 10 + id % 7, id % 7) AS double) AS x", "CAST(id % 3 AS double) AS z")
+    pred, ranked = M.anomaly_type_forest(rows, ["x", "z"])
+    held = pred.collect()
+    assert len(held) == 100 and all(r.actual == r.predicted for r in held)
+    assert [s for s, _, _ in seen] == [3, 2, 2] and {n for _, _, n in seen} == {300}
+    assert min(p for _, p, _ in seen) >= 8
+    assert [f for f, _ in ranked] == ["x", "z"] and abs(sum(v for _, v in ranked) - 1) < 1e-9
