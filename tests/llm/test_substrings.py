@@ -136,3 +136,18 @@ def test_byte_dedup_against_brute_force(spark, window, limit):
     assert seen == want
     assert sum(x[3] for x in want) > 1000
     assert D.dedup_bytes(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("module", [A, D])
+def test_texts_cut_together_give_the_passages_of_each_alone(module):
+    """Windows never cross from one text into the next, wherever the texts are joined."""
+    words = [b"w%d" % (i * i % 97) for i in range(400)]
+    texts = [b"", b" ".join(words[:60]), b"a b c", b" ".join(words[40:100]), b" ".join(words), b" ".join(words[:12])]
+    cut = module.cutter(window=13, gram=3) if module is A else module.cutter(window=40, gram=8)
+
+    def rows(at, batch):
+        p = cut(batch)
+        cols = () if p is None else (p.text + at, p.anchor, p.start, p.count, p.lo, p.hi, p.offset)
+        return [(t, a, s, n, p.data[lo:hi], o) for t, a, s, n, lo, hi, o in zip(*(c.tolist() for c in cols))]
+    alone = [r for i, t in enumerate(texts) for r in rows(i, [t])]
+    assert rows(0, texts) == alone and len({t for t, *_ in alone}) >= 3

@@ -29,6 +29,7 @@ nothing.  Rows that share an id never remove each other's words.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wingspan.llm.passages import (MIX, NO_ID, Passages, Rows, anchor_groups, anchored_runs, chosen_texts, contents,
-                                   covered, packed_texts, places, scramble, unpacked, with_key)
+                                   covered, packed_texts, places, scramble, text_windows, unpacked, with_key)
 
 WINDOW_WORDS = 13
 GRAM_WORDS = 3
@@ -51,8 +52,9 @@ def cutter(window: int = WINDOW_WORDS, gram: int = GRAM_WORDS):
     Grams of short words are common everywhere, so they are anchors only
     where a window has no other.
     """
-    def cut(text: bytes) -> Passages | None:
-        words = text.split()
+    def cut(texts: list[bytes]) -> Passages | None:
+        split = [t.split() for t in texts]
+        words = list(chain.from_iterable(split))
         n = len(words)
         if n < window:
             return None
@@ -65,11 +67,13 @@ def cutter(window: int = WINDOW_WORDS, gram: int = GRAM_WORDS):
             size += length[k:k + m]
         g = scramble(g)
         plain = (size < PLAIN_LENGTH).astype(np.uint64) << np.uint64(63)
-        at, start, count = anchored_runs((g >> np.uint64(1)) | plain, window - gram + 1)
+        text, origin, inside = text_windows(np.fromiter(map(len, split), np.int64, len(split)), window)
+        at, start, count = anchored_runs((g >> np.uint64(1)) | plain, window - gram + 1, inside)
+        text = text[start]
         ends = np.cumsum(length + 1)
         begins = ends - length - 1
-        return Passages(b" ".join(words), g[at], start, count, begins[start], ends[start + count + window - 2] - 1,
-                        begins[at] - begins[start])
+        return Passages(b" ".join(words), text, g[at], start - origin[text], count, begins[start],
+                        ends[start + count + window - 2] - 1, begins[at] - begins[start])
     return cut
 
 
