@@ -36,6 +36,25 @@ def test_pruned_top_k_equals_full_scoring(corpus, measure):
     assert pairs.count() < scores.count() / 2  # random words: the bounds are loose
 
 
+@pytest.mark.parametrize("measure", ["keyword", "vector"])
+def test_sums_of_many_postings_stay_with_their_chunks(corpus, monkeypatch, measure):
+    from wingspan.operators import pruned_search as P
+    _, queries, index = corpus
+    w = index.weights(queries, measure)
+    theta = index.thresholds(w, measure, 5)
+    pairs = index.candidates(w, theta, measure)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan and "query_id" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
+    scanned = {tuple(r) for r in pairs.collect()}
+    monkeypatch.setattr(P, "SCAN_QUERIES", 0)
+    read = {tuple(r) for r in index.candidates(w, theta, measure).collect()}
+    best = {(r[0], r[1]) for r in index.top(queries, 5, measure).select("query_id", "chunk_key").collect()}
+    assert best <= scanned and best <= read and len(scanned) <= len(read)
+    monkeypatch.setattr(P, "SCAN_CELLS", 40)
+    monkeypatch.setattr(P, "SCAN_QUERIES", 100)
+    assert {tuple(r) for r in index.candidates(w, theta, measure).collect()} == scanned
+
+
 def state(index):
     rows = index.rows()
     return {} if rows is None else {r.chunk_id: r.search_text for r in rows.collect()}
