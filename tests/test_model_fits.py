@@ -57,6 +57,19 @@ def test_the_flight_split_numbers_no_copies_of_the_rows(spark, monkeypatch):
     assert set(per) == {0, 1} and sum(per.values()) >= 14
 
 
+def test_the_flights_are_fitted_on_many_tasks_whatever_their_classes(spark, monkeypatch):
+    flights = spark.range(900).select(
+        F.col("id").cast("string").alias("flight"), (F.col("id") % 3 == 0).alias("has_anomaly"),
+        *[(F.col("id") % (70 + i)).cast("double").alias(c) for i, c in enumerate(M.FLIGHT_FEATURES)])
+    monkeypatch.setattr(M, "FLIGHT_TASK_ROWS", 60)
+    seen, fit = [], M.GBTClassifier.fit
+    monkeypatch.setattr(M.GBTClassifier, "fit", lambda self, rows: (
+        seen.append(sorted(len(p) for p in rows.select("label").rdd.glom().collect())), fit(self, rows))[1])
+    _, held = M.flight_anomaly_model(flights, maxIter=1)
+    assert sum(seen[0]) == 720 and len(seen[0]) >= 12 and seen[0][-1] <= 120
+    assert held.count() == 180
+
+
 def test_a_task_of_a_boosted_fit_holds_a_bounded_number_of_rows(spark, monkeypatch):
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
