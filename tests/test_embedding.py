@@ -111,3 +111,16 @@ def test_postings_stay_with_their_text_and_rare_terms_are_found(spark, rows):
     for common in (0, 7):  # most terms are joined by a shuffle
         got = {r.chunk_id: (r.slots, r.x) for r in E.sketches(tf, terms, "chunk_id", common).collect()}
         assert got == want
+
+
+def test_words_are_counted_once_and_only_rare_terms_are_shuffled(spark, rows, monkeypatch):
+    wrote = []
+    monkeypatch.setattr(E, "materialize", lambda df, name, real=E.materialize: wrote.append((name, df)) or real(df, name))
+    terms, made = E.fitted_sketches(_table(spark, rows), "chunk_id", "search_text", 64)
+    names = dict(wrote)
+    assert list(names) == ["embedding-counts", "embedding-terms", "embedding-sketches"]
+    assert "Exchange" not in names["embedding-sketches"]._jdf.queryExecution().executedPlan().toString()
+    want = {r.chunk_id: (r.slots, r.x) for r in made.collect()}
+    for common in (1, 7):
+        _, again = E.fitted_sketches(_table(spark, rows), "chunk_id", "search_text", 64, common)
+        assert {r.chunk_id: (r.slots, r.x) for r in again.collect()} == want
